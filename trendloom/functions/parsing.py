@@ -57,12 +57,20 @@ def coerce_timestamp(value: str | Column, fmt: str | None = None) -> Column:
 def iso_duration_seconds(value: str | Column) -> Column:
     """ISO 8601 duration text as seconds; 0 when missing or unreadable."""
     c = F.col(value) if isinstance(value, str) else value
-    total = F.lit(0.0)
-    for group, unit in _DURATION_UNITS.items():
-        part = F.replace(F.regexp_extract(c, ISO_DURATION, group), F.lit(","), F.lit("."))
-        total = total + F.coalesce(part.try_cast("double"), F.lit(0.0)) * unit
-    signed = F.when(F.regexp_extract(c, ISO_DURATION, 1) == "-", -total).otherwise(total)
-    return F.coalesce(signed, F.lit(0.0))
+    # one match: the sign and the numbers in a row; other text stays in one piece
+    marked = "|".join(f"${group}" for group in (1, *_DURATION_UNITS))
+    parts = F.split(F.regexp_replace(c, ISO_DURATION, marked), r"\|")
+
+    def seconds(p: Column) -> Column:
+        total = F.lit(0.0)
+        for i, unit in enumerate(_DURATION_UNITS.values(), 1):
+            number = F.replace(F.get(p, F.lit(i)), F.lit(","), F.lit(".")).try_cast("double")
+            total = total + F.coalesce(number, F.lit(0.0)) * unit
+        signed = F.when(F.get(p, F.lit(0)) == "-", -total).otherwise(total)
+        return F.when(F.size(p) == len(_DURATION_UNITS) + 1, signed).otherwise(0.0)
+
+    # the one-element array binds the parts, so that they are found once per row
+    return F.get(F.transform(F.array(parts), seconds), F.lit(0))
 
 
 def category_name(

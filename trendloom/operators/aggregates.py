@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -380,8 +381,14 @@ def strongest_pairs(df: DataFrame, columns: list[str], n: int = 3) -> DataFrame:
 
 
 def text_size(df: DataFrame) -> DataFrame:
-    """Length of all rows as text: one number, computed where the rows are."""
-    return df.agg(F.sum(F.length(F.to_json(F.struct("*")))).alias("chars"))
+    """Length of all values as text: one number, computed where the rows are."""
+    return df.agg(F.coalesce(F.sum(row_chars(df)), F.lit(0)).alias("chars"))
+
+
+def row_chars(df: DataFrame) -> Column:
+    """Characters of a row's values as text; NULL has none."""
+    parts = [F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) for c in df.columns]
+    return reduce(lambda a, b: a + b, parts).cast("bigint")
 
 
 def size_ratio(initial: DataFrame, final: DataFrame) -> DataFrame:

@@ -17,7 +17,8 @@ from trendloom.functions import (
     like_ratio,
 )
 from trendloom.operators.reshape import dedupe_first
-from trendloom.operators.topics import pin, quantile_scalar
+from trendloom.operators.topics import quantile_scalar
+from trendloom.sources.workspace import materialise
 
 # Columns that are coerced where present.
 DATE_COLUMNS = ("trending_date", "publish_time", "publishedAt")
@@ -128,7 +129,7 @@ def clean(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> tuple[DataFrame, D
     if "duration" in work.columns:
         work = work.withColumn("duration_sec", iso_duration_seconds("duration"))
     # read by the quantiles, the report and the result
-    work = pin(work, cfg.row_bound)
+    work = materialise(work, "clean")
 
     titled = drop_missing(work)
     has_title = F.col("title").isNotNull() if "title" in work.columns else F.lit(True)

@@ -7,11 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from trendloom.operators.aggregates import monthly_categories
-from trendloom.operators.ordered import (
-    SPLIT_ROWS,
-    approx_quantiles,
-    exact_quantiles,
-)
+from trendloom.operators.ordered import approx_quantiles, exact_quantiles
 from trendloom.sources.workspace import materialise
 
 # Title patterns counted as capitals and as punctuation.
@@ -19,11 +15,6 @@ CAPITALS = "[A-Z]{2,}"
 PUNCTUATION = "[!?]"
 
 
-def pin(df: DataFrame, row_bound: int | None) -> DataFrame:
-    """Write a frame that is used twice, unless it is known to be small."""
-    return df if row_bound is not None and row_bound <= SPLIT_ROWS else materialise(df)
-
-
 def quantile_scalar(
     df: DataFrame,
     value: str,
@@ -193,7 +184,8 @@ def channel_strategies(
     row_bound: int | None = None,
 ) -> DataFrame:
     """Profiles averaged over channel tiers; tiers compare mean views."""
-    profiles = pin(channel_profiles(df, min_videos), row_bound)
+    # read by the tier limits and by the tiers: one pass over the facts
+    profiles = materialise(channel_profiles(df, min_videos), "profiles")
     tiers = [("Top Performer", 0.9), ("Average", 0.5)]
     return (
         with_tier(

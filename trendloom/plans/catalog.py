@@ -760,7 +760,7 @@ def profile(spark, sf_dir):
 @_register
 def size_ratio(spark, sf_dir):
     raw = star.raw_daily(spark, sf_dir)
-    return agg.size_ratio(raw, load.load_facts(raw))
+    return agg.size_ratio(raw, cleaning.narrow_types(raw))
 
 
 _TRIP = "video_id string, title string, country string, trending_date date, views bigint, likes int"

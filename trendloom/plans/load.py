@@ -113,7 +113,7 @@ def job_batch_enrich(
     observed = raw.observe(
         seen,
         F.count(F.lit(1)).alias("records"),
-        F.sum(F.length(F.to_json(F.struct(*raw.columns)))).alias("chars"),
+        F.sum(aggregates.row_chars(raw)).alias("chars"),
     )
     write_files(enrich(observed), path, "orc", partitions)
     stored = raw.sparkSession.read.orc(path)

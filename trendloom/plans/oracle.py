@@ -336,6 +336,16 @@ def _on(ctes: str, query: str) -> str:
     return f"WITH {ctes.strip()}\n{query.strip()}"
 
 
+_RAW_COLUMNS = """video_id title channel_title category_id trending_date publish_time views likes
+    dislikes comment_count duration source_file l_orderkey""".split()
+
+
+def _chars(prefix: str) -> str:
+    return " + ".join(
+        f"coalesce(length(CAST({prefix}{c} AS VARCHAR)), 0)" for c in _RAW_COLUMNS
+    )
+
+
 def _measure(name: str, expr: str) -> str:
     return _on(
         _GAPS, f"SELECT video_id, trending_date, category_id, views, likes, {expr} AS {name} FROM g"
@@ -725,6 +735,23 @@ def oracle_sql() -> dict[str, str]:
             """SELECT count(*) AS rows, CAST(16 AS BIGINT) AS columns,
                 'video_id,title,channel_title,category_id,publish_time' AS first_columns FROM d""",
         ),
+        "size_ratio": _on(
+            f"""{_LOADED},
+            c AS (
+                SELECT CAST(sum({_chars('raw.')}) AS BIGINT) AS initial_chars FROM raw
+            ),
+            f AS (
+                SELECT CAST(sum({_chars('')}) AS BIGINT) AS final_chars
+                FROM (SELECT * REPLACE (CAST(category_id AS BIGINT) AS category_id,
+                        {_strict_int('views')} AS views, {_strict_int('likes')} AS likes,
+                        coalesce({_strict_int('dislikes')}, 0) AS dislikes,
+                        TRY_CAST(trending_date AS DATE) AS trending_date,
+                        TRY_CAST(publish_time AS TIMESTAMP) AS publish_time) FROM raw)
+            )""",
+            """SELECT initial_chars, final_chars,
+                (1 - CAST(final_chars AS DOUBLE) / initial_chars) * 100 AS saved_percent
+                FROM c, f""",
+        ),
         "api_items": _on(
             _RAW,
             """SELECT video_id, title, category_id, views AS view_count, likes AS like_count,

@@ -27,24 +27,30 @@ def _whole(value: Column, scale: int = 1) -> Column:
 def facts_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One observation per order line: item, seller, day, country, counters."""
     line = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    # what depends on the item or the seller alone is derived before the joins
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.col("p_partkey").cast("string").alias("video_id"),
+        "p_name",
+        F.split("p_name", " ").alias("tags"),
+    )
     return (
         line.join(part, line.l_partkey == part.p_partkey)
         .join(_seller_country(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
-            F.col("l_partkey").cast("string").alias("video_id"),
+            "video_id",
             F.col("p_name").alias("title"),
             F.col("s_name").alias("channel_title"),
             F.col("l_linenumber").alias("category_id"),
             F.col("l_shipdate").alias("publish_time"),
-            F.split("p_name", " ").alias("tags"),
+            "tags",
             _whole(F.col("l_extendedprice")).alias("views"),
             _whole(F.col("l_quantity"), 100).cast("int").alias("likes"),
             _whole(F.col("l_tax"), 1000).cast("int").alias("dislikes"),
             _whole(F.col("l_discount"), 1000).cast("int").alias("comment_count"),
             F.col("l_shipdate").cast("date").alias("trending_date"),
             F.col("n_name").alias("country"),
-            _file_name(F.col("s_nationkey")).alias("source_file"),
+            "source_file",
         )
         .withColumn("engagement_rate", engagement_rate())
         .withColumn("like_ratio", like_ratio())
@@ -54,7 +60,9 @@ def facts_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _seller_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nation = table(spark, sf_dir, "nation").select(
+        "n_nationkey", "n_name", _file_name(F.col("n_nationkey")).alias("source_file")
+    )
     return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
 
 
@@ -72,16 +80,22 @@ def _file_name(nation: Column) -> Column:
 def raw_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily observations as untyped text, with defects a cleaner must handle."""
     line = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.col("p_partkey").cast("string").alias("video_id"),
+        F.when(F.col("p_size") % 17 != 0, F.col("p_name")).alias("title"),
+    )
+    supplier = table(spark, sf_dir, "supplier").select(
+        "s_suppkey", "s_name", _file_name(F.col("s_nationkey")).alias("source_file")
+    )
     day = F.date_format("l_shipdate", "yyyy-MM-dd")
     quantity = F.col("l_quantity").cast("int")
     return (
         line.join(part, line.l_partkey == part.p_partkey)
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
-            F.col("l_partkey").cast("string").alias("video_id"),
-            F.when(F.col("p_size") % 17 != 0, F.col("p_name")).alias("title"),
+            "video_id",
+            "title",
             F.col("s_name").alias("channel_title"),
             F.col("l_linenumber").cast("string").alias("category_id"),
             F.when(quantity % 13 == 0, F.lit("not a day")).otherwise(day).alias("trending_date"),
@@ -104,7 +118,7 @@ def raw_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(quantity % 10 == 3, F.concat(F.lit("PT"), quantity, F.lit(".5S")))
             .otherwise(F.concat(F.lit("PT1H"), quantity, F.lit("M"), "l_linenumber", F.lit("S")))
             .alias("duration"),
-            _file_name(F.col("s_nationkey")).alias("source_file"),
+            "source_file",
             "l_orderkey",
         )
     )
