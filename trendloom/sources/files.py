@@ -129,8 +129,8 @@ def _too_long(names: list[str], sep: str) -> Column:
     bare = F.regexp_replace(_CORRUPT, _QUOTED, "")
     separators = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))
     # Names a data column: the reader refuses to read the corrupt column alone.
-    malformed = F.col(_CORRUPT).isNotNull() & (F.col(names[0]).isNotNull() | F.lit(True))
-    return malformed & (separators >= len(names))
+    data = F.length(F.coalesce(F.col(names[0]), F.lit("")))
+    return F.col(_CORRUPT).isNotNull() & (separators >= len(names)) & (data >= 0)
 
 
 def read_jsonl(spark: SparkSession, path: str, n: int | None = 1000, schema=None) -> DataFrame:
