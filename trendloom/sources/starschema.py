@@ -34,9 +34,16 @@ def facts_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_name",
         F.split("p_name", " ").alias("tags"),
     )
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nation = table(spark, sf_dir, "nation").select(
+        "n_nationkey", "n_name", _file_name(F.col("n_nationkey")).alias("source_file")
+    )
+    # each parent is joined as a plain scan, whose size Spark knows: small ones
+    # are broadcast and the facts are not shuffled for them
     return (
         line.join(part, line.l_partkey == part.p_partkey)
-        .join(_seller_country(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(supplier, line.l_suppkey == supplier.s_suppkey)
+        .join(nation, supplier.s_nationkey == nation.n_nationkey)
         .select(
             "video_id",
             F.col("p_name").alias("title"),
@@ -58,14 +65,6 @@ def facts_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _seller_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nation = table(spark, sf_dir, "nation").select(
-        "n_nationkey", "n_name", _file_name(F.col("n_nationkey")).alias("source_file")
-    )
-    return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
-
-
 def _file_name(nation: Column) -> Column:
     """File a row came from: some match the country pattern, some only loosely, some not."""
     code = F.concat(F.chr(nation + 65), F.lit("X"))

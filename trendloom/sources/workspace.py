@@ -23,7 +23,18 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the session's own scratch folder."""
+    return f"{_session_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _session_folder(spark: SparkSession) -> str:
+    """Created on first use and removed when the driver's file system closes."""
+    folder = f"{work_dir(spark)}/trendloom-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.mkdirs(path):
+        fs.deleteOnExit(path)
+    return folder
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
