@@ -50,7 +50,9 @@ def test_key_of_the_video_alone(raw):
 
 
 def test_absent_columns_skip_their_steps(spark):
-    df = spark.createDataFrame([("x", "5", "7"), ("x", "6", "8")], "id string, view_count string, like_count string")
+    df = spark.createDataFrame(
+        [("x", "5", "7"), ("x", "6", "8")], "id string, view_count string, like_count string"
+    )
     out, report = clean(df)
     assert out.columns == ["id", "view_count", "like_count"]
     assert rows(out) == [("x", 5, 7), ("x", 6, 8)]

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from trendloom.operators.ordered import join_null_safe
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+# file sizes are compressed: in memory a frame may be several times larger
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def planned_bytes(df: DataFrame) -> int:

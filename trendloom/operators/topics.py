@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from trendloom.operators.aggregates import monthly_categories
-from trendloom.operators.ordered import approx_quantiles, exact_quantiles
+from trendloom.operators.ordered import approx_quantiles, exact_quantiles, join_null_safe
 from trendloom.sources.workspace import materialise
 
 # Title patterns counted as capitals and as punctuation.
@@ -106,7 +106,7 @@ def time_performance(
     stats = cells.groupBy(*keys).agg(*measures)
     if exact:
         p75 = exact_quantiles(cells, keys, "views", {"p75_views": 0.75}, row_bound=row_bound)
-        stats = stats.join(p75, keys, "left")
+        stats = join_null_safe(stats, p75, keys, "left")
     return stats.filter(F.col("sample_size") > min_samples)
 
 

@@ -439,7 +439,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "iqr_filter": _on(
             f"""{_HOURLY},
-            q AS (SELECT quantile_cont(views, 0.25) AS a, quantile_cont(views, 0.75) AS b FROM h)""",
+            q AS (
+                SELECT quantile_cont(views, 0.25) AS a, quantile_cont(views, 0.75) AS b FROM h
+            )""",
             """SELECT video_id, views FROM h, q
                 WHERE views BETWEEN greatest(0, a - 1.5 * (b - a)) AND b + 1.5 * (b - a)""",
         ),
