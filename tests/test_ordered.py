@@ -71,6 +71,13 @@ def test_known_bound_skips_the_check(frame):
     assert o.has_large_group(frame, ["k"], split_rows=100)
 
 
+def test_one_scan_checks_several_keys(frame):
+    sets = [["k"], ["d", "k"], ["id"]]
+    assert o.large_key_sets(frame, sets, split_rows=500) == [True, False, False]
+    assert o.large_key_sets(frame, sets, split_rows=1) == [True, True, False]
+    assert o.large_key_sets(frame, sets, row_bound=9, split_rows=9) == [False] * 3
+
+
 def test_top_n_trims_before_the_shuffle(frame):
     plan = o.with_rank(frame, ["k"], "v", "r", limit=5)._jdf.queryExecution().toString()
     before = plan[plan.rindex("Exchange hashpartitioning"):]

@@ -267,14 +267,29 @@ def category_insights(
 
 # --- whole-table summaries ---------------------------------------------------
 
+def distinct_values(df: DataFrame, column: str) -> Column:
+    """Number of distinct values of a column with few, as a scalar subquery.
+
+    A second COUNT(DISTINCT) in one aggregate would multiply every row; this
+    reads one column again and sends a few values per task.
+    """
+    return df.select(column).dropna().distinct().agg(_rows()).scalar()
+
+
 def storage_summary(df: DataFrame) -> DataFrame:
-    return df.agg(
+    overall = df.agg(
         F.count_distinct("video_id").alias("unique_videos"),
         _rows().alias("total_records"),
-        F.count_distinct("country").alias("countries"),
         F.min("trending_date").alias("earliest_date"),
         F.max("trending_date").alias("latest_date"),
     )
+    return overall.select(
+        "unique_videos",
+        "total_records",
+        distinct_values(df, "country").alias("countries"),
+        "earliest_date",
+        "latest_date",
+    )
 
 
 def basic_stats(
@@ -286,7 +301,6 @@ def basic_stats(
         F.count_distinct("video_id").alias("unique_videos"),
         F.min("trending_date").alias("first_date"),
         F.max("trending_date").alias("last_date"),
-        F.count_distinct("source_file").alias("countries"),
         F.sum("views").alias("total_views"),
         F.avg("views").alias("avg_views"),
         F.max("views").alias("max_views"),
@@ -299,7 +313,12 @@ def basic_stats(
         )
     else:
         median = approx_quantiles(df, [], "views", {"m": 0.5})
-    return stats.withColumn("median_views", median.scalar().cast("double"))
+    return stats.withColumns(
+        {
+            "median_views": median.scalar().cast("double"),
+            "countries": distinct_values(df, "source_file"),
+        }
+    )
 
 
 def country_stats(df: DataFrame, top: int | None = None) -> DataFrame:

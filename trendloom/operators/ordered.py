@@ -42,6 +42,31 @@ def has_large_group(
     return bool(counts.filter(F.col("_n") > split_rows).take(1))
 
 
+def large_key_sets(
+    df: DataFrame,
+    key_sets: Sequence[Sequence[str]],
+    row_bound: int | None = None,
+    split_rows: int = SPLIT_ROWS,
+) -> list[bool]:
+    """``has_large_group`` for several key sets in one scan."""
+    if row_bound is not None and row_bound <= split_rows:
+        return [False] * len(key_sets)
+    names = sorted({k for keys in key_sets for k in keys})
+    # grouping_id has a bit per name, first name highest, set where it is left out
+    ids = [sum((n not in keys) << i for i, n in enumerate(reversed(names))) for keys in key_sets]
+    sets = [list(keys) for keys in key_sets]
+    found = (
+        df.groupingSets(sets, *names)
+        .agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > split_rows)
+        .select("_set")
+        .distinct()
+        .collect()
+    )
+    large = {r["_set"] for r in found}
+    return [i in large for i in ids]
+
+
 def _sort_columns(order: Sequence[str | tuple[str, str]]) -> list[Column]:
     """``"views"`` or ``("views", "desc")`` as sort columns."""
     pairs = [(o, "asc") if isinstance(o, str) else o for o in order]
@@ -80,16 +105,20 @@ def ordered_windows(
     position: str | None = None,
     row_bound: int | None = None,
     split_rows: int = SPLIT_ROWS,
+    split: bool | None = None,
 ) -> DataFrame:
     """Add row-wise window columns over ``keys`` in ``order``.
 
     ``previous`` names the column for the value one row earlier, ``moving`` is
     (name, n) for the mean over n preceding rows and the current one,
     ``running`` the cumulative sum, ``position`` the 1-based row number.
-    ``order`` must be total up to rows that are interchangeable.
+    ``order`` must be total up to rows that are interchangeable. ``split`` says
+    whether a group is too large, if the caller has checked already.
     """
     sort = _sort_columns(order)
-    if not has_large_group(df, keys, row_bound, split_rows):
+    if split is None:
+        split = has_large_group(df, keys, row_bound, split_rows)
+    if not split:
         w = _window(keys, sort)
         out = {}
         if previous:
@@ -218,14 +247,22 @@ def value_ranks(
     """
     keys = list(keys)
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    split = False
     if row_bound is None or row_bound > split_rows:
         counts = materialise(counts, "value-counts")
         row_bound = counts.count()
-    order = [(value, "desc" if descending else "asc")]
+        split = has_large_group(counts, keys, row_bound, split_rows)
     ranked = ordered_windows(
-        counts, keys, order, "n", running="cum", row_bound=row_bound, split_rows=split_rows
+        counts,
+        keys,
+        [(value, "desc" if descending else "asc")],
+        "n",
+        running="cum",
+        row_bound=row_bound,
+        split_rows=split_rows,
+        split=split,
     )
-    if has_large_group(counts, keys, row_bound, split_rows):
+    if split:
         totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
         ranked = (
             join_null_safe(ranked, totals, keys)
@@ -250,12 +287,15 @@ def with_rank(
     limit: int | None = None,
     row_bound: int | None = None,
     split_rows: int = SPLIT_ROWS,
+    split: bool | None = None,
 ) -> DataFrame:
     """RANK by ``value`` descending inside ``keys``; ``limit`` keeps ranks up to it.
 
     With a limit, Spark trims each input partition before the shuffle.
     """
-    if not has_large_group(df, keys, row_bound, split_rows):
+    if split is None:
+        split = has_large_group(df, keys, row_bound, split_rows)
+    if not split:
         w = W.partitionBy(*keys).orderBy(F.col(value).desc())
         ranked = df.withColumn(name, F.rank().over(w))
         if limit is not None:

@@ -56,12 +56,13 @@ def source_summary(name: str, df: DataFrame) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("records")]
     if "video_id" in df.columns:
         aggs.append(F.count_distinct("video_id").alias("unique_videos"))
-    if "country" in df.columns:
-        aggs.append(F.count_distinct("country").alias("countries"))
     if "views" in df.columns:
         aggs.append(F.avg("views").alias("avg_views"))
     status = F.when(F.col("records") > 0, "complete").otherwise("missing")
-    return df.agg(*aggs).select(F.lit(name).alias("source"), status.alias("status"), "*")
+    out = df.agg(*aggs).select(F.lit(name).alias("source"), status.alias("status"), "*")
+    if "country" in df.columns:
+        out = out.withColumn("countries", aggregates.distinct_values(df, "country"))
+    return out
 
 
 def collection_summary(

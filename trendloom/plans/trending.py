@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trendloom.functions import growth_pct
 from trendloom.operators.ordered import (
     SPLIT_ROWS,
+    large_key_sets,
     ordered_windows,
     with_percent_rank,
     with_rank,
@@ -36,9 +37,10 @@ def trending_analysis(
     facts = df.select(
         "video_id", "title", "channel_title", "category_id", "views", "trending_date", "country"
     )
-    ranked = with_rank(facts, DAY_GROUP, "views", "daily_rank", **size).withColumn(
-        "title", F.when(F.col("daily_rank") <= top, F.col("title"))
-    )
+    large = large_key_sets(facts, [DAY_GROUP, ["channel_title"], ["video_id"]], **size)
+    ranked = with_rank(
+        facts, DAY_GROUP, "views", "daily_rank", split=large[0], **size
+    ).withColumn("title", F.when(F.col("daily_rank") <= top, F.col("title")))
     by_channel = ordered_windows(
         ranked,
         ["channel_title"],
@@ -46,10 +48,17 @@ def trending_analysis(
         "views",
         moving=("channel_7day_avg", 7),
         running="cumulative_channel_views",
+        split=large[1],
         **size,
     )
     by_video = ordered_windows(
-        by_channel, ["video_id"], VIDEO_ORDER, "views", previous="prev_day_views", **size
+        by_channel,
+        ["video_id"],
+        VIDEO_ORDER,
+        "views",
+        previous="prev_day_views",
+        split=large[2],
+        **size,
     )
     kept = by_video.filter(F.col("daily_rank") <= top)
     placed = with_percent_rank(

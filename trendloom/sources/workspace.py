@@ -12,14 +12,18 @@ _CONF = "spark.checkpoint.dir"
 
 def work_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only in local mode."""
-    folder = spark.conf.get(_CONF, None) or spark.sparkContext.getConf().get(_CONF)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_CONF} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="trendloom-")
-    spark.conf.set(_CONF, folder)
-    return folder
+    sc = spark.sparkContext
+    folder = configured_dir(spark) or sc.getCheckpointDir()
+    if not folder:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {_CONF} to a folder all executors can reach")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="trendloom-"))
+        folder = sc.getCheckpointDir()
+    return folder.rstrip("/")
+
+
+def configured_dir(spark: SparkSession) -> str | None:
+    return spark.conf.get(_CONF, None) or spark.sparkContext.getConf().get(_CONF)
 
 
 def new_path(spark: SparkSession, label: str) -> str:
