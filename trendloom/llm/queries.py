@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import chat
+from trendloom.llm import chat, pii, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,3 +76,27 @@ SELECT conv_id,
        0::BIGINT AS expanded_tokens
 FROM turns GROUP BY conv_id
 """
+
+
+# --- 8: quality rules --------------------------------------------------------
+
+
+@_register
+def op8_quality_rules(spark, sf_dir):
+    """Base counts, distances from the language references, and the verdict."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    judged = quality.judge(docs, quality.fit_references(docs))
+    return judged.drop("lang", "text")
+
+
+# --- 10: PII -----------------------------------------------------------------
+
+#: For tests and checks only; a real run passes its own secret.
+_PSEUDONYM_KEY = b"trendloom corpus pseudonyms"
+
+
+@_register
+def op10_pii_pseudonyms(spark, sf_dir):
+    """Every document's text with its personal numbers, dates and secrets permuted."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise_documents(docs, _PSEUDONYM_KEY).drop("text").withColumnRenamed("pseudonymised", "text")
