@@ -128,7 +128,7 @@ _HEX = "0123456789abcdef"
 
 def _letters(s: str, key: bytes, kind: str) -> str:
     """Letters and digits permuted as one mixed-radix number, each within its own alphabet."""
-    hexed = len(s) >= 16 and not set(s) - set(_HEX)
+    hexed = kind == "secret" and not set(s) - set(_HEX)
     sets = [_HEX if hexed else next((a for a in _ALPHABETS if c in a), "") for c in s]
     size, value = 1, 0
     for c, a in zip(s, sets, strict=True):
@@ -176,7 +176,7 @@ _PATTERN = re.compile(
         |(?<![0-9A-Za-z])(?:password|passwd|secret|token|api_?key)[ ]?[=:][ ]?["']?[0-9A-Za-z]{12,})
     |(?P<email>(?<![0-9A-Za-z._%+-])[0-9A-Za-z][0-9A-Za-z._%+-]{0,63}@(?:[0-9A-Za-z-]+\.)+[A-Za-z]{2,})
     |(?P<iban>(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[ ]?[0-9A-Z]{4}){2,7}(?:[ ]?[0-9A-Z]{1,3})?(?![0-9A-Za-z]))
-    |(?P<ip>(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9]))
+    |(?P<ip>(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9]))
     |(?P<date>(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}
         |[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}-[0-9]{2}-[0-9]{4})(?![0-9/]|[.-][0-9]))
     |(?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9]))
