@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import chat, pii, quality
+from trendloom.llm import chat, lines, pii, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -100,3 +100,62 @@ def op10_pii_pseudonyms(spark, sf_dir):
     """Every document's text with its personal numbers, dates and secrets permuted."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise_documents(docs, _PSEUDONYM_KEY).drop("text").withColumnRenamed("pseudonymised", "text")
+
+
+# --- 3: line dedup -----------------------------------------------------------
+
+
+@_register
+def op3_line_dedup(spark, sf_dir):
+    """Every document without the lines that repeat three-line windows seen before."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "n_spans", "text")
+
+
+SQL["op3_line_dedup"] = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+    FROM documents
+), filled AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS pos
+    FROM (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS bare FROM lines)
+    WHERE bare <> ''
+), windows AS (
+    SELECT doc_id, pos, bare || chr(10) || lead(bare) OVER w || chr(10) || lead(bare, 2) OVER w AS win
+    FROM filled WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), later AS (
+    SELECT doc_id, pos FROM (
+        SELECT *, row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) AS nth
+        FROM windows WHERE win IS NOT NULL)
+    WHERE nth > 1
+), gone AS (
+    SELECT DISTINCT doc_id, pos + k AS pos FROM later, (VALUES (0), (1), (2)) AS v(k)
+), spans AS (
+    SELECT doc_id, count(*) AS n_removed,
+           count(*) FILTER (WHERE before IS NULL OR before < pos - 1) AS n_spans
+    FROM (SELECT *, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM gone) GROUP BY doc_id
+), kept AS (
+    SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS text
+    FROM lines l LEFT JOIN filled f ON f.doc_id = l.doc_id AND f.i = l.i
+    LEFT JOIN gone g ON g.doc_id = f.doc_id AND g.pos = f.pos
+    WHERE g.doc_id IS NULL GROUP BY l.doc_id
+), counts AS (SELECT doc_id, count(*) AS n_lines FROM filled GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, coalesce(kept.text, '') AS text
+FROM documents d LEFT JOIN counts USING (doc_id) LEFT JOIN spans USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+# --- 5: SimHash near-dedup ---------------------------------------------------
+
+
+@_register
+def op5_simhash(spark, sf_dir):
+    """Fingerprint and component of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.simhash_groups(docs, shingle=3, limit=2).select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
