@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import chat, lines, pii, quality, simhash
+from trendloom.llm import chat, decontaminate, lines, packing, pii, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -159,3 +159,31 @@ def op5_simhash(spark, sf_dir):
         F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+# --- 2: benchmark decontamination --------------------------------------------
+
+
+@_register
+def op2_decontaminate(spark, sf_dir):
+    """Every pair of a document and a benchmark item found in it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return decontaminate.find_leaks(docs, items)
+
+
+# --- 9: best-fit packing -----------------------------------------------------
+
+
+def load_byte_bpe():
+    """The public byte-level vocabulary, loaded inside a task."""
+    import public_tokenizers
+
+    return packing.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+@_register
+def op9_best_fit_packing(spark, sf_dir):
+    """The place of every piece of every document in sequences of 1024 tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, load_byte_bpe)
