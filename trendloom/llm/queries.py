@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import chat, decontaminate, lines, packing, pii, quality, simhash
+from trendloom.llm import chat, decontaminate, lines, packing, pii, quality, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -187,3 +187,19 @@ def op9_best_fit_packing(spark, sf_dir):
     """The place of every piece of every document in sequences of 1024 tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, load_byte_bpe)
+
+
+# --- 7: WARC -----------------------------------------------------------------
+
+
+@_register
+def op7_warc(spark, sf_dir):
+    """Every page archived, read back, and indexed in global capture order."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    second = F.pmod("page_id", F.lit(1_000_000_000))  # the table has no capture time
+    date = F.date_format(F.timestamp_seconds(second + 1_500_000_000), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    index = warc.archive_and_index(pages, F.coalesce(date, F.lit("2017-07-14T02:40:00Z")))
+    return index.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+        "url_key", "timestamp", "_range", "_position",
+    )
