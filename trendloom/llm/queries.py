@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import chat, decontaminate, lines, packing, pii, quality, simhash, warc
+from trendloom.llm import chat, decontaminate, hmm, lines, packing, pii, quality, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -203,3 +203,14 @@ def op7_warc(spark, sf_dir):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
         "url_key", "timestamp", "_range", "_position",
     )
+
+
+# --- 4: LM scoring -----------------------------------------------------------
+
+
+@_register
+def op4_lm_score(spark, sf_dir):
+    """Every text under the hidden Markov model and under the add-one unigram model."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    return hmm.score_texts(docs, held)
