@@ -30,7 +30,7 @@ from trendloom.sources.workspace import materialise
 
 CLASSES, STATES, ROUNDS = 256, 8, 4
 #: Text bytes of a block; tokens of one batch of the recursions; tokens of a training window.
-BLOCK_BYTES, BATCH_TOKENS, WINDOW = 32_000_000, 600_000, 256
+BLOCK_BYTES, BATCH_TOKENS, WINDOW = 12_000_000, 300_000, 256
 END = b"\n"  #: no word holds white space
 
 
@@ -62,7 +62,7 @@ class _Block:
     def add(self, doc, held: bool, text: bytes) -> None:
         words, found = self.words, text.lower().split()
         found.append(END)
-        ids = np.array([words.setdefault(w, len(words)) for w in found], np.int64)
+        ids = np.array([words.setdefault(w, len(words)) for w in found], np.int32)
         self.rows.append((doc, held, ids))
         if not held:
             self.train.append(ids)
