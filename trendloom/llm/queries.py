@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import chat, decontaminate, hmm, lines, packing, pii, quality, simhash, warc
+from trendloom.llm import chat, decontaminate, hmm, lines, packing, pii, quality, simhash, substrings, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -214,3 +214,20 @@ def op4_lm_score(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
     return hmm.score_texts(docs, held)
+
+
+# --- 6: suffix-array dedup ---------------------------------------------------
+
+
+@_register
+def op6_suffix_dedup(spark, sf_dir):
+    """Every document without the bytes covered by repeated strings of 400 bytes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = substrings.remove_repeats(docs, length=400)
+    return done.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
