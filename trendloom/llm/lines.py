@@ -55,8 +55,12 @@ def dedup_lines(
     Other columns pass through; columns named like a result are replaced.
     """
     kept = docs.drop(*[f.name for f in _ADDED])
-    plain = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    keyed = kept.select(F.col(f"`{doc}`").alias("_id"), F.xxhash64(plain).alias("_hash"), plain.alias("_text"))
+    fields = [f.name for f in kept.schema]
+    others = [n for n in fields if n not in (doc, text)]
+    names = {n: f"__other{i}" for i, n in enumerate(others)} | {doc: "__id", text: "__text"}
+    plain = F.coalesce(F.col("__text"), F.lit(""))
+    inner = kept.toDF(*[names[n] for n in fields])
+    keyed = inner.select(F.col("__id").alias("_id"), F.xxhash64(plain).alias("_hash"), plain.alias("_text"))
     windows = _windows(keyed, size)
     place = F.struct("_id", "_hash", "_at")
     firsts = (
@@ -71,29 +75,26 @@ def dedup_lines(
         .groupBy("_id", "_hash")
         .agg(F.collect_set("_at").alias("_later"))
     )
-    fields = [f.name for f in kept.schema]
-    whole = kept.select(*[F.col(f"`{n}`") for n in fields]).withColumns(
-        {"__id": F.col(f"`{doc}`"), "__hash": F.xxhash64(plain)}
-    )
-    marked = whole.join(
-        later,
-        F.col("__id").eqNullSafe(F.col("_id")) & (F.col("__hash") == F.col("_hash")),
-        "left",
-    ).select(*[F.col(f"`{n}`") for n in fields if n != text], plain.cast("binary").alias("_text"), "_later")
-    schema = T.StructType(
-        [*[f for f in kept.schema if f.name != text], T.StructField(text, T.StringType()), *_ADDED]
+    passed = ["__id", *[names[n] for n in others]]
+    marked = (
+        inner.withColumn("__hash", F.xxhash64(plain))
+        .join(later, F.col("__id").eqNullSafe(F.col("_id")) & (F.col("__hash") == F.col("_hash")), "left")
+        .select(*passed, plain.cast("binary").alias("__text"), "_later")
     )
-    names, types = schema.fieldNames(), to_arrow(T.StructType([T.StructField(text, T.StringType()), *_ADDED]))
+    made = T.StructType([T.StructField("__text", T.StringType()), *_ADDED])
+    schema = T.StructType([*[f for f in marked.schema if f.name in passed], *made])
+    types = to_arrow(made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_columns
             pairs = zip(batch.column(n - 2).to_pylist(), batch.column(n - 1).to_pylist(), strict=True)
-            made = list(zip(*[_without(t, at, size) for t, at in pairs], strict=True)) or [[]] * 4
-            new = [pa.array(c, t) for c, t in zip(made, types, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(n - 2)] + new, names)
+            columns = list(zip(*[_without(t, at, size) for t, at in pairs], strict=True)) or [[]] * 4
+            new = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(n - 2)] + new, schema.fieldNames())
 
-    return marked.mapInArrow(run, schema).select(*fields, *_ADDED.fieldNames())
+    done = marked.mapInArrow(run, schema)
+    return done.select(*[F.col(names[n]).alias(n) for n in fields], *_ADDED.fieldNames())
 
 
 def _without(text: bytes, later: list[int] | None, size: int) -> tuple[str, int, int, int]:
