@@ -9,9 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TEXT = "__utf8"
-
-
 def text_bytes(text: str) -> F.Column:
     """A text column as UTF-8 bytes; null is empty."""
     return F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
@@ -39,7 +36,8 @@ def with_text_columns(
             old = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(old + made, [f.name for f in kept] + names)
 
-    plain = docs.select(*[F.col(f"`{f.name}`") for f in kept], text_bytes(text).alias(_TEXT))
+    columns = [F.col(f"`{f.name}`").alias(f"_{i}") for i, f in enumerate(kept)]
+    plain = docs.select(*columns, text_bytes(text).alias("_text"))
     return plain.mapInArrow(run, T.StructType([*kept, *added]))
 
 
