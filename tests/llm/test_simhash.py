@@ -41,9 +41,17 @@ def test_fingerprint(text):
     assert simhash.fingerprint((text or "").encode()) % (1 << 64) == slow_print(text)
 
 
-@pytest.mark.parametrize("pairwise", [256, 2])
-def test_links_connect_what_all_pairs_connect(spark, monkeypatch, pairwise):
-    monkeypatch.setattr(simhash, "_PAIRWISE", pairwise)
+def test_long_lists_are_looked_up_to_the_same_pairs(monkeypatch):
+    rng = np.random.default_rng(4)
+    shared = rng.integers(0, 1 << 62, dtype=np.uint64)
+    list_ = np.unique(shared ^ (rng.integers(0, 1 << 16, 900).astype(np.uint64) << np.uint64(8)))
+    pairs = lambda: {tuple(sorted(p)) for p in zip(*map(np.ndarray.tolist, simhash._found(list_, 2)), strict=True)}
+    looked_up = pairs()
+    monkeypatch.setattr(simhash, "_PAIRWISE", 10_000)
+    assert pairs() == looked_up and len(looked_up) > 100
+
+
+def test_links_connect_what_all_pairs_connect(spark):
     rng = random.Random(3)
     prints = {rng.getrandbits(64) for _ in range(300)}
     for base in list(prints)[:30]:

@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from trendloom.llm import substrings
 from trendloom.llm.substrings import merged, remove_repeats, winnow
 from trendloom.llm.suffix import neighbours_share, suffix_array
 from tests.llm.conftest import EDGE, prose
@@ -56,6 +57,8 @@ def passages():
             a, n = rng.randrange(len(p) // 2), rng.choice([250, 399, 400, 401, 450, 700, 2000])
             parts += [prose(1000 + 7 * i + len(parts), rng.randint(0, 60)), p[a : a + n]]
         rows.append((i, "é".join(parts)))
+    for i, (unit, n) in enumerate([(" the the", 90), (" the the", 120), (" onor thonor er", 50), (" onor thonor er", 70)]):
+        rows.append((70 + i, prose(2000 + i, 30) + unit * n + prose(2100 + i, 30 + i) + shared[i] + unit * (n // 2)))
     rows += [(60, "ab" * 900), (61, "z" * 1500), (62, "ba" * 300), (63, prose(100, 150)), (64, prose(100, 150) + "!")]
     return rows
 
@@ -70,6 +73,15 @@ def test_matches_brute_force(spark, most):
         assert r.n_bytes == len(r.kept) + sum(s.end - s.start for s in r.spans)
 
 
+def test_rounds_change_nothing(monkeypatch):
+    texts = [t.encode()[:600] for _, t in passages()]
+    places, often = np.arange(len(texts)) << 20, np.zeros(len(texts), bool)
+    whole = [sorted(x.tolist()) for x in substrings.repeated_windows(texts, places, often, 400)]
+    monkeypatch.setattr(substrings, "ROUND_CONTEXTS", 7)
+    assert [sorted(x.tolist()) for x in substrings.repeated_windows(texts, places, often, 400)] == whole
+    assert any(whole)
+
+
 def test_edges(edge, nothing):
     done = remove_repeats(edge).collect()
     assert sorted([(r.doc_id, bytes(r.kept)) for r in done], key=str) == brute([r[:2] for r in EDGE])

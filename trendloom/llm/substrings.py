@@ -8,7 +8,8 @@
 3. Those contexts are cut into phrases where their own bytes say so, the phrases named,
    and a suffix array over the names built by linear grouping. Neighbours in it that
    share enough bytes form a class; windows are compared byte-exactly (by hash) with
-   the windows of their class only.
+   the windows of their class only. Windows without phrases, in stretches of a short
+   period, are a class of their own.
 4. Covered spans go back to their documents.
 
 An anchor with more than ``MOST_CONTEXTS`` contexts is not gathered in a task: its
@@ -28,15 +29,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendloom.llm.arrow import text_bytes
-from trendloom.llm.suffix import common_prefixes, suffix_array
+from trendloom.llm.suffix import neighbours_share, suffix_array
 from trendloom.sources.workspace import materialise
 
 GRAM = 200
 MOST_CONTEXTS = 20_000
-#: Contexts of one suffix array, as long as a single anchor has no more.
-CHUNK_CONTEXTS = 1500
-#: Phrases begin at the least hash of PHRASE_GRAM bytes among PHRASE_SPAN places.
+#: Contexts of one suffix array, as long as a single anchor has no more; contexts whose
+#: windows are compared at once.
+CHUNK_CONTEXTS, ROUND_CONTEXTS = 1500, 3000
+#: Phrases begin at the least hash of PHRASE_GRAM bytes among PHRASE_SPAN places, but in
+#: a stretch that repeats itself at the first such place only.
 PHRASE_SPAN, PHRASE_GRAM = 64, 16
+#: Bytes on either side of a string within which its own bytes do not decide a beginning.
+BEFORE, BEHIND = 2 * PHRASE_SPAN + PHRASE_GRAM, PHRASE_SPAN + PHRASE_GRAM
 
 _BASE = 0x9E3779B97F4A7C15
 _STEP = pow(_BASE, -1, 1 << 64)
@@ -118,32 +123,40 @@ def anchors(text: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray
 # --- the suffix-array step ---------------------------------------------------
 
 
+def least_shared(length: int) -> int:
+    """What equal strings share in whole phrases, outside stretches of a short period."""
+    return length - BEFORE - BEHIND - 2 * PHRASE_SPAN
+
+
 def phrase_classes(data: np.ndarray, edges: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(boundaries, class of the suffix at each) for the texts between ``edges`` of ``data``.
 
-    Suffixes of one class share, phrase by phrase, at least what two equal strings of
-    ``length`` bytes are bound to share from their first inner boundary on. -1: no other.
+    Suffixes of one class share at least ``least_shared`` bytes, phrase by phrase. -1: no
+    other suffix does.
     """
-    margin = PHRASE_SPAN + PHRASE_GRAM - 1
-    least = length - 2 * (margin + PHRASE_SPAN)
     known = Hashes(data)
-    cuts = winnow(known.grams(PHRASE_GRAM), PHRASE_SPAN)
+    grams = known.grams(PHRASE_GRAM) if len(data) >= PHRASE_GRAM else np.zeros(0, np.uint64)
+    cuts = winnow(grams, PHRASE_SPAN)
+    if len(cuts):
+        again = (grams[cuts[1:]] == grams[cuts[:-1]]) & (np.diff(cuts) < PHRASE_SPAN)
+        cuts = cuts[np.append(True, ~again)]
+    least = least_shared(length)
     owner = np.searchsorted(edges, cuts, "right")
     inner = owner[:-1] == owner[1:]  # a phrase lies between two cuts of one text
-    names = np.unique(known.part(cuts[:-1][inner], cuts[1:][inner]), return_inverse=True)[1]
-    last = np.ones(len(cuts), bool)
-    last[:-1] = ~inner
-    symbols = np.empty(len(cuts), np.int64)
-    symbols[~last] = names + int(last.sum())
-    symbols[last] = np.arange(last.sum())  # every text ends in a symbol of its own
-    array = suffix_array(symbols)
-    shared = common_prefixes(symbols.tolist(), array)
-    order, shared = np.array(array, np.int64), np.array(shared, np.int64)
-    near = cuts[order + shared] - cuts[order] >= least if len(order) else np.zeros(0, bool)
+    phrases = known.part(cuts[:-1][inner], cuts[1:][inner])
+    _, names, counts = np.unique(phrases, return_inverse=True, return_counts=True)
+    alone = np.ones(len(cuts), bool)  # ends of texts, and phrases that occur once
+    alone[:-1][inner] = counts[names] == 1
+    symbols = np.arange(len(cuts))
+    symbols[:-1][inner] = np.where(counts[names] == 1, symbols[:-1][inner], len(cuts) + names)
+    # nothing matches across a lone symbol, so one stands for a whole run of them
+    kept = np.flatnonzero(~alone | np.append(True, ~alone[:-1]))[: len(cuts)]
+    array = suffix_array(symbols[kept])
+    near = neighbours_share(symbols[kept], array, cuts[kept], least)
+    order = kept[np.array(array, np.int64)]
     run = np.cumsum(~near)
-    alone = ~near & ~np.append(near[1:], False)
-    classes = np.empty(len(cuts), np.int64)
-    classes[order] = np.where(alone, -1, run)
+    classes = np.full(len(cuts), -1)
+    classes[order] = np.where(near | np.append(near[1:], False), run, -1)
     return cuts, classes
 
 
@@ -159,30 +172,54 @@ def repeated_windows(
     edges = np.cumsum(sizes)
     data = np.frombuffer(b"".join(texts), np.uint8)
     cuts, classes = phrase_classes(data, edges, length)
-    counts = np.maximum(sizes - length + 1, 0)
-    owner = np.repeat(np.arange(len(texts)), counts)
-    offset = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    start = offset + (edges - sizes)[owner]
-    # the first boundary that the window's own bytes decide
-    inner = np.searchsorted(cuts, start + PHRASE_SPAN + PHRASE_GRAM - 1)
-    inner = np.minimum(inner, max(len(cuts) - 1, 0))
-    of = classes[inner] if len(cuts) else np.full(len(start), -1)
-    open_ = of >= 0
-    start, owner, offset, of, inner = (x[open_] for x in (start, owner, offset, of, inner))
-    ahead = (cuts[inner] - start).astype(np.uint64) if len(start) else start.astype(np.uint64)
-    window = Hashes(data).part(start, start + length)
-    key = mix(window + mix(of.astype(np.uint64) * np.uint64(1024) + ahead))
-    order = np.argsort(key, kind="stable")
-    first = np.flatnonzero(np.diff(key[order], prepend=np.uint64(0), append=np.uint64(0))[:-1] != 0) if len(key) else []
-    first = np.unique(np.append([0], first)).astype(np.int64) if len(key) else np.zeros(0, np.int64)
-    place = (places[owner] + offset)[order]
-    flagged = np.zeros(len(key), bool)
-    if len(key):
+    known = Hashes(data)
+    out: list[list[np.ndarray]] = [[] for _ in texts]
+    rounds = 1 + len(texts) // ROUND_CONTEXTS
+    for turn in range(rounds):  # each compares a share of the windows, for memory
+        key, owner, offset = _keyed_windows(known, cuts, classes, edges - sizes, sizes, length, turn, rounds)
+        if not len(key):
+            continue
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        place = (places[owner] + offset)[order]
         twice = np.minimum.reduceat(place, first) != np.maximum.reduceat(place, first)
         twice |= np.maximum.reduceat(often[owner][order], first)
+        flagged = np.zeros(len(key), bool)
         flagged[order] = np.repeat(twice, np.diff(np.append(first, len(key))))
-    ends = np.searchsorted(owner, np.arange(len(texts) + 1))
-    return [offset[a:b][flagged[a:b]] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        ends = np.searchsorted(owner, np.arange(len(texts) + 1))
+        for i in np.unique(owner[flagged]).tolist():
+            a, b = ends[i], ends[i + 1]
+            out[i].append(offset[a:b][flagged[a:b]])
+    return [np.concatenate(x) if x else np.zeros(0, np.int32) for x in out]
+
+
+def _keyed_windows(
+    known: Hashes, cuts: np.ndarray, classes: np.ndarray, begins: np.ndarray, sizes: np.ndarray,
+    length: int, turn: int, rounds: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, text, offset) of one share of the windows; equal windows have equal keys."""
+    least, none = least_shared(length), np.uint64(1 << 40)
+    place, of_cut = np.append(cuts, 0), np.append(classes, -1)
+    keys, owners, offsets = [], [], []
+    for at in range(0, len(sizes), 250):
+        counts = np.maximum(sizes[at : at + 250] - length + 1, 0)
+        owner = np.repeat(np.arange(at, at + len(counts)), counts)
+        offset = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+        start = offset + begins[owner]
+        # the first and the last boundary that the window's bytes decide
+        inner = np.searchsorted(cuts, start + BEFORE)
+        last = np.searchsorted(cuts, start + length - BEHIND, "right") - 1
+        phrased = (place[last] - place[inner] >= least) & (inner < len(cuts)) & (last > inner)
+        of = of_cut[inner]
+        ahead = np.where(phrased, place[inner] - start, 0).astype(np.uint64)
+        key = np.where(phrased, of, 0).astype(np.uint64) + np.where(phrased, np.uint64(0), none)
+        key = mix(known.part(start, start + length) + mix(key * np.uint64(1024) + ahead))
+        open_ = ((of >= 0) | ~phrased) & (key % np.uint64(rounds) == turn)
+        keys.append(key[open_])
+        owners.append(owner[open_].astype(np.int32))
+        offsets.append(offset[open_].astype(np.int32))
+    return tuple(np.concatenate(x) for x in (keys, owners, offsets))
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,6 +235,13 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 # --- the jobs ----------------------------------------------------------------
 
 
+def _portions(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Small slices of the batches: what is made of one is sent before the next."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64).view(np.int64))
 
@@ -214,7 +258,7 @@ class _Job:
         length, gram = self.length, self.gram
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _portions(batches):
                 index, crc, found = [], [], []
                 for i, t in enumerate(batch.column(1)):
                     data = t.as_py()
@@ -237,7 +281,7 @@ class _Job:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             press = zstandard.ZstdCompressor(level=3)
-            for batch in batches:
+            for batch in _portions(batches):
                 texts = [t.as_py() for t in batch.column(1)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([zlib.crc32(t) for t in texts], pa.int64()), pa.array([press.compress(t) for t in texts], pa.binary())],
@@ -260,7 +304,7 @@ class _Job:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             press = zstandard.ZstdDecompressor()
-            for batch in batches:
+            for batch in _portions(batches):
                 rows = []
                 for i, (asked_, packed) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
                     if not asked_.is_valid:
@@ -364,11 +408,11 @@ class _Job:
 
     def spans(self) -> DataFrame:
         """(doc, crc, start, end); the spans of whole contexts may reach beyond the text."""
-        found = self.occurrences()
+        found = materialise(self.occurrences(), "anchors")
         groups = found.groupBy("hash").agg(
             F.count(F.lit(1)).alias("n"), (F.min("ctx") == F.max("ctx")).alias("alike")
         )
-        again = materialise(found.join(groups.where("n > 1").drop("n"), "hash"), "anchors")
+        again = materialise(found.join(groups.where("n > 1").drop("n"), "hash"), "repeated")
         start, end = F.col("pos") - (self.length - self.gram), F.col("pos") + self.length
         whole = lambda df: df.select("doc", "crc", start.alias("start"), end.alias("end"))
         mixed = again.where(~F.col("alike"))
@@ -396,7 +440,7 @@ class _Job:
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             press = zstandard.ZstdDecompressor()
-            for batch in batches:
+            for batch in _portions(batches):
                 sizes, gone, kept = [], [], []
                 for spans_, packed in zip(batch.column(2), batch.column(3), strict=True):
                     text = press.decompress(packed.as_py())
@@ -429,9 +473,9 @@ def remove_repeats(
 
     Null texts are empty; texts shorter than ``length`` bytes keep all. Repeated rows are
     texts of their own, so each repeats the other. Matches never cross documents, and
-    overlaps within one document count. ``length`` is at least 300, so that phrases fit.
+    overlaps within one document count. ``length`` must leave room for phrases, about 360.
     Other columns are dropped; an empty table gives no rows.
     """
-    if length < 2 * (2 * PHRASE_SPAN + PHRASE_GRAM) + 12:
+    if least_shared(length) < 1:
         raise ValueError(f"length {length} is too short for phrases of {PHRASE_SPAN} bytes")
     return _Job(docs, length, gram or length // 2, most_contexts, doc, text).run()
