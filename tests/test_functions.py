@@ -122,3 +122,13 @@ def test_sizes(spark):
     df = spark.createDataFrame([(1, 3 * 1024**3)], "id int, b long")
     assert values(df, fn.bytes_to_mb(F.col("b"))) == [3072]
     assert values(df, fn.bytes_to_gb(F.col("b"))) == [3]
+
+
+def test_whole_numbers_from_text(spark):
+    text = ["12.7", "3.0", "-1.5", "9007199254740993", "", "abc", "NaN", "1e30", None]
+    df = spark.createDataFrame([(t,) for t in text], "t string")
+    got = df.select(fn.whole_number("t").alias("a"), fn.coerce_long("t").alias("b"), fn.whole_number("t", "int").alias("c"))
+    want = [12, 3, -1, 9007199254740993, None, None, None, None, None]
+    assert [r.a for r in got.collect()] == want
+    assert [r.b for r in got.collect()] == [w or 0 for w in want]
+    assert [r.c for r in got.collect()] == [12, 3, -1, None, None, None, None, None, None]

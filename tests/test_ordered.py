@@ -20,9 +20,9 @@ def frame(spark):
     )
 
 
-@pytest.mark.parametrize("split_rows", [40, 400, 10**9])
+@pytest.mark.parametrize("slices", [1, 7, 60])
 @pytest.mark.parametrize("keys", [["k"], []])
-def test_row_windows(frame, keys, split_rows):
+def test_row_windows(frame, keys, slices):
     w = W.partitionBy(*keys).orderBy("d", "id")
     want = frame.select(
         "*",
@@ -33,52 +33,49 @@ def test_row_windows(frame, keys, split_rows):
     )
     got = o.ordered_windows(
         frame, keys, ["d", "id"], "v",
-        previous="prev", moving=("mov", 7), running="run", position="pos", split_rows=split_rows,
+        previous="prev", moving=("mov", 7), running="run", position="pos", slices=slices,
     ).withColumn("mov", F.round("mov", 9))
     assert got.columns == want.columns
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("split_rows", [60, 10**9])
-def test_rank_and_percent_rank(frame, split_rows):
+@pytest.mark.parametrize("slices", [1, 9])
+def test_rank_and_percent_rank(frame, slices):
     down = W.partitionBy("k").orderBy(F.col("v").desc())
     up = W.partitionBy("k").orderBy("v")
     want = frame.select(
         "*", F.rank().over(down).cast("bigint").alias("r"), F.percent_rank().over(up).alias("p")
     )
-    got = o.with_rank(frame, ["k"], "v", "r", split_rows=split_rows)
-    got = o.with_percent_rank(got, ["k"], "v", "p", split_rows=split_rows)
+    got = o.with_rank(frame, ["k"], "v", "r", slices=slices)
+    got = o.with_percent_rank(got, ["k"], "v", "p", slices=slices)
     assert rows(got) == rows(want)
-    top = o.with_rank(frame, ["k"], "v", "r", limit=5, split_rows=split_rows)
+    top = o.with_rank(frame, ["k"], "v", "r", limit=5)
     assert rows(top) == rows(want.filter("r <= 5").drop("p"))
 
 
-@pytest.mark.parametrize("split_rows", [50, 10**9])
-def test_exact_quantiles(frame, split_rows):
+@pytest.mark.parametrize("slices", [1, 9])
+def test_exact_quantiles(frame, slices):
     probs = {"q1": 0.25, "med": 0.5, "p95": 0.95}
-    disc = o.exact_quantiles(frame, ["k"], "v", probs, split_rows=split_rows)
+    disc = o.exact_quantiles(frame, ["k"], "v", probs, slices=slices)
     want = frame.groupBy("k").agg(
         *[F.percentile_approx("v", p, 1_000_000).alias(n) for n, p in probs.items()]
     )
     assert rows(disc) == rows(want)
-    cont = o.exact_quantiles(frame, [], "v", probs, interpolate=True, split_rows=split_rows)
+    cont = o.exact_quantiles(frame, [], "v", probs, interpolate=True, slices=slices)
     want = frame.agg(*[F.percentile("v", p).alias(n) for n, p in probs.items()])
     assert [round(x, 9) for x in cont.first()] == [round(x, 9) for x in want.first()]
 
 
-def test_known_bound_skips_the_check(frame):
-    assert not o.has_large_group(frame, ["k"], row_bound=10, split_rows=10)
-    assert o.has_large_group(frame, ["k"], split_rows=100)
-
-
-def test_one_scan_checks_several_keys(frame):
-    sets = [["k"], ["d", "k"], ["id"]]
-    assert o.large_key_sets(frame, sets, split_rows=500) == [True, False, False]
-    assert o.large_key_sets(frame, sets, split_rows=1) == [True, True, False]
-    assert o.large_key_sets(frame, sets, row_bound=9, split_rows=9) == [False] * 3
+def test_ties_and_one_key_are_spread_over_slices(spark):
+    df = spark.range(20_000).select(F.lit("a").alias("k"), F.lit(1).alias("d"), F.col("id").alias("v"))
+    got = o.ordered_windows(df, ["k"], ["d"], "v", position="pos", slices=10)
+    assert got.agg(F.min("pos"), F.max("pos"), F.countDistinct("pos")).first()[:] == (1, 20_000, 20_000)
+    slices = o._slices(df, ["k"], [F.col("d"), F.xxhash64("k", "d", "v")], 10)
+    sizes = [r["count"] for r in slices.groupBy("_slice").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 4_000
 
 
 def test_top_n_trims_before_the_shuffle(frame):
-    plan = o.with_rank(frame, ["k"], "v", "r", limit=5)._jdf.queryExecution().toString()
-    before = plan[plan.rindex("Exchange hashpartitioning"):]
-    assert "WindowGroupLimit" in before and "Partial" in before
+    plan = o.top_ranks(frame, ["k"], "v", "r", 5)._jdf.queryExecution().executedPlan().toString()
+    trims = [line for line in plan.splitlines() if "WindowGroupLimit" in line]
+    assert any("Partial" in t for t in trims) and any("Final" in t for t in trims)

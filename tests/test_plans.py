@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from trendloom.operators import aggregates, joins, ordered, reshape, topics
+from trendloom.operators import aggregates, joins, reshape, topics
 from trendloom.plans import trending
 from trendloom.schemas import category_dimension
 from trendloom.sources import starschema as star
@@ -53,34 +53,30 @@ def test_unused_columns_are_not_read(daily):
     assert "l_tax" not in text and "l_quantity" not in text
 
 
-@pytest.mark.parametrize("split_rows", [300, 3000])
-def test_trending_is_the_same_when_groups_are_split(daily, split_rows):
-    want = trending.trending_analysis(daily, 3, row_bound=10**5)
-    got = trending.trending_analysis(daily, 3, split_rows=split_rows)
+def test_trending_does_not_depend_on_the_slices(spark, daily):
     digits = {"channel_7day_avg": F.round("channel_7day_avg", 6)}
-    assert got.columns == want.columns
-    assert rows(got.withColumns(digits)) == rows(want.withColumns(digits))
-    top = trending.trending_top(daily, 2, split_rows=split_rows)
-    assert rows(top) == rows(trending.trending_top(daily, 2, row_bound=10**5))
-
-
-def test_group_size_check_skips_earlier_windows(daily):
-    ranked = ordered.with_rank(daily, trending.DAY_GROUP, "views", "r", row_bound=1)
-    wide = ordered.ordered_windows(
-        ranked.withColumn("title", F.when(F.col("r") < 3, F.col("title"))),
-        ["channel_title"],
-        trending.CHANNEL_ORDER,
-        "views",
-        running="run",
-        row_bound=1,
-    )
-    assert "Window" not in plan(wide.groupBy("video_id").agg(F.count(F.lit(1))))
-
-
-def test_batches_are_the_same_when_ids_are_split(daily):
-    want = reshape.id_batches(daily, "video_id", 7, row_bound=10**5)
-    got = reshape.id_batches(daily, "video_id", 7, split_rows=20)
-    assert rows(got) == rows(want)
+    setting = "spark.sql.shuffle.partitions"
+    before, got = spark.conf.get(setting), []
+    try:
+        for slices in (1, 13):
+            spark.conf.set(setting, slices)
+            got.append(
+                [
+                    rows(trending.trending_analysis(daily, 3).withColumns(digits)),
+                    rows(trending.trending_top(daily, 2)),
+                    rows(reshape.id_batches(daily, "video_id", 7)),
+                ]
+            )
+    finally:
+        spark.conf.set(setting, before)
+    assert got[0] == got[1] and all(got[0])
+
+
+def test_exact_quantiles_run_windows_over_slices_only(daily):
+    """Within a slice, or over the totals of slices: never over all values in one task."""
+    text = plan(aggregates.basic_stats(daily, exact=True))
+    windows = [line for line in text.splitlines() if "Window [" in line]
+    assert windows and all("_slice" in line or "_spread" in line for line in windows)
 
 
 def test_left_join_keeps_null_keys_unmatched(spark):

@@ -96,6 +96,36 @@ def test_rerun_replaces_only_its_partitions(spark, tmp_path):
     assert rows(spark.read.orc(path)) == [(1, "a"), (9, "b")]
 
 
+def day(raw, n):
+    return raw.filter(F.col("trending_date") == f"2024-01-0{n}")
+
+
+def test_loads_keep_other_days(spark, raw, tmp_path):
+    """Two days loaded one by one, the first once more: both are there, once."""
+    want = raw.filter(F.col("trending_date") <= "2024-01-02").count()
+    enriched = raw.withColumn("tags", F.lit("a")).withColumns(
+        {c: F.col(c).cast("int") for c in ("views", "likes", "comment_count", "dislikes")}
+    )
+    for n in (1, 2, 1):
+        paths = load.job_load(day(raw, n), f"{tmp_path}/load")
+        load.job_batch_enrich(day(enriched, n), f"{tmp_path}/enrich")
+        load.job_load_tables(day(raw, n), "history")
+        filled = load.job_fill_tables(day(raw, n), "filled")
+    assert spark.read.orc(paths["facts"]).count() == want
+    assert spark.read.orc(f"{tmp_path}/enrich").count() == want
+    assert spark.table("history.trending_facts").count() == want
+    assert spark.table(filled["fact_videos"]).count() == want
+    for videos in (
+        spark.read.orc(paths["channel_statistics"]),
+        spark.table("history.channel_statistics"),
+        spark.table(filled["channel_statistics"]),
+    ):
+        whole = aggregates.channel_statistics(spark.read.orc(paths["facts"]))
+        assert rows(videos.select("channel_title", "country", "total_views")) == rows(
+            whole.select("channel_title", "country", "total_views")
+        )
+
+
 def test_batch_enrich_metrics(spark, raw, tmp_path):
     source = raw.withColumn("tags", F.lit("a|b")).withColumns(
         {c: F.col(c).cast("int") for c in ("views", "likes", "comment_count")}

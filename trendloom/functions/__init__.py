@@ -17,6 +17,7 @@ from trendloom.functions.parsing import (
     country_from_file,
     iso_duration_seconds,
     split_tags,
+    whole_number,
 )
 
 __all__ = [
@@ -34,4 +35,5 @@ __all__ = [
     "time_segment",
     "trending_score",
     "virality_score",
+    "whole_number",
 ]

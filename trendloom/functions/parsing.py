@@ -42,10 +42,18 @@ def country_from_file(variant: str = "default", file: str = "source_file") -> Co
     raise ValueError(f"unknown country variant {variant!r}")
 
 
-def coerce_long(value: str | Column) -> Column:
-    """Whole number from text; 0 for anything unreadable, fraction dropped."""
+def whole_number(value: str | Column, kind: str = "bigint") -> Column:
+    """Whole number from text, its fraction dropped; NULL for anything unreadable.
+
+    Read as a whole number first: a double holds only 53 bits.
+    """
     c = F.col(value) if isinstance(value, str) else value
-    return F.coalesce(c.try_cast("double").try_cast("bigint"), F.lit(0))
+    return F.coalesce(c.try_cast(kind), c.try_cast("double").try_cast(kind))
+
+
+def coerce_long(value: str | Column) -> Column:
+    """As ``whole_number``, but 0 for anything unreadable."""
+    return F.coalesce(whole_number(value), F.lit(0))
 
 
 def coerce_timestamp(value: str | Column, fmt: str | None = None) -> Column:

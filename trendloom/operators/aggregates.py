@@ -229,7 +229,7 @@ def temporal_patterns(df: DataFrame) -> DataFrame:
 # --- category insights -------------------------------------------------------
 
 def category_insights(
-    df: DataFrame, dim: DataFrame, *, exact: bool = False, row_bound: int | None = None
+    df: DataFrame, dim: DataFrame, *, exact: bool = False
 ) -> DataFrame:
     """Per category: distinct videos, volumes, spread, quantiles, top virality.
 
@@ -244,7 +244,7 @@ def category_insights(
     )
     probs = {"median_views": 0.5, "p95_views": 0.95}
     if exact:
-        spread = exact_quantiles(df, ["category_id"], "views", probs, row_bound=row_bound)
+        spread = exact_quantiles(df, ["category_id"], "views", probs)
     else:
         spread = approx_quantiles(df, ["category_id"], "views", probs)
     return (
@@ -293,7 +293,7 @@ def storage_summary(df: DataFrame) -> DataFrame:
 
 
 def basic_stats(
-    df: DataFrame, *, exact: bool = False, row_bound: int | None = None
+    df: DataFrame, *, exact: bool = False
 ) -> DataFrame:
     """One row of counts, range, view statistics and mean ratios."""
     stats = df.agg(
@@ -309,7 +309,7 @@ def basic_stats(
     )
     if exact:
         median = exact_quantiles(
-            df, [], "views", {"m": 0.5}, interpolate=True, row_bound=row_bound
+            df, [], "views", {"m": 0.5}, interpolate=True
         )
     else:
         median = approx_quantiles(df, [], "views", {"m": 0.5})

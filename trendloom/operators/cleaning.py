@@ -15,6 +15,7 @@ from trendloom.functions import (
     engagement_rate,
     iso_duration_seconds,
     like_ratio,
+    whole_number,
 )
 from trendloom.operators.reshape import dedupe_first
 from trendloom.operators.topics import quantile_scalar
@@ -42,7 +43,6 @@ class CleanConfig:
     date_format: str | None = None
     outlier_k: float | None = 3.0
     exact: bool = False
-    row_bound: int | None = None
 
 
 def present(df: DataFrame, names: Sequence[str]) -> list[str]:
@@ -58,7 +58,10 @@ def coerce_counts(df: DataFrame) -> DataFrame:
 
 
 def narrow_types(df: DataFrame) -> DataFrame:
-    """Table types for text columns; unreadable text is NULL, missing dislikes 0."""
+    """Table types for text columns; fractions are dropped, unreadable text is NULL.
+
+    Missing dislikes are 0.
+    """
     to_int = {
         "category_id": "int",
         "likes": "int",
@@ -66,7 +69,7 @@ def narrow_types(df: DataFrame) -> DataFrame:
         "comment_count": "int",
         "views": "bigint",
     }
-    casts = {c: F.col(c).try_cast(t) for c, t in to_int.items() if c in df.columns}
+    casts = {c: whole_number(c, t) for c, t in to_int.items() if c in df.columns}
     if "dislikes" in casts:
         casts["dislikes"] = F.coalesce(casts["dislikes"], F.lit(0))
     if "trending_date" in df.columns:
@@ -86,7 +89,6 @@ def within_iqr(
     k: float = 3.0,
     *,
     exact: bool = False,
-    row_bound: int | None = None,
 ) -> Column:
     """Whether a value lies in [max(0, Q1 - k IQR), Q3 + k IQR] of the table.
 
@@ -97,7 +99,6 @@ def within_iqr(
         column,
         {"q1": 0.25, "q3": 0.75},
         exact=exact,
-        row_bound=row_bound,
         interpolate=True,
     )
     total = df.agg(F.coalesce(F.sum(column), F.lit(0))).scalar()
@@ -112,9 +113,8 @@ def iqr_filter(
     k: float = 3.0,
     *,
     exact: bool = False,
-    row_bound: int | None = None,
 ) -> DataFrame:
-    return df.filter(within_iqr(df, column, k, exact=exact, row_bound=row_bound))
+    return df.filter(within_iqr(df, column, k, exact=exact))
 
 
 def clean(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> tuple[DataFrame, DataFrame]:
@@ -136,7 +136,7 @@ def clean(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> tuple[DataFrame, D
     view_col = next(iter(present(work, ("views", "view_count"))), None)
     if view_col and cfg.outlier_k is not None:
         inside = within_iqr(
-            titled, view_col, cfg.outlier_k, exact=cfg.exact, row_bound=cfg.row_bound
+            titled, view_col, cfg.outlier_k, exact=cfg.exact
         )
     else:
         inside = F.lit(True)

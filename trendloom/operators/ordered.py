@@ -1,71 +1,24 @@
 """Window functions that stay parallel when one key holds most of the rows.
 
-Spark evaluates a window group inside one task. That is right for ordinary
-keys and is what these functions use. When a key has more than ``split_rows``
-rows, its ordered rows are cut into slices by range partitioning, each slice
-is evaluated on its own, and what crosses a slice border (the running total
-and the last few rows before it) is added from a table of slice borders. That
-table has at most two rows per slice, so it is safe to broadcast.
-
-``row_bound`` is a known upper bound on the number of rows (say, the metadata
-row count of the fact table). At or below ``split_rows`` no key can be too
-large, and the check for large keys is skipped.
+Spark evaluates a window group inside one task. Here the rows are cut into slices by
+range partitioning over keys and order, each slice is evaluated on its own, and what
+crosses a slice border (the running total, the row count and the last few rows before
+it) is added from a table of slice borders. That table has at most two rows per slice.
+There is one path for all sizes: as many slices as shuffle partitions, whatever the
+groups. Ranks and quantiles work on value counts, so that equal values are one row.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
-from pyspark.sql.window import WindowSpec
 
 from trendloom.sources.workspace import materialise
 
-SPLIT_ROWS = 4_000_000
-_MAX_LARGE_KEYS = 50_000
-
-
-def has_large_group(
-    df: DataFrame,
-    keys: Sequence[str],
-    row_bound: int | None = None,
-    split_rows: int = SPLIT_ROWS,
-) -> bool:
-    """Whether any key group has more than ``split_rows`` rows (one narrow job)."""
-    if row_bound is not None and row_bound <= split_rows:
-        return False
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return bool(counts.filter(F.col("_n") > split_rows).take(1))
-
-
-def large_key_sets(
-    df: DataFrame,
-    key_sets: Sequence[Sequence[str]],
-    row_bound: int | None = None,
-    split_rows: int = SPLIT_ROWS,
-) -> list[bool]:
-    """``has_large_group`` for several key sets in one scan."""
-    if row_bound is not None and row_bound <= split_rows:
-        return [False] * len(key_sets)
-    names = sorted({k for keys in key_sets for k in keys})
-    # grouping_id has a bit per name, first name highest, set where it is left out
-    ids = [sum((n not in keys) << i for i, n in enumerate(reversed(names))) for keys in key_sets]
-    sets = [list(keys) for keys in key_sets]
-    found = (
-        df.groupingSets(sets, *names)
-        .agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > split_rows)
-        .select("_set")
-        .distinct()
-        .collect()
-    )
-    large = {r["_set"] for r in found}
-    return [i in large for i in ids]
-
 
 def _sort_columns(order: Sequence[str | tuple[str, str]]) -> list[Column]:
     """``"views"`` or ``("views", "desc")`` as sort columns."""
@@ -73,10 +26,6 @@ def _sort_columns(order: Sequence[str | tuple[str, str]]) -> list[Column]:
     return [F.col(n).desc() if d == "desc" else F.col(n).asc() for n, d in pairs]
 
 
-def _window(keys: Sequence[str], order: list[Column]) -> WindowSpec:
-    return W.partitionBy(*keys).orderBy(*order) if keys else W.orderBy(*order)
-
-
 def join_null_safe(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:
@@ -88,11 +37,6 @@ def join_null_safe(
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _slice_count(spark, rows: int, split_rows: int) -> int:
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, floor, math.ceil(2 * rows / split_rows))
-
-
 def ordered_windows(
     df: DataFrame,
     keys: Sequence[str],
@@ -103,50 +47,24 @@ def ordered_windows(
     moving: tuple[str, int] | None = None,
     running: str | None = None,
     position: str | None = None,
-    row_bound: int | None = None,
-    split_rows: int = SPLIT_ROWS,
-    split: bool | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add row-wise window columns over ``keys`` in ``order``.
 
     ``previous`` names the column for the value one row earlier, ``moving`` is
     (name, n) for the mean over n preceding rows and the current one,
     ``running`` the cumulative sum, ``position`` the 1-based row number.
-    ``order`` must be total up to rows that are interchangeable. ``split`` says
-    whether a group is too large, if the caller has checked already.
+    ``order`` must be total up to rows that are interchangeable. Rows that tie in it
+    are dealt out by a hash of the row, so ties do not pile up in one slice.
     """
-    sort = _sort_columns(order)
-    if split is None:
-        split = has_large_group(df, keys, row_bound, split_rows)
-    if not split:
-        w = _window(keys, sort)
-        out = {}
-        if previous:
-            out[previous] = F.lag(value, 1).over(w)
-        if moving:
-            out[moving[0]] = F.avg(value).over(w.rowsBetween(-moving[1], 0))
-        if running:
-            out[running] = F.sum(value).over(w.rowsBetween(W.unboundedPreceding, 0))
-        if position:
-            out[position] = F.row_number().over(w).cast("bigint")
-        return df.withColumns(out)
-    return _sliced_windows(
-        df, keys, sort, value, previous, moving, running, position, row_bound, split_rows
-    )
-
-
-def _sliced_windows(
-    df, keys, sort, value, previous, moving, running, position, row_bound, split_rows
-) -> DataFrame:
-    spark = df.sparkSession
     names = df.columns
     keys = list(keys)
-    slices = _slice_count(spark, row_bound or df.count(), split_rows)
+    sort = _sort_columns(order)
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sort = [*sort, F.xxhash64(*names).asc()]
     depth = moving[1] if moving else (1 if previous else 0)
 
-    ranged = df.repartitionByRange(slices, *keys, *sort).withColumn(
-        "_slice", F.spark_partition_id()
-    )
+    ranged = _slices(df, keys, sort, slices)
     w = W.partitionBy("_slice", *keys).orderBy(*sort)
     whole = W.partitionBy("_slice", *keys)
     local = {
@@ -164,14 +82,12 @@ def _sliced_windows(
     rows = materialise(ranged.withColumns(local), "slices")
 
     borders = _slice_borders(rows, keys, value, depth)
-    side = F.broadcast(
-        borders.select(
-            F.col("_slice").alias("_b_slice"),
-            *[F.col(k).alias(f"_b_{k}") for k in keys],
-            "_pos0",
-            "_sum0",
-            "_tail",
-        )
+    side = borders.select(
+        F.col("_slice").alias("_b_slice"),
+        *[F.col(k).alias(f"_b_{k}") for k in keys],
+        "_pos0",
+        "_sum0",
+        "_tail",
     )
     on = rows["_slice"] == side["_b_slice"]
     for k in keys:
@@ -203,6 +119,12 @@ def _sliced_windows(
     return joined.select(*names, *out)
 
 
+def _slices(df: DataFrame, keys: list[str], sort: list[Column], slices: int) -> DataFrame:
+    return df.repartitionByRange(slices, *keys, *sort).withColumn(
+        "_slice", F.spark_partition_id()
+    )
+
+
 def _slice_borders(rows: DataFrame, keys: list[str], value: str, depth: int) -> DataFrame:
     """Per slice that continues a key: rows, total and last values before it."""
     parts = rows.groupBy("_slice", *keys).agg(
@@ -235,8 +157,7 @@ def value_ranks(
     value: str,
     *,
     descending: bool = False,
-    row_bound: int | None = None,
-    split_rows: int = SPLIT_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """One row per distinct (keys, value): its rank and percent rank.
 
@@ -247,31 +168,13 @@ def value_ranks(
     """
     keys = list(keys)
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    split = False
-    if row_bound is None or row_bound > split_rows:
-        counts = materialise(counts, "value-counts")
-        row_bound = counts.count()
-        split = has_large_group(counts, keys, row_bound, split_rows)
-    ranked = ordered_windows(
-        counts,
-        keys,
-        [(value, "desc" if descending else "asc")],
-        "n",
-        running="cum",
-        row_bound=row_bound,
-        split_rows=split_rows,
-        split=split,
-    )
-    if split:
-        totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
-        ranked = (
-            join_null_safe(ranked, totals, keys)
-            if keys
-            else ranked.withColumn("total", totals.scalar())
-        )
+    order = [(value, "desc" if descending else "asc")]
+    ranked = ordered_windows(counts, keys, order, "n", running="cum", slices=slices)
+    totals = ranked.groupBy(*keys).agg(F.max("cum").alias("total"))
+    if keys:
+        ranked = join_null_safe(ranked, totals, keys)
     else:
-        group = W.partitionBy(*keys) if keys else W.partitionBy()
-        ranked = ranked.withColumn("total", F.sum("n").over(group))
+        ranked = ranked.withColumn("total", totals.scalar())
     rank = F.col("cum") - F.col("n") + 1
     return ranked.withColumn("rank", rank).withColumn(
         "pct_rank", F.when(F.col("total") > 1, (rank - 1) / (F.col("total") - 1)).otherwise(0.0)
@@ -285,42 +188,33 @@ def with_rank(
     name: str,
     *,
     limit: int | None = None,
-    row_bound: int | None = None,
-    split_rows: int = SPLIT_ROWS,
-    split: bool | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """RANK by ``value`` descending inside ``keys``; ``limit`` keeps ranks up to it.
 
     With a limit, Spark trims each input partition before the shuffle.
     """
-    if split is None:
-        split = has_large_group(df, keys, row_bound, split_rows)
-    if not split:
-        w = W.partitionBy(*keys).orderBy(F.col(value).desc())
-        ranked = df.withColumn(name, F.rank().over(w))
-        if limit is not None:
-            ranked = ranked.filter(F.col(name) <= limit)
-        return ranked.withColumn(name, F.col(name).cast("bigint"))
     if limit is not None:
-        return _top_ranks(df, list(keys), value, name, limit)
-    ranks = value_ranks(
-        df, keys, value, descending=True, row_bound=row_bound, split_rows=split_rows
-    ).select(*keys, value, F.col("rank").alias(name))
-    return join_null_safe(df, ranks, [*keys, value])
+        return join_null_safe(df, top_ranks(df, keys, value, name, limit), [*keys, value])
+    ranks = value_ranks(df, keys, value, descending=True, slices=slices)
+    return join_null_safe(
+        df, ranks.select(*keys, value, F.col("rank").alias(name)), [*keys, value]
+    )
 
 
-def _top_ranks(df: DataFrame, keys: list[str], value: str, name: str, limit: int) -> DataFrame:
-    """Ranks up to ``limit`` need only the ``limit`` largest distinct values."""
+def top_ranks(
+    df: DataFrame, keys: Sequence[str], value: str, name: str, limit: int
+) -> DataFrame:
+    """(keys, value, rank) for ranks up to ``limit``: the ``limit`` largest values suffice."""
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
     w = W.partitionBy(*keys).orderBy(F.col(value).desc())
     top = counts.withColumn("_d", F.row_number().over(w)).filter(F.col("_d") <= limit).drop("_d")
     above = F.sum("n").over(w.rowsBetween(W.unboundedPreceding, -1))
-    ranks = (
+    return (
         top.withColumn(name, F.coalesce(above, F.lit(0)) + 1)
         .filter(F.col(name) <= limit)
         .drop("n")
     )
-    return join_null_safe(df, ranks, [*keys, value])
 
 
 def with_percent_rank(
@@ -330,17 +224,16 @@ def with_percent_rank(
     name: str,
     *,
     of: DataFrame | None = None,
-    row_bound: int | None = None,
-    split_rows: int = SPLIT_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """PERCENT_RANK by ``value`` ascending inside ``keys``.
 
     ``of`` ranks against another frame (the whole table) than the rows returned.
     """
-    ranks = value_ranks(
-        df if of is None else of, keys, value, row_bound=row_bound, split_rows=split_rows
-    ).select(*keys, value, F.col("pct_rank").alias(name))
-    return join_null_safe(df, ranks, [*keys, value])
+    ranks = value_ranks(df if of is None else of, keys, value, slices=slices)
+    return join_null_safe(
+        df, ranks.select(*keys, value, F.col("pct_rank").alias(name)), [*keys, value]
+    )
 
 
 def exact_quantiles(
@@ -350,8 +243,7 @@ def exact_quantiles(
     named: dict[str, float],
     *,
     interpolate: bool = False,
-    row_bound: int | None = None,
-    split_rows: int = SPLIT_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Exact quantiles per key, one column per entry of ``named``.
 
@@ -362,8 +254,7 @@ def exact_quantiles(
         df.filter(F.col(value).isNotNull()).select(*keys, value),
         keys,
         value,
-        row_bound=row_bound,
-        split_rows=split_rows,
+        slices=slices,
     )
     first, last, total = F.col("cum") - F.col("n"), F.col("cum"), F.col("total")
 

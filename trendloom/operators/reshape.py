@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from trendloom.operators.joins import keep_matching
-from trendloom.operators.ordered import SPLIT_ROWS, ordered_windows
+from trendloom.operators.ordered import ordered_windows
 
 # Divisors that bring chart metrics to a common scale.
 TITLE_SCALE = 100
@@ -37,7 +37,7 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def first_distinct_ids(df: DataFrame, column: str, n: int = 100) -> DataFrame:
+def first_distinct_ids(df: DataFrame, column: str, n: int) -> DataFrame:
     """The n smallest distinct non-NULL ids."""
     return df.select(column).dropna().distinct().orderBy(column).limit(n)
 
@@ -46,19 +46,10 @@ def head(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def id_batches(
-    df: DataFrame,
-    column: str,
-    size: int = 50,
-    *,
-    row_bound: int | None = None,
-    split_rows: int = SPLIT_ROWS,
-) -> DataFrame:
+def id_batches(df: DataFrame, column: str, size: int = 50) -> DataFrame:
     """Distinct ids in order, cut into batches of ``size``; only the last is short."""
     ids = df.select(column).dropna().distinct()
-    placed = ordered_windows(
-        ids, [], [column], column, position="pos", row_bound=row_bound, split_rows=split_rows
-    )
+    placed = ordered_windows(ids, [], [column], column, position="pos")
     batch = F.floor((F.col("pos") - 1) / size)
     return placed.groupBy(batch.alias("batch")).agg(
         F.array_sort(F.collect_list(column)).alias("ids")

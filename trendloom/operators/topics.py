@@ -21,7 +21,6 @@ def quantile_scalar(
     probs: dict[str, float],
     *,
     exact: bool,
-    row_bound: int | None,
     interpolate: bool = False,
 ) -> Column:
     """Whole-table quantiles as one struct-valued scalar subquery.
@@ -29,7 +28,7 @@ def quantile_scalar(
     Rows are compared with it in place; no row travels to a global window.
     """
     if exact:
-        q = exact_quantiles(df, [], value, probs, interpolate=interpolate, row_bound=row_bound)
+        q = exact_quantiles(df, [], value, probs, interpolate=interpolate)
     else:
         q = approx_quantiles(df, [], value, probs)
     return q.select(F.struct(*probs).alias("q")).scalar()
@@ -43,11 +42,10 @@ def with_tier(
     otherwise: str,
     *,
     exact: bool = False,
-    row_bound: int | None = None,
 ) -> DataFrame:
     """Label rows by the first quantile they strictly exceed, highest first."""
     probs = {f"q{i}": p for i, (_, p) in enumerate(tiers)}
-    q = quantile_scalar(df, value, probs, exact=exact, row_bound=row_bound)
+    q = quantile_scalar(df, value, probs, exact=exact)
     tiered = df.withColumn("_q", q)
     label = F.when(F.col(value) > F.col("_q.q0"), tiers[0][0])
     for i, (text, _) in enumerate(tiers[1:], 1):
@@ -56,7 +54,7 @@ def with_tier(
 
 
 def viral_factors(
-    df: DataFrame, *, exact: bool = False, row_bound: int | None = None
+    df: DataFrame, *, exact: bool = False
 ) -> DataFrame:
     """Title, tag and engagement profile of viral, popular and other videos."""
 
@@ -66,7 +64,7 @@ def viral_factors(
     tiers = [("Viral", 0.95), ("Popular", 0.75)]
     return (
         with_tier(
-            df, "views", "viral_category", tiers, "Normal", exact=exact, row_bound=row_bound
+            df, "views", "viral_category", tiers, "Normal", exact=exact
         )
         .groupBy("viral_category")
         .agg(
@@ -85,7 +83,6 @@ def time_performance(
     min_samples: int = 30,
     *,
     exact: bool = False,
-    row_bound: int | None = None,
 ) -> DataFrame:
     """Per hour, weekday and country, cells with more than ``min_samples`` rows."""
     cells = df.select(
@@ -105,7 +102,7 @@ def time_performance(
         measures.append(F.percentile_approx("views", 0.75).alias("p75_views"))
     stats = cells.groupBy(*keys).agg(*measures)
     if exact:
-        p75 = exact_quantiles(cells, keys, "views", {"p75_views": 0.75}, row_bound=row_bound)
+        p75 = exact_quantiles(cells, keys, "views", {"p75_views": 0.75})
         stats = join_null_safe(stats, p75, keys, "left")
     return stats.filter(F.col("sample_size") > min_samples)
 
@@ -181,7 +178,6 @@ def channel_strategies(
     min_videos: int = 5,
     *,
     exact: bool = False,
-    row_bound: int | None = None,
 ) -> DataFrame:
     """Profiles averaged over channel tiers; tiers compare mean views."""
     # read by the tier limits and by the tiers: one pass over the facts
@@ -195,7 +191,6 @@ def channel_strategies(
             tiers,
             "Below Average",
             exact=exact,
-            row_bound=row_bound,
         )
         .groupBy("performance_tier")
         .agg(

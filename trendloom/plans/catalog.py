@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendloom.functions import (
+    bytes_to_gb,
+    bytes_to_mb,
     category_name,
     coerce_long,
     coerce_timestamp,
@@ -61,14 +65,6 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> int:
-    return star.row_bound(spark, sf_dir, "lineitem")
-
-
-def _events(spark: SparkSession, sf_dir: str) -> int:
-    return star.row_bound(spark, sf_dir, "events")
-
-
 # --- derived columns ---------------------------------------------------------
 
 _GAP_KEYS = ["video_id", "trending_date", "category_id", "views", "likes"]
@@ -230,7 +226,7 @@ def drop_null_title(spark, sf_dir):
 def iqr_filter(spark, sf_dir):
     facts = star.facts_hourly(spark, sf_dir).select("video_id", "views")
     return cleaning.iqr_filter(
-        facts, "views", 1.5, exact=True, row_bound=_events(spark, sf_dir)
+        facts, "views", 1.5, exact=True
     )
 
 
@@ -252,7 +248,6 @@ def category_insights(spark, sf_dir):
         star.facts_daily(spark, sf_dir),
         star.category_dimension_from_nations(spark, sf_dir),
         exact=True,
-        row_bound=_lines(spark, sf_dir),
     )
     return rounded(rounded(out, "avg_engagement", "max_virality"), "view_stddev", digits=3)
 
@@ -296,13 +291,13 @@ def _named_daily(spark, sf_dir) -> DataFrame:
 @_register
 def category_trends(spark, sf_dir):
     out = agg.category_trends(_named_daily(spark, sf_dir))
-    return rounded(rounded(out, "avg_engagement"), "trending_score", digits=4)
+    return rounded(rounded(out, "avg_engagement"), "trending_score", digits=2)
 
 
 @_register
 def category_trends_named(spark, sf_dir):
     out = agg.category_trends_named(_named_daily(spark, sf_dir))
-    return rounded(rounded(out, "avg_engagement"), "trending_score", digits=4)
+    return rounded(rounded(out, "avg_engagement"), "trending_score", digits=2)
 
 
 @_register
@@ -332,7 +327,7 @@ def storage_summary(spark, sf_dir):
 @_register
 def basic_stats(spark, sf_dir):
     out = agg.basic_stats(
-        star.facts_daily(spark, sf_dir), exact=True, row_bound=_lines(spark, sf_dir)
+        star.facts_daily(spark, sf_dir), exact=True
     )
     return rounded(out, "avg_engagement", "avg_like_ratio")
 
@@ -374,14 +369,14 @@ def correlation_pairs(spark, sf_dir):
 @_register
 def trending_analysis(spark, sf_dir):
     return trending.trending_analysis(
-        star.facts_daily(spark, sf_dir), top=5, row_bound=_lines(spark, sf_dir)
+        star.facts_daily(spark, sf_dir), top=5
     )
 
 
 @_register
 def trending_top_n(spark, sf_dir):
     facts = star.facts_daily(spark, sf_dir)
-    return trending.trending_top(facts, top=3, row_bound=_lines(spark, sf_dir)).select(
+    return trending.trending_top(facts, top=3).select(
         "country", "trending_date", "video_id", "views", "daily_rank"
     )
 
@@ -390,7 +385,7 @@ def trending_top_n(spark, sf_dir):
 def window_daily_rank(spark, sf_dir):
     facts = star.facts_daily(spark, sf_dir).select("country", "trending_date", "views")
     return with_rank(
-        facts, trending.DAY_GROUP, "views", "daily_rank", row_bound=_lines(spark, sf_dir)
+        facts, trending.DAY_GROUP, "views", "daily_rank"
     )
 
 
@@ -398,7 +393,7 @@ def window_daily_rank(spark, sf_dir):
 def window_percent_rank(spark, sf_dir):
     facts = star.facts_daily(spark, sf_dir).select("category_id", "video_id", "views")
     return with_percent_rank(
-        facts, ["category_id"], "views", "percentile", row_bound=_lines(spark, sf_dir)
+        facts, ["category_id"], "views", "percentile"
     )
 
 
@@ -414,7 +409,6 @@ def window_channel_momentum(spark, sf_dir):
         "views",
         moving=("channel_7day_avg", 7),
         running="cumulative_channel_views",
-        row_bound=_lines(spark, sf_dir),
     )
 
 
@@ -427,7 +421,22 @@ def window_previous_views(spark, sf_dir):
         trending.VIDEO_ORDER,
         "views",
         previous="prev_day_views",
-        row_bound=_lines(spark, sf_dir),
+    )
+
+
+@_register
+def window_one_channel(spark, sf_dir):
+    """Every row under one key: the group is far larger than any task's share."""
+    facts = star.facts_daily(spark, sf_dir).select(*trending.CHANNEL_ORDER)
+    return ordered_windows(
+        facts.withColumn("channel_title", F.lit("all")),
+        ["channel_title"],
+        trending.CHANNEL_ORDER,
+        "views",
+        previous="prev_views",
+        moving=("moving_avg", 7),
+        running="running_views",
+        position="pos",
     )
 
 
@@ -438,7 +447,7 @@ _VIRAL = ["avg_title_length", "avg_tag_count", "avg_engagement"]
 
 def _viral(spark, sf_dir) -> DataFrame:
     return topics.viral_factors(
-        star.facts_daily(spark, sf_dir), exact=True, row_bound=_lines(spark, sf_dir)
+        star.facts_daily(spark, sf_dir), exact=True
     )
 
 
@@ -452,7 +461,6 @@ def topic_viral_factors_text(spark, sf_dir):
     out = topics.viral_factors(
         star.facts_text(spark, sf_dir),
         exact=True,
-        row_bound=star.row_bound(spark, sf_dir, "documents"),
     )
     return rounded(out, *_VIRAL)
 
@@ -460,7 +468,7 @@ def topic_viral_factors_text(spark, sf_dir):
 @_register
 def topic_time_performance(spark, sf_dir):
     out = topics.time_performance(
-        star.facts_hourly(spark, sf_dir), 5, exact=True, row_bound=_events(spark, sf_dir)
+        star.facts_hourly(spark, sf_dir), 5, exact=True
     )
     return rounded(out, "avg_engagement")
 
@@ -486,7 +494,7 @@ def topic_category_evolution(spark, sf_dir):
 def _strategies(spark, sf_dir) -> DataFrame:
     return rounded(
         topics.channel_strategies(
-            star.facts_daily(spark, sf_dir), exact=True, row_bound=_lines(spark, sf_dir)
+            star.facts_daily(spark, sf_dir), exact=True
         ),
         "avg_category_diversity",
         "avg_consistency",
@@ -541,7 +549,7 @@ def head_n(spark, sf_dir):
 @_register
 def id_batches(spark, sf_dir):
     batches = reshape.id_batches(
-        star.facts_daily(spark, sf_dir), "video_id", 50, row_bound=_lines(spark, sf_dir)
+        star.facts_daily(spark, sf_dir), "video_id", 50
     )
     return batches.select(
         "batch", F.size("ids").alias("size"), F.array_join("ids", ",").alias("ids")
@@ -598,7 +606,7 @@ _RAW_ORDER = (
 
 def _clean(spark, sf_dir):
     cfg = cleaning.CleanConfig(
-        order=_RAW_ORDER, outlier_k=0.5, exact=True, row_bound=_lines(spark, sf_dir)
+        order=_RAW_ORDER, outlier_k=0.5, exact=True
     )
     return cleaning.clean(star.raw_daily(spark, sf_dir), cfg)
 
@@ -643,11 +651,39 @@ def window_trends_batch(spark, sf_dir):
 
 @_register
 def window_trends_stream(spark, sf_dir):
-    """Windows the watermark has closed once the landed events are read."""
-    trends = windowed_trends(star.deltas_from_events(_event_stream(spark, sf_dir)))
+    """Every window, closed or open, in its last state."""
+    return _streamed_trends(spark, _event_stream(spark, sf_dir))
+
+
+_WINDOW_KEYS = ["window_start", "window_end", "video_id"]
+
+
+def _streamed_trends(spark, events, mode="update") -> DataFrame:
+    trends = windowed_trends(star.deltas_from_events(events))
     out, checkpoint = new_path(spark, "trends"), new_path(spark, "trends-checkpoint")
-    ingest.append_files(trends, out, checkpoint, available_now=True).awaitTermination()
-    return spark.read.schema(trends.schema).parquet(out)
+    ingest.update_files(trends, out, checkpoint, mode=mode, available_now=True).awaitTermination()
+    return ingest.latest_state(spark, out, trends.schema, _WINDOW_KEYS)
+
+
+@_register
+def window_trends_complete(spark, sf_dir):
+    """The same in complete mode: every batch writes the whole result."""
+    return _streamed_trends(spark, _event_stream(spark, sf_dir), "complete")
+
+
+@_register
+def window_trends_late(spark, sf_dir):
+    """Events land in two halves; then the first hour's come again and are too late."""
+    events = star.table(spark, sf_dir, "events")
+    half, hour = events.agg(
+        F.min("ts") + (F.max("ts") - F.min("ts")) / 2, F.min("ts") + F.expr("INTERVAL 1 HOUR")
+    ).first()
+    path = new_path(spark, "landing")
+    for landing in (F.col("ts") <= half, F.col("ts") > half, F.col("ts") <= hour):
+        events.where(landing).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)  # landings are read in the order of their files' times
+    stream = ingest.landed_source(spark, path, events.schema, files_per_trigger=1)
+    return _streamed_trends(spark, stream)
 
 
 @_register
@@ -698,7 +734,7 @@ def job_load_channels(spark, sf_dir):
 @_register
 def job_load_trends(spark, sf_dir):
     out = _job_table(spark, sf_dir, "category_trends")
-    return rounded(rounded(out, "avg_engagement"), "trending_score", digits=4)
+    return rounded(rounded(out, "avg_engagement"), "trending_score", digits=2)
 
 
 @_register
@@ -706,6 +742,54 @@ def job_load_time_series(spark, sf_dir):
     return _job_table(spark, sf_dir, "time_series_metrics")
 
 
+def _yearly(spark, sf_dir) -> DataFrame:
+    """Raw rows dated by year, so that a folder per date and country holds some rows."""
+    raw = star.raw_daily(spark, sf_dir)
+    return raw.withColumn(
+        "trending_date", F.date_trunc("year", F.try_to_timestamp("trending_date")).cast("date")
+    )
+
+
+@_register
+def job_load_history(spark, sf_dir):
+    """Facts of even and odd years loaded apart and the first part again: all are there."""
+    raw = _yearly(spark, sf_dir)
+    even = F.coalesce(F.year("trending_date") % 2, F.lit(0)) == 0
+    target = new_path(spark, "history")
+    for part in (raw.where(even), raw.where(~even), raw.where(even)):
+        paths = load.job_load(part, target, tables=[])
+    return spark.read.orc(paths["facts"]).select(
+        "video_id", "trending_date", "country", "views", "likes", "dislikes", "comment_count"
+    )
+
+
+def _filled(spark, sf_dir) -> dict[str, str]:
+    """A new database with the data model, filled in two loads."""
+    name = f"trendloom_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{new_path(spark, 'tables')}'")
+    raw = _yearly(spark, sf_dir).withColumn("tags", F.replace("channel_title", F.lit("#"), F.lit("|")))
+    even = F.coalesce(F.year("trending_date") % 2, F.lit(0)) == 0
+    load.job_fill_tables(raw.where(even), name)
+    return load.job_fill_tables(raw.where(~even), name)
+
+
+@_register
+def tables_fact_videos(spark, sf_dir):
+    return rounded(
+        spark.table(_filled(spark, sf_dir)["fact_videos"]).select(
+            "video_id", "trending_date", "country", "category_id", "views", "likes",
+            F.size("tags").alias("tag_count"), "virality_score",
+        ),
+        "virality_score",
+    )
+
+
+@_register
+def tables_category_trends(spark, sf_dir):
+    out = spark.table(_filled(spark, sf_dir)["category_trends"])
+    return rounded(rounded(out, "avg_engagement"), "trending_score", digits=2)
+
+
 @_register
 def job_batch_enrich(spark, sf_dir):
     raw = star.facts_daily(spark, sf_dir).select(
@@ -738,15 +822,20 @@ def job_summarise(spark, sf_dir):
     facts = star.facts_daily(spark, sf_dir).withColumn(
         "category_name", category_name(unknown="Unknown")
     )
-    out = summary.summarise(facts, exact=True, row_bound=_lines(spark, sf_dir))
+    out = summary.summarise(facts, exact=True)
     return rounded(out, "avg_engagement", "avg_like_ratio")
 
 
 # --- files -------------------------------------------------------------------
 
 @_register
-def file_inventory(spark, sf_dir):
-    return files.inventory_summary(files.file_inventory(spark, sf_dir))
+def text_size_mb(spark, sf_dir):
+    """Text stored per source of documents, in MB and GB."""
+    size = F.sum(F.octet_length("text"))
+    docs = star.table(spark, sf_dir, "documents").groupBy("source")
+    return docs.agg(size.alias("bytes")).select(
+        "source", "bytes", bytes_to_mb(F.col("bytes")).alias("mb"), bytes_to_gb(F.col("bytes")).alias("gb")
+    )
 
 
 @_register
@@ -811,7 +900,7 @@ def roundtrip_tsv(spark, sf_dir):
 def roundtrip_json(spark, sf_dir):
     path = new_path(spark, "json")
     _trip_rows(spark, sf_dir).write.option("compression", "gzip").json(path)
-    return files.read_jsonl(spark, path, None, _TRIP)
+    return files.read_jsonl(spark, path, _TRIP)
 
 
 @_register

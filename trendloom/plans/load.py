@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from trendloom.functions import (
@@ -18,8 +18,15 @@ from trendloom.functions import (
 )
 from trendloom.operators import aggregates
 from trendloom.operators.cleaning import narrow_types
-from trendloom.schemas import FACT_PARTITIONS
-from trendloom.sources.sinks import write_files, write_table
+from trendloom.operators.joins import broadcast_if_small
+from trendloom.schemas import FACT_PARTITIONS, FACT_VIDEOS, category_dimension
+from trendloom.sources.sinks import (
+    collect_statistics,
+    create_tables,
+    insert_partitions,
+    replace_partitions,
+    write_table,
+)
 
 
 def load_facts(raw: DataFrame) -> DataFrame:
@@ -54,19 +61,20 @@ def job_load(
 ) -> dict[str, str]:
     """Facts and aggregate tables as partitioned ORC below ``target``.
 
-    The aggregates read the written facts: columnar, typed, scanned by column.
+    Facts of other partitions stay, so days can be loaded one by one and again. The
+    aggregates are built from all facts stored: columnar, typed, scanned by column.
     ``partitions`` overrides the layout of single tables, for data too thin for
     a folder per day; ``tables`` limits the aggregates built.
     """
     spark = raw.sparkSession
     layout = partitions or {}
     paths = {"facts": f"{target}/facts"}
-    write_files(load_facts(raw), paths["facts"], "orc", layout.get("facts", FACT_PARTITIONS))
+    replace_partitions(load_facts(raw), paths["facts"], layout.get("facts", FACT_PARTITIONS))
     facts = spark.read.orc(paths["facts"])
     for name, (df, usual) in build_aggregates(facts).items():
         if tables is None or name in tables:
             paths[name] = f"{target}/{name}"
-            write_files(df, paths[name], "orc", layout.get(name, usual))
+            replace_partitions(df, paths[name], layout.get(name, usual))
     return paths
 
 
@@ -106,26 +114,53 @@ def job_batch_enrich(
 ) -> EnrichMetrics:
     """Enrich, write partitioned ORC, and report.
 
-    Input rows and text size are observed while the write runs, so the input
-    is read once.
+    Rows, text sizes and partitions are observed while the write runs, so the input
+    is read once and what is stored not at all. Other partitions stay.
     """
-    seen = Observation("input")
+    seen, made = Observation("input"), Observation("output")
     observed = raw.observe(
         seen,
         F.count(F.lit(1)).alias("records"),
         F.sum(aggregates.row_chars(raw)).alias("chars"),
     )
-    write_files(enrich(observed), path, "orc", partitions)
-    stored = raw.sparkSession.read.orc(path)
-    chars = aggregates.text_size(stored).first()["chars"]
+    enriched = enrich(observed)
+    replace_partitions(
+        enriched.observe(made, F.sum(aggregates.row_chars(enriched)).alias("chars")), path, partitions
+    )
+    stored = raw.sparkSession.read.orc(path)  # the folders alone say how many there are
     parts = aggregates.distinct_partitions(stored, partitions).first()["partitions"]
     before = seen.get["chars"]
-    saved = (1 - chars / before) * 100 if before else 0.0
+    saved = (1 - (made.get["chars"] or 0) / before) * 100 if before else 0.0
     return EnrichMetrics(seen.get["records"], parts, saved)
 
 
-def load_from(spark: SparkSession, path: str, target: str) -> dict[str, str]:
-    """``job_load`` from CSV files with a header."""
-    from trendloom.sources.files import read_csv_dir
+def job_fill_tables(raw: DataFrame, database: str) -> dict[str, str]:
+    """The whole data model, created and filled: facts, categories and aggregates.
 
-    return job_load(read_csv_dir(spark, path), target)
+    ``raw`` are text observations; tags and virality are added on the way. Partitions
+    of other days stay, and the aggregates are built from all facts stored.
+    """
+    spark = raw.sparkSession
+    create_tables(spark, database)
+    names = (
+        "fact_videos", "dim_categories", "channel_statistics", "category_trends",
+        "time_series_metrics",
+    )
+    tables = {n: f"{database}.{n}" for n in names}
+    facts = load_facts(raw).withColumn("virality_score", virality_score())
+    tags = split_tags() if "tags" in raw.columns else F.lit(None)
+    facts = facts.withColumn("tags", tags)
+    if "description" not in facts.columns:
+        facts = facts.withColumn("description", F.lit(None))
+    typed = facts.select(*[F.col(f.name).cast(f.dataType) for f in FACT_VIDEOS])
+    insert_partitions(typed, tables["fact_videos"], FACT_PARTITIONS)
+    dim = category_dimension(spark).select(*spark.table(tables["dim_categories"]).columns)
+    dim.coalesce(1).write.insertInto(tables["dim_categories"], overwrite=True)
+    names = spark.table(tables["dim_categories"]).select("category_id", "category_name")
+    named = spark.table(tables["fact_videos"]).join(broadcast_if_small(names), "category_id", "left")
+    for name, (df, partitions) in build_aggregates(named).items():
+        contract = spark.table(tables[name]).schema
+        df = df.select(*[F.col(f.name).cast(f.dataType) for f in contract])
+        insert_partitions(df, tables[name], partitions)
+    collect_statistics(spark, list(tables.values()))
+    return tables

@@ -84,8 +84,8 @@ raw AS (
 )"""
 
 
-def _strict_int(c: str) -> str:
-    return f"CASE WHEN regexp_full_match({c}, '[0-9]+') THEN CAST({c} AS BIGINT) END"
+def _whole(c: str) -> str:
+    return f"CAST(trunc(TRY_CAST({c} AS DOUBLE)) AS BIGINT)"
 
 
 def _lenient_int(c: str) -> str:
@@ -99,9 +99,9 @@ _LOOSE_COUNTRY = "regexp_extract(source_file, '([A-Z]{2})', 1)"
 _LOADED = f"""{_RAW},
 typed AS (
     SELECT video_id, title, channel_title, category_id,
-        {_strict_int('views')} AS views, {_strict_int('likes')} AS likes,
-        coalesce({_strict_int('dislikes')}, 0) AS dislikes,
-        {_strict_int('comment_count')} AS comment_count,
+        {_whole('views')} AS views, {_whole('likes')} AS likes,
+        coalesce({_whole('dislikes')}, 0) AS dislikes,
+        {_whole('comment_count')} AS comment_count,
         TRY_CAST(trending_date AS DATE) AS trending_date,
         TRY_CAST(publish_time AS TIMESTAMP) AS publish_time,
         CASE WHEN source_file IS NULL THEN 'XX'
@@ -114,6 +114,11 @@ d AS (
     FROM typed
 )"""
 
+_YEARLY = _LOADED.replace(
+    "TRY_CAST(trending_date AS DATE) AS trending_date",
+    "CAST(date_trunc('year', TRY_CAST(trending_date AS DATE)) AS DATE) AS trending_date",
+)
+
 _HOURLY = f"""
 h AS (
     SELECT *, {_SAFE_RATE} AS engagement_rate FROM (
@@ -156,7 +161,7 @@ _TRENDS = """
     country, count(*) AS video_count, CAST(sum(views) AS BIGINT) AS total_views,
     avg(views) AS avg_views, avg(likes) AS avg_likes,
     round(avg(engagement_rate), 6) AS avg_engagement,
-    round(CAST(sum(views) AS DOUBLE) / count(*) * avg(engagement_rate) * 1000, 4)
+    round(CAST(sum(views) AS DOUBLE) / count(*) * avg(engagement_rate) * 1000, 2)
         AS trending_score"""
 
 _TIME_SERIES = """
@@ -576,6 +581,14 @@ def oracle_sql() -> dict[str, str]:
         "window_previous_views": _on(
             _DAILY, f"SELECT video_id, {_VIDEO_ORDER}, {_PREVIOUS} FROM d"
         ),
+        "window_one_channel": _on(
+            _DAILY,
+            f"""SELECT {_CHANNEL_ORDER}, 'all' AS channel_title, lag(views) OVER w AS prev_views,
+                    avg(views) OVER (w ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS moving_avg,
+                    CAST(sum(views) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_views,
+                    row_number() OVER w AS pos
+                FROM d WINDOW w AS (ORDER BY {_CHANNEL_ORDER})""",
+        ),
         "topic_viral_factors": _on(f"{_DAILY}, {_viral('d')}", _VIRAL_OUT),
         "topic_viral_factors_text": _on(f"{_TEXT}, {_viral('t')}", _VIRAL_OUT),
         "topic_time_performance": _on(
@@ -684,11 +697,9 @@ def oracle_sql() -> dict[str, str]:
                 FROM c""",
         ),
         "window_trends_batch": _on(_WINDOWS, "SELECT * FROM trends"),
-        "window_trends_stream": _on(
-            _WINDOWS,
-            """SELECT * FROM trends
-                WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
-        ),
+        "window_trends_stream": _on(_WINDOWS, "SELECT * FROM trends"),
+        "window_trends_complete": _on(_WINDOWS, "SELECT * FROM trends"),
+        "window_trends_late": _on(_WINDOWS, "SELECT * FROM trends"),
         "stream_ingest": """
             SELECT event_id, true AS has_id, true AS delta_in_range, true AS is_timed
             FROM events""",
@@ -709,6 +720,30 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT category_id, min(category_name) AS category_name, {_TRENDS} FROM d
                 WHERE category_id IS NOT NULL GROUP BY 1, 3, 4, 5""",
         ),
+        "job_load_history": _on(
+            _YEARLY,
+            """SELECT video_id, trending_date, country, views, likes, dislikes, comment_count
+                FROM typed""",
+        ),
+        "tables_fact_videos": _on(
+            _YEARLY,
+            """SELECT video_id, trending_date, country, category_id, views, likes,
+                CAST(len(string_split(replace(channel_title, '#', '|'), '|')) AS BIGINT)
+                    AS tag_count,
+                round(engagement_rate * CASE WHEN views > 0 THEN log10(views) * 100 END, 6)
+                    AS virality_score
+                FROM d""",
+        ),
+        "tables_category_trends": _on(
+            _YEARLY,
+            f"""SELECT category_id, min(category_name) AS category_name, {_TRENDS} FROM d
+                WHERE category_id IS NOT NULL GROUP BY 1, 3, 4, 5""",
+        ),
+        "text_size_mb": """
+            SELECT source, CAST(sum(strlen(text)) AS BIGINT) AS bytes,
+                CAST(sum(strlen(text)) AS DOUBLE) / 1048576 AS mb,
+                CAST(sum(strlen(text)) AS DOUBLE) / 1073741824 AS gb
+            FROM documents GROUP BY source""",
         "job_load_time_series": _on(_LOADED, _TIME_SERIES.format(src="d")),
         "job_batch_enrich": _on(
             _DAILY,
@@ -745,8 +780,8 @@ def oracle_sql() -> dict[str, str]:
             f AS (
                 SELECT CAST(sum({_chars('')}) AS BIGINT) AS final_chars
                 FROM (SELECT * REPLACE (CAST(category_id AS BIGINT) AS category_id,
-                        {_strict_int('views')} AS views, {_strict_int('likes')} AS likes,
-                        coalesce({_strict_int('dislikes')}, 0) AS dislikes,
+                        {_whole('views')} AS views, {_whole('likes')} AS likes,
+                        coalesce({_whole('dislikes')}, 0) AS dislikes,
                         TRY_CAST(trending_date AS DATE) AS trending_date,
                         TRY_CAST(publish_time AS TIMESTAMP) AS publish_time) FROM raw)
             )""",

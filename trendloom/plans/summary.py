@@ -13,14 +13,14 @@ CORRELATED = ["views", "likes", "dislikes", "comment_count", "engagement_rate"]
 
 
 def summarise(
-    df: DataFrame, *, exact: bool = False, row_bound: int | None = None
+    df: DataFrame, *, exact: bool = False
 ) -> DataFrame:
     """One row with the overall statistics, top category and peak month."""
     months = aggregates.monthly_summary(aggregates.monthly_series(df))
     top = aggregates.mode_value(df, "category_name").select("category_name")
     peak = months.select(F.struct("*").alias("m")).scalar()
     return (
-        aggregates.basic_stats(df, exact=exact, row_bound=row_bound)
+        aggregates.basic_stats(df, exact=exact)
         .withColumn("top_category", top.scalar())
         .withColumn("_m", peak)
         .select(
@@ -34,14 +34,14 @@ def summarise(
 
 
 def summary_document(
-    df: DataFrame, *, exact: bool = False, row_bound: int | None = None
+    df: DataFrame, *, exact: bool = False
 ) -> DataFrame:
     """``summarise`` with the short rankings nested in it, stamped with the time."""
 
     def nested(rows: DataFrame):
         return rows.agg(F.collect_list(F.struct("*")).alias("rows")).scalar()
 
-    return summarise(df, exact=exact, row_bound=row_bound).withColumns(
+    return summarise(df, exact=exact).withColumns(
         {
             "top_categories": nested(aggregates.top_values(df, "category_name", 5)),
             "top_countries": nested(aggregates.country_stats(df, 5)),

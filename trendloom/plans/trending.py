@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from trendloom.functions import growth_pct
 from trendloom.operators.ordered import (
-    SPLIT_ROWS,
-    large_key_sets,
+    join_null_safe,
     ordered_windows,
+    top_ranks,
     with_percent_rank,
     with_rank,
 )
@@ -20,63 +20,32 @@ CHANNEL_ORDER = ["trending_date", "video_id", "country", "category_id", "views"]
 VIDEO_ORDER = ["trending_date", "country", "channel_title", "category_id", "views"]
 
 
-def trending_analysis(
-    df: DataFrame,
-    top: int = 100,
-    *,
-    row_bound: int | None = None,
-    split_rows: int = SPLIT_ROWS,
-) -> DataFrame:
+def trending_analysis(df: DataFrame, top: int = 100) -> DataFrame:
     """Window measures over all observations, then the day's top ranks.
 
-    The rank comes first, so titles of rows that will not be shown are dropped
-    before the wider shuffles. The category percentile needs only value counts
-    of the table and is joined to the rows that remain.
+    Ranks and category percentiles need only value counts of the table; they are
+    joined to the rows once the row-wise windows are there.
     """
-    size = {"row_bound": row_bound, "split_rows": split_rows}
     facts = df.select(
         "video_id", "title", "channel_title", "category_id", "views", "trending_date", "country"
     )
-    large = large_key_sets(facts, [DAY_GROUP, ["channel_title"], ["video_id"]], **size)
-    ranked = with_rank(
-        facts, DAY_GROUP, "views", "daily_rank", split=large[0], **size
-    ).withColumn("title", F.when(F.col("daily_rank") <= top, F.col("title")))
     by_channel = ordered_windows(
-        ranked,
+        facts,
         ["channel_title"],
         CHANNEL_ORDER,
         "views",
         moving=("channel_7day_avg", 7),
         running="cumulative_channel_views",
-        split=large[1],
-        **size,
     )
     by_video = ordered_windows(
-        by_channel,
-        ["video_id"],
-        VIDEO_ORDER,
-        "views",
-        previous="prev_day_views",
-        split=large[2],
-        **size,
-    )
-    kept = by_video.filter(F.col("daily_rank") <= top)
-    placed = with_percent_rank(
-        kept, ["category_id"], "views", "category_percentile", of=facts, **size
-    )
-    return placed.withColumn(
-        "growth_rate", growth_pct(F.col("views"), F.col("prev_day_views"))
+        by_channel, ["video_id"], VIDEO_ORDER, "views", previous="prev_day_views"
     )
+    ranks = top_ranks(facts, DAY_GROUP, "views", "daily_rank", top)
+    kept = join_null_safe(by_video, ranks, [*DAY_GROUP, "views"])
+    placed = with_percent_rank(kept, ["category_id"], "views", "category_percentile", of=facts)
+    return placed.withColumn("growth_rate", growth_pct(F.col("views"), F.col("prev_day_views")))
 
 
-def trending_top(
-    df: DataFrame,
-    top: int = 100,
-    *,
-    row_bound: int | None = None,
-    split_rows: int = SPLIT_ROWS,
-) -> DataFrame:
+def trending_top(df: DataFrame, top: int = 100) -> DataFrame:
     """Only the daily rank cut: Spark trims each partition before the shuffle."""
-    return with_rank(
-        df, DAY_GROUP, "views", "daily_rank", limit=top, row_bound=row_bound, split_rows=split_rows
-    )
+    return with_rank(df, DAY_GROUP, "views", "daily_rank", limit=top)

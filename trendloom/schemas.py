@@ -133,8 +133,6 @@ API_ITEM = _struct(
     ),
 )
 
-FILE_MANIFEST = _struct(key=_STRING, filename=_STRING, size_mb=_DOUBLE, description=_STRING)
-
 
 def category_dimension(spark: SparkSession) -> DataFrame:
     """The built-in category dimension, one row per known id."""

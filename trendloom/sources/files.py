@@ -133,8 +133,8 @@ def _too_long(names: list[str], sep: str) -> Column:
     return F.col(_CORRUPT).isNotNull() & (separators >= len(names)) & (data >= 0)
 
 
-def read_jsonl(spark: SparkSession, path: str, n: int | None = 1000, schema=None) -> DataFrame:
-    """JSON lines; the first ``n`` objects, or all with ``n=None``."""
+def read_jsonl(spark: SparkSession, path: str, schema=None, *, n: int | None = None) -> DataFrame:
+    """JSON lines; all objects, or the first ``n``."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     df = reader.json(path)
     return df if n is None else df.limit(n)

@@ -43,7 +43,14 @@ def write_table(
     fmt: str = "orc",
     path: str | None = None,
 ) -> None:
-    """Write and register a table; ``buckets`` is (count, column)."""
+    """Write and register a table; ``buckets`` is (count, column).
+
+    A partitioned table that exists keeps the partitions that ``df`` does not have.
+    """
+    spark = df.sparkSession
+    if partitions and spark.catalog.tableExists(name):
+        insert_partitions(df, name, partitions)
+        return
     writer = arranged(df, partitions).write.mode("overwrite").format(fmt)
     writer = writer.option("compression", "snappy")
     if path:
@@ -55,6 +62,19 @@ def write_table(
     writer.saveAsTable(name)
 
 
+def insert_partitions(df: DataFrame, name: str, partitions: Sequence[str]) -> None:
+    """Overwrite only the partitions of a table that occur in ``df``."""
+    spark = df.sparkSession
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        columns = spark.table(name).columns
+        arranged(df, partitions).select(*columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str], fmt="orc") -> None:
     """Overwrite only the partitions that occur in ``df``; a rerun is harmless."""
     write_files(df, path, fmt, partitions, partitionOverwriteMode="dynamic")

@@ -15,11 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def row_bound(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Rows of a base table, from parquet footers. Joins to its parents add none."""
-    return table(spark, sf_dir, name).count()
-
-
 def _whole(value: Column, scale: int = 1) -> Column:
     return F.floor(value * scale)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,6 +70,40 @@ def append_files(
     return writer.start(path)
 
 
+def update_files(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    mode: str = "update",
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Every state of an aggregation that changed, a folder for each micro-batch.
+
+    Open windows are written too. A batch that is run again replaces its own folder.
+    In complete mode each folder holds the whole result.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.foreachBatch(write).start()
+
+
+def latest_state(
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]
+) -> DataFrame:
+    """The last row that ``update_files`` wrote for each key."""
+    full = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
+    stored = spark.read.schema(full).parquet(path)
+    rest = [n for n in schema.fieldNames() if n not in keys]
+    last = stored.groupBy(*keys).agg(F.max_by(F.struct(*rest), "epoch").alias("_last"))
+    return last.select(*keys, "_last.*")
+
+
 def ingest(
     source: DataFrame, path: str, checkpoint: str, *, available_now: bool = False
 ) -> StreamingQuery:
