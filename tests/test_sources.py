@@ -14,7 +14,8 @@ def test_csv_folder_with_odd_files(spark, tmp_path):
     (tmp_path / "FRvideos.csv").write_bytes("c,a\ncafé,7\n".encode("latin-1"))
     (tmp_path / "DEvideos.csv").write_bytes("﻿a,b,c\nwü,8,9\n".encode())
     (tmp_path / "notes.txt").write_text("a,b,c\n0,0,0\n")
-    got = files.read_csv_dir(spark, str(tmp_path)).select("a", "b", "c", "source_file")
+    got = files.read_csv_dir(spark, str(tmp_path), multiline=True)
+    got = got.select("a", "b", "c", "source_file")
     assert rows(got) == sorted(
         [
             ("1", "2", "3", "USvideos.csv"),
@@ -25,7 +26,32 @@ def test_csv_folder_with_odd_files(spark, tmp_path):
         ],
         key=lambda r: tuple((v is None, str(v)) for v in r),
     )
-    assert files.read_csv_dir(spark, str(tmp_path)).count() == 5
+    assert files.read_csv_dir(spark, str(tmp_path), multiline=True).count() == 5
+
+
+def test_csv_folder_line_by_line(spark, tmp_path):
+    (tmp_path / "USvideos.csv").write_bytes(
+        b'a,b,c\n1,2,3\n1,2\n1,2,3,4\n1,2,,4\n\n"x, ""z""",2,3\na,b,c\n'
+    )
+    with gzip.open(tmp_path / "FRvideos.csv.gz", "wb") as f:
+        f.write("c,a\ncafé,7\nplain,8\n".encode("latin-1"))
+    (tmp_path / "DEvideos.csv").write_bytes("\ufeffa,b,c\nwü,8,9\n".encode())
+    (tmp_path / "none.csv").write_bytes(b"")
+    (tmp_path / "notes.txt").write_text("a,b,c\n0,0,0\n")
+    got = files.read_csv_dir(spark, str(tmp_path)).select("a", "b", "c", "source_file")
+    want = [
+        ("1", "2", "3", "USvideos.csv"), ("1", "2", None, "USvideos.csv"),
+        ('x, "z"', "2", "3", "USvideos.csv"), ("7", None, "café", "FRvideos.csv.gz"),
+        ("8", None, "plain", "FRvideos.csv.gz"), ("wü", "8", "9", "DEvideos.csv"),
+    ]
+    assert rows(got) == sorted(want, key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_csv_folder_without_a_header(spark, tmp_path, multiline):
+    (tmp_path / "empty.csv").write_bytes(b"")
+    with pytest.raises(FileNotFoundError):
+        files.read_csv_dir(spark, str(tmp_path), multiline=multiline)
 
 
 def test_gzipped_csv_is_first_choice(spark, tmp_path):

@@ -889,6 +889,23 @@ def roundtrip_csv_dir(spark, sf_dir):
     return files.read_csv_dir(spark, path).drop("source_file")
 
 
+@_register
+def roundtrip_csv_dirty(spark, sf_dir):
+    """Latin-1 lines, a tenth of them too long and a tenth too short, in gzip files."""
+    parts = star.table(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    start = F.concat(key.cast("string"), F.lit(',"'), F.col("p_name"), F.lit(', \u00e9"'))
+    line = (
+        F.when(key % 10 == 0, F.concat(start, F.lit(",1,2")))
+        .when(key % 10 == 1, start)
+        .otherwise(F.concat(start, F.lit(","), F.col("p_size").cast("string")))
+    )
+    path = new_path(spark, "csv-dirty")
+    raw = parts.select(line.alias("video_id,title,views")).write.option("header", True)
+    raw.options(quote="", sep="\u0001", encoding="ISO-8859-1", compression="gzip").csv(path)
+    return files.read_csv_dir(spark, path).drop("source_file")
+
+
 @_register
 def roundtrip_tsv(spark, sf_dir):
     path = new_path(spark, "tsv")

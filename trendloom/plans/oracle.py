@@ -797,6 +797,10 @@ def oracle_sql() -> dict[str, str]:
     }
     for fmt in ("orc", "parquet", "csv", "tsv", "json"):
         sql[f"roundtrip_{fmt}"] = _on(_DAILY, _TRIP)
+    sql["roundtrip_csv_dirty"] = """
+        SELECT CAST(p_partkey AS VARCHAR) AS video_id, p_name || ', ' || chr(233) AS title,
+            CASE WHEN p_partkey % 10 <> 1 THEN CAST(p_size AS VARCHAR) END AS views
+        FROM part WHERE p_partkey % 10 <> 0"""
     sql["roundtrip_csv_dir"] = _on(
         _DAILY,
         """SELECT video_id, title, country, CAST(trending_date AS VARCHAR) AS trending_date,

@@ -17,6 +17,7 @@ from trendloom.schemas import API_ITEM
 
 _CORRUPT = "_corrupt"
 _QUOTED = r'"(?:[^"]|"")*"'
+_CSV_FILES = "*.{csv,csv.gz}"
 
 
 def read_csv(
@@ -59,12 +60,12 @@ def read_first_available(
     raise FileNotFoundError(f"none of these exist: {missing}")
 
 
-def text_file_traits(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def text_file_traits(spark: SparkSession, path: str) -> DataFrame:
     """Per file: its header line and whether all of its bytes are UTF-8.
 
     Reads lines, so large files are split like any other text input.
     """
-    lines = spark.read.text(path if isinstance(path, str) else list(path)).select(
+    lines = spark.read.option("pathGlobFilter", _CSV_FILES).text(path).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.struct(
             F.col("_metadata.file_block_start").alias("block"),
@@ -81,28 +82,70 @@ def text_file_traits(spark: SparkSession, path: str | Sequence[str]) -> DataFram
 
 
 def read_csv_dir(
-    spark: SparkSession, path: str, *, sep: str = ",", multiline: bool = True
+    spark: SparkSession, path: str, *, sep: str = ",", multiline: bool = False
 ) -> DataFrame:
-    """Every CSV file of a folder as text columns plus ``source_file``.
-
-    Files may differ in header and encoding: those alike are read together and
-    the groups are united by column name. Invalid UTF-8 is read as Latin-1,
-    which decodes any byte. Lines with too many fields are skipped, short ones
-    padded with NULL. ``multiline`` allows line breaks inside quotes; such
-    files are not split, so land them in a columnar table before using them.
+    """Every CSV file of a folder, gzipped or not, as text columns plus ``source_file``.
+
+    Files may differ in header and encoding; columns are united by name. Invalid UTF-8
+    is read as Latin-1, which decodes any byte, line by line. Lines with too many fields
+    are skipped, short ones padded with NULL, blank ones and repeated headers dropped.
+    Data is scanned once, its files' first lines apart; only the distinct headers reach
+    the driver. ``multiline`` allows line breaks inside quotes: files alike are then
+    read together, undivided, and their encoding is one for each file.
     """
-    traits = text_file_traits(spark, f"{path}/*.csv").collect()  # one row per file
+    if multiline:
+        return _read_whole_files(spark, path, sep)
+    lines = spark.read.option("pathGlobFilter", _CSV_FILES).text(path).select(
+        F.when(F.is_valid_utf8("value"), F.col("value"))
+        .otherwise(F.decode(F.col("value").cast("binary"), "ISO-8859-1"))
+        .alias("line"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_name").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    ).withColumn("line", F.regexp_replace("line", "^\ufeff", ""))
+    first = lines.where("block = 0").withColumn("at", F.monotonically_increasing_id())
+    headers = first.groupBy("file_path").agg(F.min_by("line", "at").alias("header"))
+    known = sorted(r["header"] for r in headers.select("header").distinct().collect())
+    if not known:
+        raise FileNotFoundError(f"no CSV file with a header in {path}")
+    rows = lines.join(headers, "file_path").where(
+        (F.col("line") != F.col("header")) & (F.trim("line") != "")
+    )
+    bare = F.regexp_replace("line", _QUOTED, "")
+    separators = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))
+    fields = {h: next(csv.reader([h], delimiter=sep)) for h in known}
+    options = {"sep": sep, "escape": '"', "mode": "PERMISSIVE"}
+    parsed, fits = {}, F.lit(False)
+    for h, names in fields.items():
+        schema = ", ".join(f"`{n}` string" for n in names)
+        parsed[h] = F.from_csv("line", schema, options)
+        fits = fits | ((F.col("header") == h) & (separators < len(names)))
+    columns = dict.fromkeys(n for names in fields.values() for n in names)
+    chosen = [
+        F.coalesce(*[
+            F.when(F.col("header") == h, parsed[h][n]) for h, names in fields.items() if n in names
+        ]).alias(n)
+        for n in columns
+    ]
+    return rows.where(fits).select(*chosen, "source_file")
+
+
+def _read_whole_files(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """One row per file reaches the driver, which lists the files anyway."""
+    traits = text_file_traits(spark, path).collect()
     groups = defaultdict(list)
     for t in traits:
-        groups[(t.header.lstrip("﻿"), t.is_utf8)].append(t.file_path)
+        groups[(t.header.lstrip("\ufeff"), t.is_utf8)].append(t.file_path)
+    if not groups:
+        raise FileNotFoundError(f"no CSV file with a header in {path}")
     frames = [
-        _read_alike(spark, files, header, utf8, sep, multiline)
+        _read_alike(spark, files, header, utf8, sep)
         for (header, utf8), files in sorted(groups.items())
     ]
     return union_by_name(frames)
 
 
-def _read_alike(spark, files, header, utf8, sep, multiline) -> DataFrame:
+def _read_alike(spark, files, header, utf8, sep) -> DataFrame:
     names = next(csv.reader([header], delimiter=sep))
     fields = [T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]]
     df = (
@@ -110,7 +153,7 @@ def _read_alike(spark, files, header, utf8, sep, multiline) -> DataFrame:
         .option("header", True)
         .option("sep", sep)
         .option("encoding", "UTF-8" if utf8 else "ISO-8859-1")
-        .option("multiLine", multiline)
+        .option("multiLine", True)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnPruning", False)
