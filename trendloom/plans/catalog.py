@@ -29,7 +29,7 @@ from trendloom.operators import cleaning, reshape, topics
 from trendloom.operators.joins import join_dimension, keep_matching
 from trendloom.operators.ordered import ordered_windows, with_percent_rank, with_rank
 from trendloom.plans import load, summary, trending
-from trendloom.schemas import FACT_PARTITIONS
+from trendloom.schemas import FACT_PARTITIONS, RAW_TRENDING
 from trendloom.sources import files, sinks
 from trendloom.sources import starschema as star
 from trendloom.sources.workspace import new_path
@@ -763,10 +763,15 @@ def job_load_history(spark, sf_dir):
     )
 
 
-def _filled(spark, sf_dir) -> dict[str, str]:
-    """A new database with the data model, filled in two loads."""
+def _new_database(spark) -> str:
     name = f"trendloom_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{new_path(spark, 'tables')}'")
+    return name
+
+
+def _filled(spark, sf_dir) -> dict[str, str]:
+    """A new database with the data model, filled in two loads."""
+    name = _new_database(spark)
     raw = _yearly(spark, sf_dir).withColumn("tags", F.replace("channel_title", F.lit("#"), F.lit("|")))
     even = F.coalesce(F.year("trending_date") % 2, F.lit(0)) == 0
     load.job_fill_tables(raw.where(even), name)
@@ -784,6 +789,57 @@ def tables_fact_videos(spark, sf_dir):
     )
 
 
+@_register
+def tables_time_series(spark, sf_dir):
+    """The bucketed table."""
+    return spark.table(_filled(spark, sf_dir)["time_series_metrics"])
+
+
+@_register
+def tables_storage_summary(spark, sf_dir):
+    name = _new_database(spark)
+    return load.job_load_tables(_yearly(spark, sf_dir), name)
+
+
+@_register
+def external_csv_table(spark, sf_dir):
+    """Raw CSV files that stay where they are, read through the catalog."""
+    facts = star.facts_daily(spark, sf_dir)
+    given = {n: F.col(n) for n in facts.columns}
+    given["tags"] = F.array_join("tags", "|")
+    raw = facts.select(
+        *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RAW_TRENDING]
+    )
+    path = new_path(spark, "external")
+    sinks.write_csv(raw, path)
+    name = f"{_new_database(spark)}.raw"
+    sinks.create_external_csv(spark, name, path)
+    return spark.table(name).select(
+        "video_id", "trending_date", "title", "category_id", "tags", "views", "likes",
+        "comments_disabled", "country",
+    )
+
+
+@_register
+def summary_document(spark, sf_dir):
+    """The summary stored as one JSON document, read back."""
+    facts = star.facts_daily(spark, sf_dir).withColumn(
+        "category_name", category_name(unknown="Unknown")
+    )
+    path = new_path(spark, "summary")
+    sinks.write_summary(summary.summary_document(facts, exact=True), path)
+    return spark.read.json(path).select(
+        "total_videos",
+        "unique_videos",
+        "total_views",
+        "top_category",
+        "peak_month",
+        F.array_join("top_categories.category_name", "; ").alias("categories"),
+        F.array_join("top_countries.source_file", "; ").alias("files"),
+        F.col("analysis_date").isNotNull().alias("is_stamped"),
+    )
+
+
 @_register
 def tables_category_trends(spark, sf_dir):
     out = spark.table(_filled(spark, sf_dir)["category_trends"])

@@ -739,6 +739,36 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT category_id, min(category_name) AS category_name, {_TRENDS} FROM d
                 WHERE category_id IS NOT NULL GROUP BY 1, 3, 4, 5""",
         ),
+        "tables_time_series": _on(_YEARLY, _TIME_SERIES.format(src="d")),
+        "tables_storage_summary": _on(
+            _YEARLY,
+            """SELECT count(DISTINCT video_id) AS unique_videos, count(*) AS total_records,
+                count(DISTINCT country) AS countries, min(trending_date) AS earliest_date,
+                max(trending_date) AS latest_date FROM d""",
+        ),
+        "external_csv_table": _on(
+            _DAILY,
+            """SELECT video_id, trending_date, title, category_id,
+                array_to_string(tags, '|') AS tags, views, likes,
+                CAST(NULL AS BOOLEAN) AS comments_disabled, country FROM d""",
+        ),
+        "summary_document": _on(
+            f"{_DAILY}, {_MONTHS}",
+            f"""SELECT (SELECT count(*) FROM d) AS total_videos,
+                (SELECT count(DISTINCT video_id) FROM d) AS unique_videos,
+                (SELECT CAST(sum(views) AS BIGINT) FROM d) AS total_views,
+                (SELECT {_name("'Unknown'")} AS name FROM d GROUP BY 1
+                    ORDER BY count(*) DESC, name LIMIT 1) AS top_category,
+                (SELECT CAST(month AS VARCHAR) FROM months ORDER BY videos DESC, month LIMIT 1)
+                    AS peak_month,
+                (SELECT string_agg(name, '; ' ORDER BY n DESC, name) FROM (
+                    SELECT {_name("'Unknown'")} AS name, count(*) AS n FROM d GROUP BY 1
+                    ORDER BY n DESC, name LIMIT 5)) AS categories,
+                (SELECT string_agg(source_file, '; ' ORDER BY avg_views DESC, source_file)
+                    FROM (SELECT * FROM ({_COUNTRY_STATS})
+                        ORDER BY avg_views DESC, source_file LIMIT 5)) AS files,
+                true AS is_stamped""",
+        ),
         "text_size_mb": """
             SELECT source, CAST(sum(strlen(text)) AS BIGINT) AS bytes,
                 CAST(sum(strlen(text)) AS DOUBLE) / 1048576 AS mb,
