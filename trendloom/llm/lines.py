@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendloom.llm.arrow import to_arrow
+from trendloom.sources.workspace import materialise
 
 _BLANKS = " \t\x0b\x0c\r"
 _ADDED = T.StructType([T.StructField(n, T.LongType()) for n in ("n_lines", "n_removed", "n_spans")])
@@ -69,6 +70,8 @@ def dedup_lines(
         .where("_n > 1")
         .select("_w1", "_w2", "_first")
     )
+    # stored, so that both sides of the join are shuffled and a hot window can be split
+    firsts = materialise(firsts, "windows")
     later = (
         windows.join(firsts, ["_w1", "_w2"])
         .where(~place.eqNullSafe(F.col("_first")))
