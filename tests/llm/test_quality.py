@@ -32,12 +32,13 @@ def test_distance():
 
 def test_verdicts(spark):
     junk = " ".join(f"{w}$$$ ###{i}%" for i, w in enumerate(prose(77, 150).split()))
-    rows = [(i, prose(i, 150), "en") for i in range(40)] + [(100, junk, "en"), (101, "buy now " * 80, "en"), (102, prose(3, 20), "en")]
+    rows = [(i, prose(i, 150), "en") for i in range(40)] + [(100, junk, "en"), (101, "buy now " * 80, "en"), (102, prose(3, 20), "en"), (103, junk, "xx"), (104, junk, None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     got = {r.doc_id: r for r in quality.judge(docs, quality.fit_references(docs)).collect()}
     assert all(got[i].kept for i in range(40))
     assert not got[100].kept and not got[100].base_failed and got[100].class_distance > 0.31
     assert got[101].base_failed and got[102].base_failed
+    assert got[103].kept and got[103].class_distance is None and not got[104].kept
 
 
 def test_edges(edge, nothing):

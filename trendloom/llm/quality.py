@@ -176,13 +176,18 @@ _ADDED = T.StructType(
 
 
 def judge(
-    docs: DataFrame, references: References, rules: Rules = Rules(), text: str = "text"
+    docs: DataFrame,
+    references: References,
+    rules: Rules = Rules(),
+    text: str = "text",
+    lang: str = "lang",
 ) -> DataFrame:
     """``docs`` with base counts, both distances and the verdict.
 
     A null text is empty and fails the base rules. A distance is null where the text is
-    shorter than its guard or there is no reference; it then rejects nothing. Repeated
-    rows are judged each for itself; columns named like a result are replaced.
+    shorter than its guard or there is no reference; it then rejects nothing. So it is
+    for documents whose ``lang`` names a language without a word list. Repeated rows are
+    judged each for itself; columns named like a result are replaced.
     """
 
     def compute(texts: list[bytes]) -> list:
@@ -204,4 +209,14 @@ def judge(
             rows.append((*base, by_class, by_word, failed, kept))
         return list(zip(*rows, strict=True)) if rows else [[] for _ in _ADDED]
 
-    return with_text_columns(docs, text, _ADDED, compute)
+    judged = with_text_columns(docs, text, _ADDED, compute)
+    if lang not in docs.columns:
+        return judged
+    known = F.coalesce(F.col(f"`{lang}`").cast("string").isin(*COMMON_WORDS), F.lit(True))
+    return judged.withColumns(
+        {
+            "class_distance": F.when(known, F.col("class_distance")),
+            "word_distance": F.when(known, F.col("word_distance")),
+            "kept": F.when(known, F.col("kept")).otherwise(~F.col("base_failed")),
+        }
+    )
