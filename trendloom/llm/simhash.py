@@ -186,6 +186,7 @@ def simhash_groups(
     groups = rooted.groupBy("root").agg(
         F.min("_least").alias("component_id"), F.min("_pick").alias("_pick")
     )
+    groups = materialise(groups, "groups")  # a large component's rows can be split in the join
     labelled = rooted.select("fingerprint", "root").join(groups, "root").drop("root")
     picked = F.struct(doc, "text_hash").eqNullSafe(F.col("_pick"))
     return prints.join(labelled, "fingerprint").select(
