@@ -80,6 +80,8 @@ def plan_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     known = with_text_columns(plain, "html", schema, lambda t: [[digest(x) for x in t], [len(x) for x in t]])
     holder = known.select("_digest", "_bytes", "page_id").where(F.col("_bytes") >= least_bytes)
     holder = holder.groupBy("_digest", "_bytes").agg(F.max("page_id").alias("_response"))
+    # stored, so that both sides of the join are shuffled and a hot payload can be split
+    holder = materialise(holder, "payloads")
     return known.join(holder, ["_digest", "_bytes"], "left")
 
 
