@@ -43,6 +43,8 @@ PHRASE_SPAN, PHRASE_GRAM = 64, 16
 #: Bytes on either side of a string within which its own bytes do not decide a beginning.
 BEFORE, BEHIND = 2 * PHRASE_SPAN + PHRASE_GRAM, PHRASE_SPAN + PHRASE_GRAM
 
+#: Bytes that are hashed at once.
+_BLOCK = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 _STEP = pow(_BASE, -1, 1 << 64)
 
@@ -67,25 +69,39 @@ class _Powers:
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads polynomial hashes, whose low bits are weak, over all bits."""
     for _ in range(2):
-        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
+        x = x ^ (x >> np.uint64(32))
+        x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return x
 
 
 class Hashes:
-    """Hashes of the parts of a byte string, from one running sum."""
+    """Hashes of the parts of a byte string, from one running sum.
 
-    def __init__(self, data: np.ndarray):
-        up, self.down = _Powers.upto(len(data) + 1)
+    ``within`` is each byte's place in its own text where ``data`` joins many texts;
+    parts must then lie in one text, and the powers go no further than a text.
+    """
+
+    def __init__(self, data: np.ndarray, within: np.ndarray | None = None):
+        self.within = np.arange(len(data) + 1) if within is None else np.append(within, 0)
+        up, self.down = _Powers.upto(int(self.within.max()) + 1)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(data.astype(np.uint64) * up[: len(data)] + up[: len(data)], out=self.sums[1:])
+        terms = self.sums[1:]
+        for at in range(0, len(data), _BLOCK):  # in blocks and in place, for memory
+            part = data[at : at + _BLOCK].astype(np.uint64) + np.uint64(1)
+            part *= up[self.within[at : at + len(part)]]
+            terms[at : at + len(part)] = part
+        np.cumsum(terms, out=terms)
 
     def part(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        raw = (self.sums[end] - self.sums[start]) * self.down[start]
+        raw = (self.sums[end] - self.sums[start]) * self.down[self.within[start]]
         return mix(raw + mix((end - start).astype(np.uint64)))
 
-    def grams(self, size: int) -> np.ndarray:
-        n = len(self.sums) - size
-        return mix((self.sums[size:] - self.sums[:-size]) * self.down[:n])
+    def grams(self, size: int, start: int, end: int) -> np.ndarray:
+        """Hashes of the strings of ``size`` bytes that begin from ``start`` to ``end``."""
+        raw = self.sums[start + size : end + size] - self.sums[start:end]
+        raw *= self.down[self.within[start:end]]
+        return mix(raw)
 
 
 def _sliding(values: np.ndarray, span: int, best: np.ufunc, rest: int) -> np.ndarray:
@@ -108,16 +124,29 @@ def winnow(hashes: np.ndarray, span: int) -> np.ndarray:
     return np.flatnonzero(_sliding(np.concatenate([edge, least, edge]), span, np.maximum, 0) == hashes)
 
 
+def chosen_grams(known: Hashes, size: int, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the grams that ``winnow`` chooses, a block at a time."""
+    n = len(known.sums) - size
+    places, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for at in range(0, n, _BLOCK) if n >= span else ():
+        low, high = max(0, at - span + 1), min(n, at + _BLOCK + span - 1)
+        grams = known.grams(size, low, high)
+        found = winnow(grams, span)
+        found = found[(found + low >= at) & (found + low < at + _BLOCK)]
+        places.append(found + low)
+        hashes.append(grams[found])
+    return np.concatenate(places), np.concatenate(hashes)
+
+
 def anchors(text: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(places, hashes, hashes of the contexts) of the anchors of a text."""
     if len(text) < length:
         return (np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * 2)
     known = Hashes(np.frombuffer(text, np.uint8))
-    grams = known.grams(gram)
-    at = winnow(grams, length - gram + 1)
+    at, grams = chosen_grams(known, gram, length - gram + 1)
     left = np.maximum(at - (length - gram), 0)
     context = known.part(left, np.minimum(at + length, len(text)))
-    return at, grams[at], mix(context + (at - left).astype(np.uint64))
+    return at, grams, mix(context + (at - left).astype(np.uint64))
 
 
 # --- the suffix-array step ---------------------------------------------------
@@ -128,17 +157,15 @@ def least_shared(length: int) -> int:
     return length - BEFORE - BEHIND - 2 * PHRASE_SPAN
 
 
-def phrase_classes(data: np.ndarray, edges: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(boundaries, class of the suffix at each) for the texts between ``edges`` of ``data``.
+def phrase_classes(known: Hashes, edges: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(boundaries, class of the suffix at each) for the texts between ``edges``.
 
     Suffixes of one class share at least ``least_shared`` bytes, phrase by phrase. -1: no
     other suffix does.
     """
-    known = Hashes(data)
-    grams = known.grams(PHRASE_GRAM) if len(data) >= PHRASE_GRAM else np.zeros(0, np.uint64)
-    cuts = winnow(grams, PHRASE_SPAN)
+    cuts, grams = chosen_grams(known, PHRASE_GRAM, PHRASE_SPAN)
     if len(cuts):
-        again = (grams[cuts[1:]] == grams[cuts[:-1]]) & (np.diff(cuts) < PHRASE_SPAN)
+        again = (grams[1:] == grams[:-1]) & (np.diff(cuts) < PHRASE_SPAN)
         cuts = cuts[np.append(True, ~again)]
     least = least_shared(length)
     owner = np.searchsorted(edges, cuts, "right")
@@ -170,9 +197,9 @@ def repeated_windows(
     """
     sizes = np.array([len(t) for t in texts], np.int64)
     edges = np.cumsum(sizes)
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    cuts, classes = phrase_classes(data, edges, length)
-    known = Hashes(data)
+    within = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
+    known = Hashes(np.frombuffer(b"".join(texts), np.uint8), within)
+    cuts, classes = phrase_classes(known, edges, length)
     out: list[list[np.ndarray]] = [[] for _ in texts]
     rounds = 1 + len(texts) // ROUND_CONTEXTS
     for turn in range(rounds):  # each compares a share of the windows, for memory
@@ -412,7 +439,9 @@ class _Job:
         groups = found.groupBy("hash").agg(
             F.count(F.lit(1)).alias("n"), (F.min("ctx") == F.max("ctx")).alias("alike")
         )
-        again = materialise(found.join(groups.where("n > 1").drop("n"), "hash"), "repeated")
+        # stored, so that both sides of the join are shuffled and a hot hash can be split
+        groups = materialise(groups.where("n > 1").drop("n"), "groups")
+        again = materialise(found.join(groups, "hash"), "repeated")
         start, end = F.col("pos") - (self.length - self.gram), F.col("pos") + self.length
         whole = lambda df: df.select("doc", "crc", start.alias("start"), end.alias("end"))
         mixed = again.where(~F.col("alike"))
