@@ -429,7 +429,8 @@ class _Job:
             .agg(F.min(place).alias("a"), F.max(place).alias("b"), F.max("often").alias("o"))
             .where(F.col("o") | ~F.col("a").eqNullSafe(F.col("b")))
         )
-        return windows.join(twice.select("key", "win"), ["key", "win"]).select(
+        twice = materialise(twice.select("key", "win"), "windows")  # a hot window can be split
+        return windows.join(twice, ["key", "win"]).select(
             "doc", "crc", "start", (F.col("start") + length).alias("end")
         )
 
