@@ -51,3 +51,24 @@ def test_edges(edge, nothing):
     alone = quality.judge(edge, none).collect()
     assert {r.class_distance for r in alone} == {None} and all(r.kept != r.base_failed for r in alone)
     assert quality.judge(nothing, none).count() == 0
+
+
+def spoken(code, seed, n, share=0.3):
+    """``n`` words, of which ``share`` are common words of the language, the frequent ones more often."""
+    rng, common = np.random.default_rng(seed), quality.COMMON_WORDS[code].split()
+    odds = 1 / np.arange(1, len(common) + 1)
+    drawn = rng.choice(common, n, p=odds / odds.sum())
+    return [str(w) if rng.random() < share else f"{code}{i}" for i, w in enumerate(drawn)]
+
+
+def test_words_of_short_texts_count(spark):
+    rows = [(i, " ".join(spoken(code, i, 300)), code) for i, code in enumerate(["en", "de", "es", "fr"] * 15)]
+    rows += [(100 + n, " ".join(spoken("en", n, n)), "en") for n in (60, 120, 199)]
+    rows += [(1000 + n, " ".join(spoken("en", n, n, 0.02)), "en") for n in (60, 120, 199, 200, 900)]
+    rows += [(5000, " ".join(spoken("en", 1, 150) + spoken("fr", 2, 150)), "en")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {r.doc_id: r for r in quality.judge(docs, quality.fit_references(docs)).collect()}
+    assert all((r.class_distance or 0) <= 0.31 and not r.base_failed for r in got.values())
+    assert {i for i, r in got.items() if not r.kept} == {1060, 1120, 1199, 1200, 1900}
+    limits = [quality.Rules().word_limit(n) for n in (50, 100, 200, 400, 10**6)]
+    assert limits == sorted(limits, reverse=True) and limits[-2:] == [0.25, 0.25]

@@ -2,7 +2,8 @@
 
 Two passes over the texts. The first sums, for each language, a histogram of character
 classes and one of common words over all documents. The second compares each document
-with the nearest reference by Jensen-Shannon distance. Only the references (languages
+with the nearest reference by Jensen-Shannon distance; words that are far from every
+single one also with mixtures, for texts in several languages. Only the references (languages
 times about 120 numbers) reach the driver; the languages are those of ``COMMON_WORDS``.
 """
 
@@ -104,12 +105,21 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
 
 @dataclass(frozen=True)
 class Rules:
-    """Distances are in [0, 1]. Shorter texts are too noisy to compare and pass."""
+    """Distances are in [0, 1]. Texts under the guards are too noisy to compare and pass.
+
+    The words of a short text are a small sample of its language, so their limit falls
+    with the root of the length, down to ``max_word_distance``.
+    """
 
     max_class_distance: float = 0.31
-    max_word_distance: float = 0.325
+    max_word_distance: float = 0.25
+    word_offset: float = 0.18
+    word_slope: float = 1.3
     min_chars: int = 200
-    min_words: int = 200
+    min_words: int = MIN_WORDS
+
+    def word_limit(self, n_words: int) -> float:
+        return max(self.max_word_distance, self.word_offset + self.word_slope / max(n_words, 1) ** 0.5)
 
 
 @dataclass(frozen=True)
@@ -164,6 +174,24 @@ def jensen_shannon(counts: np.ndarray, references: np.ndarray) -> float:
     return float(np.sqrt(np.clip((left + right) / 2, 0, 1)).min())
 
 
+def mixture(counts: np.ndarray, references: np.ndarray, rounds: int = 20) -> np.ndarray:
+    """The mixture of the references that explains the counts best (EM on its weights)."""
+    seen = counts > 0
+    p, parts = counts[seen] / max(counts.sum(), 1), references[:, seen]
+    weights = np.full(len(references), 1 / len(references))
+    for _ in range(rounds):
+        weights = weights * (parts @ (p / np.maximum(weights @ parts, 1e-300)))
+    return weights @ references / max(weights.sum(), 1e-300)
+
+
+def word_distance(counts: np.ndarray, references: np.ndarray, limit: float) -> float:
+    """To the nearest reference or, beyond the limit, to the nearest mixture of several."""
+    distance = jensen_shannon(counts, references)
+    if distance > limit and len(references) > 1:
+        distance = min(distance, jensen_shannon(counts, mixture(counts, references)[None]))
+    return distance
+
+
 _ADDED = T.StructType(
     [
         *[T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
@@ -197,14 +225,15 @@ def judge(
             failed = base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEAT_PERCENT * base[0]
             near = len(references.classes) > 0
             by_class = by_word = None
+            limit = rules.word_limit(base[0])
             if near and base[1] >= rules.min_chars:
                 by_class = jensen_shannon(class_counts(t), references.classes)
             if near and base[0] >= rules.min_words:
-                by_word = jensen_shannon(common_counts(t), references.words)
+                by_word = word_distance(common_counts(t), references.words, limit)
             kept = (
                 not failed
                 and (by_class is None or by_class <= rules.max_class_distance)
-                and (by_word is None or by_word <= rules.max_word_distance)
+                and (by_word is None or by_word <= limit)
             )
             rows.append((*base, by_class, by_word, failed, kept))
         return list(zip(*rows, strict=True)) if rows else [[] for _ in _ADDED]
