@@ -73,3 +73,22 @@ def test_documents(spark, edge, nothing):
     new = pii.pseudonymise("10.1.2.3", KEY)
     assert [r.pseudonymised for r in done] == [long.replace("10.1.2.3", new)] * 2 + [new] and {r.n_ip for r in done} == {1}
     assert pii.pseudonymise_documents(nothing, KEY).count() == 0
+
+
+@pytest.mark.parametrize("text", ["+1 (017) 555-7713", "+1 (136) 555-7479", "+1 269-055-3296", "+1.269.155.3296", "+10000000000"])
+def test_phones_outside_the_numbering_plan(text):
+    new = one(text, "phone")
+    digits = "".join(c for c in new if c.isdigit())
+    assert new != text and [c for c in new if not c.isdigit()] == [c for c in text if not c.isdigit()]
+    assert digits[0] == "1" and (digits[1] < "2" or digits[4] < "2")
+    plain = "".join(c for c in text if c.isdigit())
+    assert one("+" + plain, "phone") == "+" + digits
+    assert pii.pseudonymise(plain[1:], KEY) == plain[1:]
+
+
+def test_outside_numbers_stay_apart(monkeypatch):
+    edges = ["0000000000", "1999999999", "2000000000", "2001999999", "2010000000", "9991999999"]
+    monkeypatch.setattr(pii, "permute", lambda value, size, key, kind: value)
+    assert [pii._outside_nanp(d, KEY) for d in edges] == edges
+    monkeypatch.setattr(pii, "permute", lambda value, size, key, kind: size - 1 - value)
+    assert pii._outside_nanp(edges[0], KEY) == edges[-1] and pii._outside_nanp(edges[-1], KEY) == edges[0]

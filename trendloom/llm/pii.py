@@ -62,6 +62,18 @@ def _card(s: str, key: bytes) -> str | None:
     return _fill(s, body + str(luhn_digit(body)))
 
 
+def _outside_nanp(digits: str, key: bytes) -> str:
+    """Ten digits whose area code or exchange begins with 0 or 1, permuted among themselves."""
+    low, inner = 200 * 10**7, 200 * 10**4  # all numbers under area code 200; for each other one, exchanges under 200
+    area, rest = divmod(int(digits), 10**7)
+    rank = int(digits) if area < 200 else low + (area - 200) * inner + rest
+    v = permute(rank, low + 800 * inner, key, "outside nanp")
+    if v >= low:
+        area, rest = divmod(v - low, inner)
+        v = (area + 200) * 10**7 + rest
+    return f"{v:010d}"
+
+
 def _phone(s: str, key: bytes) -> str | None:
     digits = re.sub(r"\D", "", s)
     prefix = ""
@@ -72,8 +84,10 @@ def _phone(s: str, key: bytes) -> str | None:
         return _fill(s, digits[:2] + str(permute(int(digits[2:]), 10**n, key, f"tel{n}")).zfill(n))
     if len(digits) == 11 and digits[0] == "1":
         prefix, digits = "1", digits[1:]
-    if len(digits) != 10 or digits[0] < "2" or digits[3] < "2":
+    if len(digits) != 10:
         return None
+    if digits[0] < "2" or digits[3] < "2":
+        return _fill(s, prefix + _outside_nanp(digits, key)) if prefix and s.startswith("+") else None
     area, office, line = int(digits[:3]) - 200, int(digits[3:6]) - 200, int(digits[6:])
     v = permute((area * 800 + office) * 10_000 + line, 800 * 800 * 10_000, key, "nanp")
     area, office, line = v // 8_000_000 + 200, v // 10_000 % 800 + 200, v % 10_000
