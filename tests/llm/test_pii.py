@@ -92,3 +92,12 @@ def test_outside_numbers_stay_apart(monkeypatch):
     assert [pii._outside_nanp(d, KEY) for d in edges] == edges
     monkeypatch.setattr(pii, "permute", lambda value, size, key, kind: size - 1 - value)
     assert pii._outside_nanp(edges[0], KEY) == edges[-1] and pii._outside_nanp(edges[-1], KEY) == edges[0]
+
+
+def test_secrets_in_any_case_and_colon_form(spark):
+    token = one('TOKEN = "9233A8EC1B44D07F"', "secret")
+    assert token.startswith('TOKEN = "') and token.endswith('"') and token != 'TOKEN = "9233A8EC1B44D07F"'
+    assert one("Api_Key: abcdefghijklmnop", "secret").startswith("Api_Key: ")
+    docs = spark.createDataFrame([(1, "password: abcdefghijklmnop")], "doc_id bigint, text string")
+    got = pii.pseudonymise_documents(docs, KEY).first()
+    assert got.n_secret == 1 and got.pseudonymised.startswith("password: ") and "abcdefghijklmnop" not in got.pseudonymised

@@ -187,7 +187,7 @@ def _secret(s: str, key: bytes) -> str | None:
 _PATTERN = re.compile(
     r"""
     (?P<secret>(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])
-        |(?<![0-9A-Za-z])(?:password|passwd|secret|token|api_?key)[ ]?[=:][ ]?["']?[0-9A-Za-z]{12,})
+        |(?<![0-9A-Za-z])(?i:password|passwd|secret|token|api_?key)[ ]?[=:][ ]?["']?[0-9A-Za-z]{12,})
     |(?P<email>(?<![0-9A-Za-z._%+-])[0-9A-Za-z][0-9A-Za-z._%+-]{0,63}@(?:[0-9A-Za-z-]+\.)+[A-Za-z]{2,})
     |(?P<iban>(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[ ]?[0-9A-Z]{4}){2,7}(?:[ ]?[0-9A-Z]{1,3})?(?![0-9A-Za-z]))
     |(?P<ip>(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9]))
@@ -206,7 +206,7 @@ _PSEUDONYM = {
     "iban": _iban, "card": _card, "ssn": _ssn, "ip": _ip, "phone": _phone, "date": _date,
     "email": _email, "secret": _secret,
 }
-_MARKS = b"0123456789@="
+_MARKS = b"0123456789@=:"
 
 
 def pseudonymise(text: str, key: bytes, counts: dict[str, int] | None = None) -> str:
