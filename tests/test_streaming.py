@@ -82,3 +82,19 @@ def test_restart_does_not_repeat_rows(spark, sf_dir, tmp_path):
             source, f"{tmp_path}/o", f"{tmp_path}/c", available_now=True
         ).awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/o").count() == n
+
+
+def test_late_landings_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from trendloom.plans import catalog
+
+    made = {}
+    new_path = catalog.new_path
+    monkeypatch.setattr(catalog, "new_path", lambda s, name: made.setdefault(name, new_path(s, name)))
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(4, "event_id").write.parquet(f"{tmp_path}/events.parquet")
+    late = catalog.queries()["window_trends_late"](spark, str(tmp_path))
+    assert sorted(late.collect()) == sorted(catalog.queries()["window_trends_batch"](spark, str(tmp_path)).collect())
+    landed = Path(made["landing"].removeprefix("file:"))
+    assert all(len(list((landed / str(i)).glob("part-*.parquet"))) > 1 for i in (0, 1))

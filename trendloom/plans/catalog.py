@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Callable
 
@@ -678,12 +677,15 @@ def window_trends_late(spark, sf_dir):
     half, hour = events.agg(
         F.min("ts") + (F.max("ts") - F.min("ts")) / 2, F.min("ts") + F.expr("INTERVAL 1 HOUR")
     ).first()
-    path = new_path(spark, "landing")
-    for landing in (F.col("ts") <= half, F.col("ts") > half, F.col("ts") <= hour):
-        events.where(landing).coalesce(1).write.mode("append").parquet(path)
-        time.sleep(1.1)  # landings are read in the order of their files' times
-    stream = ingest.landed_source(spark, path, events.schema, files_per_trigger=1)
-    return _streamed_trends(spark, stream)
+    path, out = new_path(spark, "landing"), new_path(spark, "trends")
+    checkpoint = new_path(spark, "trends-checkpoint")
+    # one run for each landing, on the same checkpoint, so that the runs keep the order
+    for i, landing in enumerate((F.col("ts") <= half, F.col("ts") > half, F.col("ts") <= hour)):
+        events.where(landing).write.parquet(f"{path}/{i}")
+        stream = ingest.landed_source(spark, f"{path}/*", events.schema)
+        trends = windowed_trends(star.deltas_from_events(stream))
+        ingest.update_files(trends, out, checkpoint, available_now=True).awaitTermination()
+    return ingest.latest_state(spark, out, trends.schema, _WINDOW_KEYS)
 
 
 @_register
