@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import trendloom
-from trendloom.llm import chat, decontaminate, hmm, lines, packing, pii, quality, simhash, substrings, warc
+from trendloom.llm import (
+    chat, decontaminate, hmm, lines, packing, pii, quality, simhash, substrings, tokenfile, warc,
+)
 
 _ROOT = str(Path(trendloom.__file__).resolve().parents[1])
 Query = Callable[[SparkSession, str], DataFrame]
@@ -240,3 +242,14 @@ def op6_suffix_dedup(spark, sf_dir):
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+# --- 13: token ids in binary files -------------------------------------------
+
+
+@_register
+def op13_token_files(spark, sf_dir):
+    """Every document's ids, written to block-packed files and read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = tokenfile.write_and_read(docs, load_byte_bpe, end_id=2)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
