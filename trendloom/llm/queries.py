@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 import trendloom
 from trendloom.llm import (
-    chat, decontaminate, hmm, lines, packing, pii, quality, simhash, substrings, tokenfile, warc,
+    chat, decontaminate, hmm, lines, packing, pii, quality, resample, simhash, substrings, tokenfile,
+    warc, whiten,
 )
 
 _ROOT = str(Path(trendloom.__file__).resolve().parents[1])
@@ -253,3 +254,70 @@ def op13_token_files(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     back = tokenfile.write_and_read(docs, load_byte_bpe, end_id=2)
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+# --- 11: target-distribution importance resampling ---------------------------
+
+
+@_register
+def op11_resample(spark, sf_dir):
+    """Weight, score and place in the draw of every document; the target is the benchmark."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    target = table(spark, sf_dir, "benchmark").select("text")
+    return resample.resample(docs, target, resample.Draw(seed=2024, percent=10, least_words=20))
+
+
+SQL["op11_resample"] = r"""
+WITH RECURSIVE crc_step AS (  -- the table of CRC-32: eight shifts of each byte
+    SELECT b, b AS v, 0 AS i FROM (SELECT unnest(range(256))::BIGINT AS b)
+    UNION ALL
+    SELECT b, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, i + 1 FROM crc_step WHERE i < 8
+), crc_table AS (SELECT list(v ORDER BY b) AS t FROM crc_step WHERE i = 8
+), words AS (
+    SELECT 'd' AS side, doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents
+    UNION ALL
+    SELECT 't', NULL, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark
+), distinct_words AS (SELECT DISTINCT w, hex(encode(w)) AS h FROM words
+), bucket_of AS (
+    SELECT w, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(0, length(h), 2), lambda i:
+            (instr('0123456789ABCDEF', h[i + 1]) - 1) * 16 + instr('0123456789ABCDEF', h[i + 2]) - 1)),
+        lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+    FROM distinct_words, crc_table
+), counted AS (SELECT side, bucket, count(*) AS n FROM words JOIN bucket_of USING (w) GROUP BY side, bucket
+), totals AS (
+    SELECT coalesce(sum(n) FILTER (WHERE side = 'd'), 0)::DOUBLE AS s_all,
+           coalesce(sum(n) FILTER (WHERE side = 't'), 0)::DOUBLE AS t_all FROM counted
+), gain_of AS (
+    SELECT bucket, floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000))))::BIGINT AS gain
+    FROM (SELECT bucket, coalesce(sum(n) FILTER (WHERE side = 'd'), 0)::DOUBLE AS s,
+                 coalesce(sum(n) FILTER (WHERE side = 't'), 0)::DOUBLE AS t FROM counted GROUP BY bucket), totals
+), weights AS (
+    SELECT doc_id, count(*) AS n, sum(gain) AS weight
+    FROM words JOIN bucket_of USING (w) JOIN gain_of USING (bucket) WHERE side = 'd' GROUP BY doc_id
+), scored AS (
+    SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+           coalesce(weight, 0)::BIGINT
+           + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || d.doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT
+               AS score
+    FROM documents d LEFT JOIN weights USING (doc_id)
+), placed AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+    FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)
+"""
+
+
+# --- 12: embedding whitening -------------------------------------------------
+
+
+@_register
+def op12_whiten(spark, sf_dir):
+    """The 16 strongest whitened components of every usable embedding."""
+    return whiten.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 16)
