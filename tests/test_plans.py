@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from trendloom.operators import aggregates, joins, reshape, topics
+from trendloom.operators import aggregates, ordered, joins, reshape, topics
 from trendloom.plans import trending
 from trendloom.schemas import category_dimension
 from trendloom.sources import starschema as star
@@ -53,30 +53,22 @@ def test_unused_columns_are_not_read(daily):
     assert "l_tax" not in text and "l_quantity" not in text
 
 
-def test_trending_does_not_depend_on_the_slices(spark, daily):
+def test_trending_does_not_depend_on_what_is_hot(daily, monkeypatch):
     digits = {"channel_7day_avg": F.round("channel_7day_avg", 6)}
-    setting = "spark.sql.shuffle.partitions"
-    before, got = spark.conf.get(setting), []
-    try:
-        for slices in (1, 13):
-            spark.conf.set(setting, slices)
-            got.append(
-                [
-                    rows(trending.trending_analysis(daily, 3).withColumns(digits)),
-                    rows(trending.trending_top(daily, 2)),
-                    rows(reshape.id_batches(daily, "video_id", 7)),
-                ]
-            )
-    finally:
-        spark.conf.set(setting, before)
-    assert got[0] == got[1] and all(got[0])
-
-
-def test_exact_quantiles_run_windows_over_slices_only(daily):
-    """Within a slice, or over the totals of slices: never over all values in one task."""
+    got = []
+    for limit in (10**9, 40):  # none of the keys, most of them
+        monkeypatch.setattr(ordered.hot_keys, "__defaults__", (limit,))
+        made = trending.trending_analysis(daily, 3).withColumns(digits)
+        got.append(rows(made))
+        assert ("_slice" in plan(made)) == (limit == 40)
+    assert got[0] == got[1] and got[0]
+
+
+def test_exact_quantiles_order_counts_only(daily):
+    """The only windows are over counts of ranges and of single values."""
     text = plan(aggregates.basic_stats(daily, exact=True))
     windows = [line for line in text.splitlines() if "Window [" in line]
-    assert windows and all("_slice" in line or "_spread" in line for line in windows)
+    assert windows and all("_n#" in line for line in windows)
 
 
 def test_left_join_keeps_null_keys_unmatched(spark):

@@ -1,29 +1,55 @@
-"""Window functions that stay parallel when one key holds most of the rows.
-
-Spark evaluates a window group inside one task. Here the rows are cut into slices by
-range partitioning over keys and order, each slice is evaluated on its own, and what
-crosses a slice border (the running total, the row count and the last few rows before
-it) is added from a table of slice borders. That table has at most two rows per slice.
-There is one path for all sizes: as many slices as shuffle partitions, whatever the
-groups. Ranks and quantiles work on value counts, so that equal values are one row.
+"""Windows, ranks and quantiles that stay parallel when one key holds most of the rows.
+
+Spark evaluates a window group inside one task. That is right for most keys, so rows are
+routed by a histogram of their keys: rows of a key within the limit are one group, as
+usual; rows of a hot key are cut into slices at borders drawn from the key's own rows,
+every slice is a group, and what crosses its border (the running total, the row count and
+the last few rows before it) comes from a table of slices. Where no key is hot, what is
+left is the plain window. Counting keys reads their columns once, for all sets of keys
+that a plan needs; only rows of hot keys are read again.
+
+Ranks work on value counts, so that equal values are one row. Exact quantiles are selected
+by histograms over ranges of values that are refined where a quantile falls.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from trendloom.sources.workspace import materialise
 
+#: Rows of one key that one task evaluates.
+HOT_ROWS = 1_000_000
+#: Slices of all hot keys together; beyond, they hold more rows each. What is broadcast
+#: has a row per hot key or slice and an entry per border, so this bounds its size.
+MOST_SLICES = 50_000
+#: Rows drawn for each border.
+_DRAWN = 16
 
-def _sort_columns(order: Sequence[str | tuple[str, str]]) -> list[Column]:
-    """``"views"`` or ``("views", "desc")`` as sort columns."""
-    pairs = [(o, "asc") if isinstance(o, str) else o for o in order]
-    return [F.col(n).desc() if d == "desc" else F.col(n).asc() for n, d in pairs]
+
+def _sort_columns(order: Sequence[tuple[str, str]]) -> list[Column]:
+    """NULLs are first upwards and last downwards."""
+    return [F.col(n).desc() if d == "desc" else F.col(n).asc() for n, d in order]
+
+
+def _sort_key(df: DataFrame, order: Sequence[tuple[str, str]]) -> Column:
+    """The order as one struct that compares as the sort columns sort; ties by hash."""
+    parts = []
+    for name, direction in order:
+        if direction == "desc":
+            if not isinstance(df.schema[name].dataType, T.NumericType):
+                raise ValueError(f"{name} is no number and cannot be sorted downwards here")
+            parts += [F.col(name).isNull(), -F.col(name)]
+        else:
+            parts.append(F.col(name))
+    return F.struct(*[p.alias(f"o{i}") for i, p in enumerate([*parts, F.col("_tie")])])
 
 
 def join_null_safe(
@@ -37,6 +63,107 @@ def join_null_safe(
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+# --- routing of hot keys -----------------------------------------------------
+
+Hot = dict[tuple[str, ...], DataFrame | None]
+
+
+def hot_keys(df: DataFrame, key_sets: Sequence[Sequence[str]], hot_rows: int = HOT_ROWS) -> Hot:
+    """For each set of keys the values with too many rows for one task, None without any.
+
+    That is over ``hot_rows`` rows, or over all rows divided by ``MOST_SLICES`` where that
+    is more, so there are at most ``MOST_SLICES`` of them; the driver learns no others.
+    Columns are the keys and ``_size``, the rows a slice should have.
+    """
+    spark, sets = df.sparkSession, [tuple(k) for k in key_sets]
+    names = list(dict.fromkeys(n for keys in sets for n in keys))
+    counts = df.groupingSets([[*keys] for keys in [(), *sets]], *names).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n")
+    )
+    most = counts.where(F.col("_n") > hot_rows).orderBy(F.desc("_n"), "_set")
+    found = most.limit((MOST_SLICES + 1) * (len(sets) + 1)).collect()
+    bits = {n: 1 << (len(names) - 1 - i) for i, n in enumerate(names)}
+    total = max((r["_n"] for r in found), default=0)
+    size = max(hot_rows, -(-total // MOST_SLICES))
+    out: Hot = {}
+    for keys in sets:
+        mine = sum(b for n, b in bits.items() if n not in keys)
+        rows = [(*[r[k] for k in keys], size) for r in found if r["_set"] == mine and r["_n"] > size]
+        fields = [*[df.schema[k] for k in keys], T.StructField("_size", T.LongType())]
+        out[keys] = spark.createDataFrame(rows, T.StructType(fields)) if rows else None
+    return out
+
+
+def _borders(base: DataFrame, hot: DataFrame, keys: list[str], key: Column) -> DataFrame:
+    """The hot keys, each with the sorted keys of order at which its slices begin."""
+    rows = join_null_safe(base, F.broadcast(hot), keys)
+    lot = F.pmod(F.xxhash64("_tie", F.lit("border")), F.col("_size"))
+    # copies of one row are drawn together, and count once
+    drawn = rows.where(lot < _DRAWN).select(*keys, key.alias("_key")).distinct()
+    sorted_keys = F.array_sort(F.collect_list("_key"))
+    last = F.lit(_DRAWN - 1)
+    return drawn.groupBy(*keys).agg(
+        F.filter(sorted_keys, lambda _, i: i % _DRAWN == last).alias("_borders")
+    )
+
+
+def _slice_of(borders: Column, key: Column) -> Column:
+    """How many of the sorted ``borders`` are at or before ``key``, by bisection."""
+    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(F.size(borders) + 1)).cast("int")))
+
+    def halve(range_: Column, _: Column) -> Column:
+        low, high = range_["low"], range_["high"]
+        middle = F.shiftright(low + high, 1)
+        upper = F.struct((middle + 1).alias("low"), high.alias("high"))
+        lower = F.struct(low.alias("low"), middle.alias("high"))
+        found = F.when(F.get(borders, middle) <= key, upper).otherwise(lower)
+        return F.when(low >= high, range_).otherwise(found)
+
+    whole = F.struct(F.lit(0).alias("low"), F.size(borders).alias("high"))
+    return F.aggregate(steps, whole, halve, lambda range_: range_["low"])
+
+
+def _with_slices(
+    df: DataFrame, borders: DataFrame, keys: list[str], key: Column, how: str
+) -> DataFrame:
+    """``_slice``: 0 for keys that are not hot."""
+    joined = join_null_safe(df, F.broadcast(borders), keys, how)
+    found = F.when(F.col("_borders").isNotNull(), _slice_of(F.col("_borders"), key))
+    return joined.withColumn("_slice", F.coalesce(found, F.lit(0))).drop("_borders")
+
+
+def _edges(
+    rows: DataFrame, keys: list[str], order: Sequence[tuple[str, str]], value: str, depth: int
+) -> DataFrame:
+    """Per slice after the first of its key: rows, total and last values before it."""
+    parts = rows.groupBy(*keys, "_slice").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s")
+    )
+    by_key = W.partitionBy(*keys)
+    earlier = by_key.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    if depth:
+        # Spark trims each input partition to the last rows of a slice before the shuffle
+        turned = [(n, "asc" if d == "desc" else "desc") for n, d in order]
+        backwards = W.partitionBy(*keys, "_slice").orderBy(*_sort_columns(turned))
+        last = rows.withColumn("_back", F.row_number().over(backwards)).where(F.col("_back") <= depth)
+        last = last.groupBy(*keys, "_slice").agg(
+            F.array_sort(F.collect_list(F.struct("_back", F.col(value).alias("v")))).alias("_a")
+        )
+        nearest = last.select(*keys, "_slice", F.transform("_a", lambda s: s["v"]).alias("_last"))
+        parts = join_null_safe(parts, nearest, [*keys, "_slice"])
+        near = by_key.orderBy("_slice").rowsBetween(-depth, -1)
+        tail = F.slice(F.flatten(F.reverse(F.collect_list("_last").over(near))), 1, depth)
+    else:
+        tail = F.lit(None).cast("array<string>")
+    return (
+        parts.withColumn("_pos0", F.sum("_n").over(earlier))
+        .withColumn("_sum0", F.sum("_s").over(earlier))
+        .withColumn("_tail", tail)
+        .where(F.col("_pos0").isNotNull())
+        .select(*keys, "_slice", "_pos0", "_sum0", "_tail")
+    )
+
+
 def ordered_windows(
     df: DataFrame,
     keys: Sequence[str],
@@ -47,7 +174,9 @@ def ordered_windows(
     moving: tuple[str, int] | None = None,
     running: str | None = None,
     position: str | None = None,
-    slices: int | None = None,
+    of: DataFrame | None = None,
+    hot: Hot | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add row-wise window columns over ``keys`` in ``order``.
 
@@ -55,101 +184,111 @@ def ordered_windows(
     (name, n) for the mean over n preceding rows and the current one,
     ``running`` the cumulative sum, ``position`` the 1-based row number.
     ``order`` must be total up to rows that are interchangeable. Rows that tie in it
-    are dealt out by a hash of the row, so ties do not pile up in one slice.
+    are dealt out by a hash of the row, so ties do not pile up in one slice; only copies
+    of a whole row stay together. ``of`` has the rows of ``df`` before columns were added
+    that cost something: histogram and slices are read from it. ``hot`` is what
+    ``hot_keys`` found, where it was asked for several windows at once; keys that it
+    lacks are one group each. No keys are one key.
     """
-    names = df.columns
-    keys = list(keys)
-    sort = _sort_columns(order)
-    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sort = [*sort, F.xxhash64(*names).asc()]
-    depth = moving[1] if moving else (1 if previous else 0)
-
-    ranged = _slices(df, keys, sort, slices)
-    w = W.partitionBy("_slice", *keys).orderBy(*sort)
-    whole = W.partitionBy("_slice", *keys)
-    local = {
-        "_rn": F.row_number().over(w),
-        "_size": F.count(F.lit(1)).over(whole),
-        "_run": F.sum(value).over(w.rowsBetween(W.unboundedPreceding, 0)),
-    }
+    names, base = df.columns, df if of is None else of
+    if not keys:
+        one = {"_one": F.lit(1)}
+        placed = ordered_windows(
+            df.withColumns(one), ["_one"], order, value, previous=previous, moving=moving,
+            running=running, position=position, of=base.withColumns(one), hot_rows=hot_rows,
+        )
+        return placed.drop("_one")
+    keys, depth = list(keys), moving[1] if moving else (1 if previous else 0)
+    order = [(o, "asc") if isinstance(o, str) else o for o in order]
+    key = _sort_key(base, order)
+    found = (hot or hot_keys(base, [keys], hot_rows))[tuple(keys)]
+    total = [*order, ("_tie", "asc")]
+    tie = F.xxhash64(*[F.col(c) for c in base.columns])
+    rows = df.withColumn("_tie", tie)
+    if found is not None:
+        base = base.withColumn("_tie", tie)
+        borders = materialise(_borders(base, found, keys, key), "borders")
+        sliced = _with_slices(base, borders, keys, key, "inner")
+        edges = materialise(_edges(sliced, keys, total, value, depth), "edges")
+        rows = _with_slices(rows, borders, keys, key, "left")
+    group = keys if found is None else [*keys, "_slice"]
+
+    w = W.partitionBy(*group).orderBy(*_sort_columns(total))
+    local = {}
+    if position or (found is not None and (previous or moving)):
+        local["_rn"] = F.row_number().over(w)
+    if running:
+        local["_run"] = F.sum(value).over(w.rowsBetween(W.unboundedPreceding, 0))
     if previous:
         local["_prev"] = F.lag(value, 1).over(w)
     if moving:
         frame = w.rowsBetween(-depth, 0)
         local["_msum"] = F.sum(value).over(frame)
         local["_mcnt"] = F.count(value).over(frame)
-    # Range borders are sampled: pin the slices before reading them twice.
-    rows = materialise(ranged.withColumns(local), "slices")
-
-    borders = _slice_borders(rows, keys, value, depth)
-    side = borders.select(
-        F.col("_slice").alias("_b_slice"),
-        *[F.col(k).alias(f"_b_{k}") for k in keys],
-        "_pos0",
-        "_sum0",
-        "_tail",
-    )
-    on = rows["_slice"] == side["_b_slice"]
-    for k in keys:
-        on = on & rows[k].eqNullSafe(side[f"_b_{k}"])
-    joined = rows.join(side, on, "left")
+    rows = rows.withColumns(local)
+    if found is not None:
+        rows = _joined_edges(rows, edges, keys, value, depth, local)
 
     out = []
     if previous:
-        before = F.when(F.col("_rn") == 1, F.get("_tail", F.lit(0))).otherwise(F.col("_prev"))
-        out.append(before.alias(previous))
+        out.append(F.col("_prev").alias(previous))
     if moving:
+        mean = F.try_divide(F.col("_msum").cast("double"), F.col("_mcnt"))
+        out.append(mean.alias(moving[0]))
+    if running:
+        out.append(F.col("_run").alias(running))
+    if position:
+        out.append(F.col("_rn").cast("bigint").alias(position))
+    return rows.select(*names, *out)
+
+
+def _joined_edges(
+    rows: DataFrame, edges: DataFrame, keys: list[str], value: str, depth: int, local: dict
+) -> DataFrame:
+    """Add to the columns of ``local`` what comes from earlier slices."""
+    joined = join_null_safe(rows, F.broadcast(edges), ["_slice", *keys], "left")
+    done = {}
+    if "_prev" in local:
+        done["_prev"] = F.when(F.col("_rn") == 1, F.get("_tail", F.lit(0))).otherwise(F.col("_prev"))
+    if "_msum" in local:
         missing = F.greatest(F.lit(depth + 1) - F.col("_rn"), F.lit(0))
         known = F.filter(F.slice("_tail", F.lit(1), missing), lambda x: x.isNotNull())
         use = (missing > 0) & F.col("_tail").isNotNull()
-        zero = F.lit(0).cast(df.schema[value].dataType)
-        extra_sum = F.when(use, F.aggregate(known, zero.cast("double"), lambda a, x: a + x))
-        extra_cnt = F.when(use, F.size(known))
-        total = F.coalesce(F.col("_msum"), zero) + F.coalesce(extra_sum, F.lit(0.0))
-        count = F.col("_mcnt") + F.coalesce(extra_cnt, F.lit(0))
-        out.append(F.try_divide(total, count).alias(moving[0]))
-    if running:
-        out.append(
-            F.when(F.col("_sum0").isNull(), F.col("_run"))
-            .otherwise(F.coalesce(F.col("_run"), F.lit(0)) + F.col("_sum0"))
-            .alias(running)
+        added = F.when(use, F.aggregate(known, F.lit(0.0), lambda a, x: a + x))
+        sums = F.coalesce(F.col("_msum").cast("double"), F.lit(0.0)) + F.coalesce(added, F.lit(0.0))
+        counts = F.col("_mcnt") + F.coalesce(F.when(use, F.size(known)), F.lit(0))
+        done["_msum"], done["_mcnt"] = F.when(counts > 0, sums), counts
+    if "_run" in local:
+        done["_run"] = F.when(F.col("_sum0").isNull(), F.col("_run")).otherwise(
+            F.coalesce(F.col("_run"), F.lit(0)) + F.col("_sum0")
         )
-    if position:
-        out.append((F.col("_rn") + F.coalesce(F.col("_pos0"), F.lit(0))).alias(position))
-    return joined.select(*names, *out)
+    if "_rn" in local:
+        done["_rn"] = F.col("_rn") + F.coalesce(F.col("_pos0"), F.lit(0))
+    return joined.withColumns(done)
 
 
-def _slices(df: DataFrame, keys: list[str], sort: list[Column], slices: int) -> DataFrame:
-    return df.repartitionByRange(slices, *keys, *sort).withColumn(
-        "_slice", F.spark_partition_id()
-    )
+def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """All rows with their 0-based place in ``order``, which should be total.
 
-
-def _slice_borders(rows: DataFrame, keys: list[str], value: str, depth: int) -> DataFrame:
-    """Per slice that continues a key: rows, total and last values before it."""
-    parts = rows.groupBy("_slice", *keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s")
-    )
-    by_key = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(1))
-    earlier = by_key.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    parts = (
-        parts.withColumn("_spread", F.count(F.lit(1)).over(by_key))
-        .filter("_spread > 1")
-        .withColumn("_pos0", F.sum("_n").over(earlier))
-        .withColumn("_sum0", F.sum("_s").over(earlier))
-    )
-    if depth == 0:
-        return parts.withColumn("_tail", F.lit(None).cast("array<string>"))
-    last = rows.filter(F.col("_rn") > F.col("_size") - depth).groupBy("_slice", *keys).agg(
-        F.sort_array(F.collect_list(F.struct("_rn", F.col(value).alias("v"))), asc=False).alias("a")
-    )
-    last = last.withColumn("_last", F.transform("a", lambda s: s["v"])).drop("a")
-    near = by_key.orderBy("_slice").rowsBetween(-depth, -1)
-    joined = join_null_safe(parts, last, ["_slice", *keys])
-    return joined.withColumn(
-        "_tail", F.slice(F.flatten(F.reverse(F.collect_list("_last").over(near))), 1, depth)
+    Sorted parts are stored, each numbered on its own; one row per part tells how many
+    rows are before it.
+    """
+    parts = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id()
+    kept = materialise(
+        parts.withColumns(
+            {"_part": F.shiftright(place, 33), "_nth": place.bitwiseAND(F.lit((1 << 33) - 1))}
+        ),
+        "numbered",
     )
+    earlier = W.partitionBy(F.lit(1)).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    sizes = kept.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    bases = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
+    placed = kept.join(F.broadcast(bases), "_part")  # a row per stored part
+    return placed.select(*df.columns, (F.col("_base") + F.col("_nth")).alias(name))
+
 
+# --- ranks -------------------------------------------------------------------
 
 def value_ranks(
     df: DataFrame,
@@ -157,7 +296,8 @@ def value_ranks(
     value: str,
     *,
     descending: bool = False,
-    slices: int | None = None,
+    hot: Hot | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per distinct (keys, value): its rank and percent rank.
 
@@ -169,8 +309,12 @@ def value_ranks(
     keys = list(keys)
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
     order = [(value, "desc" if descending else "asc")]
-    ranked = ordered_windows(counts, keys, order, "n", running="cum", slices=slices)
-    totals = ranked.groupBy(*keys).agg(F.max("cum").alias("total"))
+    if keys and hot is None:
+        hot = hot_keys(df, [keys], hot_rows)  # a key has no more values than rows
+    ranked = ordered_windows(
+        counts, keys, order, "n", running="cum", hot=hot if keys else None, hot_rows=hot_rows
+    )
+    totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
     if keys:
         ranked = join_null_safe(ranked, totals, keys)
     else:
@@ -188,7 +332,7 @@ def with_rank(
     name: str,
     *,
     limit: int | None = None,
-    slices: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """RANK by ``value`` descending inside ``keys``; ``limit`` keeps ranks up to it.
 
@@ -196,7 +340,7 @@ def with_rank(
     """
     if limit is not None:
         return join_null_safe(df, top_ranks(df, keys, value, name, limit), [*keys, value])
-    ranks = value_ranks(df, keys, value, descending=True, slices=slices)
+    ranks = value_ranks(df, keys, value, descending=True, hot_rows=hot_rows)
     return join_null_safe(
         df, ranks.select(*keys, value, F.col("rank").alias(name)), [*keys, value]
     )
@@ -224,18 +368,72 @@ def with_percent_rank(
     name: str,
     *,
     of: DataFrame | None = None,
-    slices: int | None = None,
+    hot: Hot | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """PERCENT_RANK by ``value`` ascending inside ``keys``.
 
     ``of`` ranks against another frame (the whole table) than the rows returned.
     """
-    ranks = value_ranks(df if of is None else of, keys, value, slices=slices)
+    ranks = value_ranks(df if of is None else of, keys, value, hot=hot, hot_rows=hot_rows)
     return join_null_safe(
         df, ranks.select(*keys, value, F.col("pct_rank").alias(name)), [*keys, value]
     )
 
 
+# --- quantiles ---------------------------------------------------------------
+
+#: Ranges of values between a number and its double; and parts of a range beyond that.
+_RANGES, _PARTS = 1024, 65_536
+
+
+def _range_of(value: Column) -> Column:
+    """The range a number lies in: never falls as the number rises.
+
+    NaN is above all numbers, as Spark sorts it.
+    """
+    wide = value.cast("double")
+    found = F.floor(F.signum(wide) * F.log1p(F.abs(wide)) * (_RANGES / math.log(2)))
+    return F.when(F.isnan(wide), F.lit((1 << 63) - 1)).otherwise(found)
+
+
+def _part_of(value: Column, low: Column, high: Column) -> Column:
+    """Which of ``_PARTS`` equal parts between two numbers a number lies in."""
+    width = high.cast("double") - low.cast("double")
+    share = (value.cast("double") - low.cast("double")) / width
+    usable = (width > 0) & (width < float("inf"))
+    return F.when(usable, F.floor(share * _PARTS)).otherwise(F.lit(0).cast("bigint"))
+
+
+def _wanted(
+    counts: DataFrame, group: list[str], place: str, wants: Column, carried: list[str]
+) -> DataFrame:
+    """Rows of ``counts`` that hold a wanted position, counted from their own first row.
+
+    ``counts`` has ``_n`` rows per ``place`` of a group, ``wants`` are positions in the
+    group.
+    """
+    by = W.partitionBy(*group) if group else W.partitionBy(F.lit(1))
+    upto = F.sum("_n").over(by.orderBy(place).rowsBetween(W.unboundedPreceding, 0))
+    placed = counts.withColumns({"_last": upto, "_total": F.sum("_n").over(by)})
+    first = F.col("_last") - F.col("_n")
+    here = F.filter(wants, lambda w: (w["_k"] >= first) & (w["_k"] < F.col("_last")))
+    moved = F.transform(
+        here,
+        lambda w: F.struct(w["_q"].alias("_q"), (w["_k"] - first).alias("_k"), w["_part"].alias("_part")),
+    )
+    return placed.select(*group, place, moved.alias("_wants"), *carried).where(
+        F.size("_wants") > 0
+    )
+
+
+def _pinned(targets: DataFrame, keys: list[str]) -> DataFrame:
+    """Found once, before the next pass: a few rows per quantile and key."""
+    if keys:
+        return materialise(targets, "targets")
+    return F.broadcast(targets.sparkSession.createDataFrame(targets.collect(), targets.schema))
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -243,36 +441,61 @@ def exact_quantiles(
     named: dict[str, float],
     *,
     interpolate: bool = False,
-    slices: int | None = None,
 ) -> DataFrame:
-    """Exact quantiles per key, one column per entry of ``named``.
+    """Exact quantiles of numbers per key, one column per entry of ``named``.
 
-    Discrete (a value that occurs) or linearly interpolated. NULLs are ignored.
-    Works on value counts and never gathers a group's values in one buffer.
+    Discrete (a value that occurs) or linearly interpolated. NULLs are ignored. A first
+    pass counts rows by range of values, about a thousand for each doubling, and finds
+    the ranges that quantiles fall in; for fractions a second one cuts those ranges into
+    equal parts; the last one counts single values there. Counts are combined before they
+    are shuffled, and no group's values are sorted or gathered.
     """
-    ranks = value_ranks(
-        df.filter(F.col(value).isNotNull()).select(*keys, value),
-        keys,
-        value,
-        slices=slices,
-    )
-    first, last, total = F.col("cum") - F.col("n"), F.col("cum"), F.col("total")
+    keys = list(keys)
+    kind = df.schema[value].dataType
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    rows = rows.withColumn("_range", _range_of(F.col("_v")))
 
-    def at(k: Column) -> Column:
-        """The value at 0-based position k."""
-        return F.max(F.when((first <= k) & (k < last), F.col(value)))
+    def position(q: int, k: Column, part: Column) -> Column:
+        return F.struct(F.lit(q).alias("_q"), k.cast("bigint").alias("_k"), part.alias("_part"))
 
-    aggs = []
-    for name, p in named.items():
+    total, wants = F.col("_total"), []
+    for i, p in enumerate(named.values()):
         if interpolate:
             h = (total - 1) * F.lit(p)
-            lo, hi = at(F.floor(h)), at(F.ceil(h))
-            part = F.max(h - F.floor(h))
-            aggs.append((lo + (hi - lo) * part).alias(name))
+            wants.append(position(2 * i, F.floor(h), h - F.floor(h)))
+            wants.append(position(2 * i + 1, F.ceil(h), h - F.floor(h)))
         else:
             k = F.greatest(F.ceil(total * F.lit(p)), F.lit(1)) - 1
-            aggs.append(at(k).alias(name))
-    return ranks.groupBy(*keys).agg(*aggs)
+            wants.append(position(2 * i, k, F.lit(0.0)))
+
+    ends = [F.min("_v").alias("_low"), F.max("_v").alias("_high")]
+    counts = rows.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"), *ends)
+    on, near = ["_range"], ["_low", "_high"]
+    targets = _pinned(_wanted(counts, keys, "_range", F.array(*wants), near), keys)
+    if not isinstance(kind, T.IntegralType):
+        inside = join_null_safe(rows, targets.select(*keys, *on, *near), [*keys, *on])
+        rows = inside.withColumn("_piece", _part_of(F.col("_v"), F.col("_low"), F.col("_high")))
+        parts = rows.groupBy(*keys, "_range", "_piece").agg(F.count(F.lit(1)).alias("_n"))
+        parts = join_null_safe(parts, targets.select(*keys, *on, "_wants"), [*keys, *on])
+        on = ["_range", "_piece"]
+        targets = _pinned(_wanted(parts, [*keys, "_range"], "_piece", F.col("_wants"), []), keys)
+    inside = join_null_safe(rows, targets.select(*keys, *on), [*keys, *on])
+    values = inside.groupBy(*keys, *on, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    values = join_null_safe(values, targets.select(*keys, *on, "_wants"), [*keys, *on])
+    hits = _wanted(values, [*keys, *on], "_v", F.col("_wants"), [])
+    found = hits.select(*keys, "_v", F.inline("_wants"))
+
+    def at(q: int) -> Column:
+        return F.max(F.when(F.col("_q") == q, F.col("_v")))
+
+    aggs = []
+    for i, name in enumerate(named):
+        if interpolate:
+            part = F.max(F.when(F.col("_q") == 2 * i, F.col("_part")))
+            aggs.append((at(2 * i) + (at(2 * i + 1) - at(2 * i)) * part).alias(name))
+        else:
+            aggs.append(at(2 * i).alias(name))
+    return found.groupBy(*keys).agg(*aggs)
 
 
 def approx_quantiles(

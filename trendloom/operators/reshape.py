@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from trendloom.operators.joins import keep_matching
-from trendloom.operators.ordered import ordered_windows
+from trendloom.operators.ordered import numbered
 
 # Divisors that bring chart metrics to a common scale.
 TITLE_SCALE = 100
@@ -48,9 +48,8 @@ def head(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
 
 def id_batches(df: DataFrame, column: str, size: int = 50) -> DataFrame:
     """Distinct ids in order, cut into batches of ``size``; only the last is short."""
-    ids = df.select(column).dropna().distinct()
-    placed = ordered_windows(ids, [], [column], column, position="pos")
-    batch = F.floor((F.col("pos") - 1) / size)
+    placed = numbered(df.select(column).dropna().distinct(), [column], "_place")
+    batch = F.floor(F.col("_place") / size)
     return placed.groupBy(batch.alias("batch")).agg(
         F.array_sort(F.collect_list(column)).alias("ids")
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trendloom.functions import growth_pct
 from trendloom.operators.ordered import (
+    hot_keys,
     join_null_safe,
     ordered_windows,
     top_ranks,
@@ -29,20 +30,24 @@ def trending_analysis(df: DataFrame, top: int = 100) -> DataFrame:
     facts = df.select(
         "video_id", "title", "channel_title", "category_id", "views", "trending_date", "country"
     )
+    hot = hot_keys(facts, [["channel_title"], ["video_id"], ["category_id"]])
     by_channel = ordered_windows(
         facts,
         ["channel_title"],
         CHANNEL_ORDER,
         "views",
+        hot=hot,
         moving=("channel_7day_avg", 7),
         running="cumulative_channel_views",
     )
     by_video = ordered_windows(
-        by_channel, ["video_id"], VIDEO_ORDER, "views", previous="prev_day_views"
+        by_channel, ["video_id"], VIDEO_ORDER, "views", previous="prev_day_views", of=facts, hot=hot
     )
     ranks = top_ranks(facts, DAY_GROUP, "views", "daily_rank", top)
     kept = join_null_safe(by_video, ranks, [*DAY_GROUP, "views"])
-    placed = with_percent_rank(kept, ["category_id"], "views", "category_percentile", of=facts)
+    placed = with_percent_rank(
+        kept, ["category_id"], "views", "category_percentile", of=facts, hot=hot
+    )
     return placed.withColumn("growth_rate", growth_pct(F.col("views"), F.col("prev_day_views")))
 
 
