@@ -45,10 +45,12 @@ def country_from_file(variant: str = "default", file: str = "source_file") -> Co
 def whole_number(value: str | Column, kind: str = "bigint") -> Column:
     """Whole number from text, its fraction dropped; NULL for anything unreadable.
 
-    Read as a whole number first: a double holds only 53 bits.
+    Read as a whole number first: a double holds only 53 bits. Text without a digit is
+    not read as one, which would cost an exception a row.
     """
     c = F.col(value) if isinstance(value, str) else value
-    return F.coalesce(c.try_cast(kind), c.try_cast("double").try_cast(kind))
+    fraction = F.when(F.rlike(c.cast("string"), F.lit("[0-9]")), c).try_cast("double")
+    return F.coalesce(c.try_cast(kind), fraction.try_cast(kind))
 
 
 def coerce_long(value: str | Column) -> Column:
@@ -72,7 +74,8 @@ def iso_duration_seconds(value: str | Column) -> Column:
     def seconds(p: Column) -> Column:
         total = F.lit(0.0)
         for i, unit in enumerate(_DURATION_UNITS.values(), 1):
-            number = F.replace(F.get(p, F.lit(i)), F.lit(","), F.lit(".")).try_cast("double")
+            text = F.get(p, F.lit(i))
+            number = F.when(text != "", F.replace(text, F.lit(","), F.lit("."))).try_cast("double")
             total = total + F.coalesce(number, F.lit(0.0)) * unit
         signed = F.when(F.get(p, F.lit(0)) == "-", -total).otherwise(total)
         return F.when(F.size(p) == len(_DURATION_UNITS) + 1, signed).otherwise(0.0)

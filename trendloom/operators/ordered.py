@@ -68,14 +68,22 @@ def join_null_safe(
 Hot = dict[tuple[str, ...], DataFrame | None]
 
 
-def hot_keys(df: DataFrame, key_sets: Sequence[Sequence[str]], hot_rows: int = HOT_ROWS) -> Hot:
+def hot_keys(
+    df: DataFrame,
+    key_sets: Sequence[Sequence[str]],
+    hot_rows: int = HOT_ROWS,
+    most_rows: int | None = None,
+) -> Hot:
     """For each set of keys the values with too many rows for one task, None without any.
 
     That is over ``hot_rows`` rows, or over all rows divided by ``MOST_SLICES`` where that
     is more, so there are at most ``MOST_SLICES`` of them; the driver learns no others.
-    Columns are the keys and ``_size``, the rows a slice should have.
+    Columns are the keys and ``_size``, the rows a slice should have. With at most
+    ``most_rows`` in all, where the caller knows that, there is nothing to count.
     """
     spark, sets = df.sparkSession, [tuple(k) for k in key_sets]
+    if most_rows is not None and most_rows <= hot_rows:
+        return dict.fromkeys(sets)
     names = list(dict.fromkeys(n for keys in sets for n in keys))
     counts = df.groupingSets([[*keys] for keys in [(), *sets]], *names).agg(
         F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n")
@@ -434,6 +442,12 @@ def _pinned(targets: DataFrame, keys: list[str]) -> DataFrame:
     return F.broadcast(targets.sparkSession.createDataFrame(targets.collect(), targets.schema))
 
 
+def _largest(targets: DataFrame) -> int:
+    """Rows in the largest target that has more than one value."""
+    several = targets.where(F.col("_low") < F.col("_high"))
+    return several.agg(F.coalesce(F.max("_n"), F.lit(0))).first()[0]
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -441,17 +455,17 @@ def exact_quantiles(
     named: dict[str, float],
     *,
     interpolate: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Exact quantiles of numbers per key, one column per entry of ``named``.
 
     Discrete (a value that occurs) or linearly interpolated. NULLs are ignored. A first
     pass counts rows by range of values, about a thousand for each doubling, and finds
-    the ranges that quantiles fall in; for fractions a second one cuts those ranges into
-    equal parts; the last one counts single values there. Counts are combined before they
-    are shuffled, and no group's values are sorted or gathered.
+    the ranges that quantiles fall in; while such a range has more than ``hot_rows`` rows,
+    a pass cuts it into equal parts; the last one counts single values there. Counts are
+    combined before they are shuffled, and no group's rows are sorted or gathered.
     """
     keys = list(keys)
-    kind = df.schema[value].dataType
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     rows = rows.withColumn("_range", _range_of(F.col("_v")))
 
@@ -468,17 +482,20 @@ def exact_quantiles(
             k = F.greatest(F.ceil(total * F.lit(p)), F.lit(1)) - 1
             wants.append(position(2 * i, k, F.lit(0.0)))
 
-    ends = [F.min("_v").alias("_low"), F.max("_v").alias("_high")]
-    counts = rows.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"), *ends)
-    on, near = ["_range"], ["_low", "_high"]
-    targets = _pinned(_wanted(counts, keys, "_range", F.array(*wants), near), keys)
-    if not isinstance(kind, T.IntegralType):
-        inside = join_null_safe(rows, targets.select(*keys, *on, *near), [*keys, *on])
-        rows = inside.withColumn("_piece", _part_of(F.col("_v"), F.col("_low"), F.col("_high")))
-        parts = rows.groupBy(*keys, "_range", "_piece").agg(F.count(F.lit(1)).alias("_n"))
-        parts = join_null_safe(parts, targets.select(*keys, *on, "_wants"), [*keys, *on])
-        on = ["_range", "_piece"]
-        targets = _pinned(_wanted(parts, [*keys, "_range"], "_piece", F.col("_wants"), []), keys)
+    ends = [F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")]
+    counts = rows.groupBy(*keys, "_range").agg(*ends)
+    on, carried, most = ["_range"], ["_low", "_high", "_n"], math.inf
+    targets = _pinned(_wanted(counts, keys, "_range", F.array(*wants), carried), keys)
+    while hot_rows < (largest := _largest(targets)) < most:
+        most, piece = largest, f"_piece{len(on)}"
+        near = targets.select(*keys, *on, "_low", "_high")
+        inside = join_null_safe(rows, near, [*keys, *on])
+        rows = inside.withColumn(piece, _part_of(*[F.col(c) for c in ("_v", "_low", "_high")]))
+        rows = rows.drop("_low", "_high")
+        counts = rows.groupBy(*keys, *on, piece).agg(*ends)
+        counts = join_null_safe(counts, targets.select(*keys, *on, "_wants"), [*keys, *on])
+        targets = _wanted(counts, [*keys, *on], piece, F.col("_wants"), carried)
+        targets, on = _pinned(targets, keys), [*on, piece]
     inside = join_null_safe(rows, targets.select(*keys, *on), [*keys, *on])
     values = inside.groupBy(*keys, *on, "_v").agg(F.count(F.lit(1)).alias("_n"))
     values = join_null_safe(values, targets.select(*keys, *on, "_wants"), [*keys, *on])

@@ -26,7 +26,7 @@ from trendloom.functions import (
 from trendloom.operators import aggregates as agg
 from trendloom.operators import cleaning, reshape, topics
 from trendloom.operators.joins import join_dimension, keep_matching
-from trendloom.operators.ordered import ordered_windows, with_percent_rank, with_rank
+from trendloom.operators.ordered import hot_keys, ordered_windows, with_percent_rank, with_rank
 from trendloom.plans import load, summary, trending
 from trendloom.schemas import FACT_PARTITIONS, RAW_TRENDING
 from trendloom.sources import files, sinks
@@ -290,13 +290,13 @@ def _named_daily(spark, sf_dir) -> DataFrame:
 @_register
 def category_trends(spark, sf_dir):
     out = agg.category_trends(_named_daily(spark, sf_dir))
-    return rounded(rounded(out, "avg_engagement"), "trending_score", digits=2)
+    return rounded(rounded(out, "avg_engagement"), "trending_score", digits=4)
 
 
 @_register
 def category_trends_named(spark, sf_dir):
     out = agg.category_trends_named(_named_daily(spark, sf_dir))
-    return rounded(rounded(out, "avg_engagement"), "trending_score", digits=2)
+    return rounded(rounded(out, "avg_engagement"), "trending_score", digits=4)
 
 
 @_register
@@ -365,13 +365,40 @@ def correlation_pairs(spark, sf_dir):
 
 # --- windows -----------------------------------------------------------------
 
+#: So few that skewed keys are hot in the smallest tables too.
+_HOT_HERE = 1500
+
+
+def _order_lines(spark, sf_dir) -> int:
+    """The daily facts are the order lines; files know how many they have."""
+    return star.table(spark, sf_dir, "lineitem").count()
+
+
+def _skewed_daily(spark, sf_dir) -> DataFrame:
+    hot = F.col("views") % 3 == 0
+    one = {
+        "channel_title": "hot channel", "video_id": "hot video", "title": "hot title",
+        "category_id": 1, "country": "HOT",
+    }
+    moved = {c: F.when(hot, F.lit(v)).otherwise(F.col(c)) for c, v in one.items()}
+    day = F.when(F.col("views") % 6 == 0, F.lit("1996-01-01").cast("date"))
+    moved["trending_date"] = F.coalesce(day, F.col("trending_date"))
+    return star.facts_daily(spark, sf_dir).withColumns(moved)
+
 @_register
 def trending_analysis(spark, sf_dir):
     return trending.trending_analysis(
-        star.facts_daily(spark, sf_dir), top=5
+        star.facts_daily(spark, sf_dir), top=5, most_rows=_order_lines(spark, sf_dir)
     )
 
 
+@_register
+def trending_analysis_skewed(spark, sf_dir):
+    """A third of all rows have one channel, video, category and country, half of these one
+    day: they are hot, the others are not."""
+    return trending.trending_analysis(_skewed_daily(spark, sf_dir), top=5, hot_rows=_HOT_HERE)
+
+
 @_register
 def trending_top_n(spark, sf_dir):
     facts = star.facts_daily(spark, sf_dir)
@@ -392,7 +419,7 @@ def window_daily_rank(spark, sf_dir):
 def window_percent_rank(spark, sf_dir):
     facts = star.facts_daily(spark, sf_dir).select("category_id", "video_id", "views")
     return with_percent_rank(
-        facts, ["category_id"], "views", "percentile"
+        facts, ["category_id"], "views", "percentile", hot_rows=_HOT_HERE
     )
 
 
@@ -408,6 +435,7 @@ def window_channel_momentum(spark, sf_dir):
         "views",
         moving=("channel_7day_avg", 7),
         running="cumulative_channel_views",
+        hot=hot_keys(facts, [["channel_title"]], most_rows=_order_lines(spark, sf_dir)),
     )
 
 
@@ -420,6 +448,7 @@ def window_previous_views(spark, sf_dir):
         trending.VIDEO_ORDER,
         "views",
         previous="prev_day_views",
+        hot=hot_keys(facts, [["video_id"]], most_rows=_order_lines(spark, sf_dir)),
     )
 
 
@@ -436,6 +465,7 @@ def window_one_channel(spark, sf_dir):
         moving=("moving_avg", 7),
         running="running_views",
         position="pos",
+        hot_rows=_HOT_HERE,
     )
 
 
@@ -736,7 +766,7 @@ def job_load_channels(spark, sf_dir):
 @_register
 def job_load_trends(spark, sf_dir):
     out = _job_table(spark, sf_dir, "category_trends")
-    return rounded(rounded(out, "avg_engagement"), "trending_score", digits=2)
+    return rounded(rounded(out, "avg_engagement"), "trending_score", digits=4)
 
 
 @_register
@@ -845,7 +875,7 @@ def summary_document(spark, sf_dir):
 @_register
 def tables_category_trends(spark, sf_dir):
     out = spark.table(_filled(spark, sf_dir)["category_trends"])
-    return rounded(rounded(out, "avg_engagement"), "trending_score", digits=2)
+    return rounded(rounded(out, "avg_engagement"), "trending_score", digits=4)
 
 
 @_register

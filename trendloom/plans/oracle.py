@@ -161,7 +161,7 @@ _TRENDS = """
     country, count(*) AS video_count, CAST(sum(views) AS BIGINT) AS total_views,
     avg(views) AS avg_views, avg(likes) AS avg_likes,
     round(avg(engagement_rate), 6) AS avg_engagement,
-    round(CAST(sum(views) AS DOUBLE) / count(*) * avg(engagement_rate) * 1000, 2)
+    round(CAST(sum(views) AS DOUBLE) / count(*) * avg(engagement_rate) * 1000, 4)
         AS trending_score"""
 
 _TIME_SERIES = """
@@ -357,6 +357,20 @@ def _measure(name: str, expr: str) -> str:
     )
 
 
+def _trending(tables: str, rows: str) -> tuple[str, str]:
+    windows = f"""{tables},
+        w AS (
+            SELECT video_id, title, channel_title, category_id, views, trending_date, country,
+                {_DAILY_RANK}, {_CHANNEL_WINDOWS}, {_PREVIOUS},
+                percent_rank() OVER (PARTITION BY category_id ORDER BY views)
+                    AS category_percentile
+            FROM {rows}
+        )"""
+    return windows, """SELECT *, CASE WHEN prev_day_views IS NOT NULL
+        THEN CAST(views - prev_day_views AS DOUBLE) / nullif(prev_day_views, 0) * 100
+        ELSE 0 END AS growth_rate FROM w WHERE daily_rank <= 5"""
+
+
 def oracle_sql() -> dict[str, str]:
     gap_keys = "video_id, trending_date, category_id, views, likes"
     rate_cleaner = "coalesce(CAST(likes AS DOUBLE) / CASE WHEN views = 0 THEN 1 ELSE views END, 0)"
@@ -548,18 +562,19 @@ def oracle_sql() -> dict[str, str]:
             _DAILY,
             f"SELECT * FROM ({_CORR}) ORDER BY corr DESC NULLS LAST, col_a, col_b LIMIT 3",
         ),
-        "trending_analysis": _on(
-            f"""{_DAILY},
-            w AS (
-                SELECT video_id, title, channel_title, category_id, views, trending_date, country,
-                    {_DAILY_RANK}, {_CHANNEL_WINDOWS}, {_PREVIOUS},
-                    percent_rank() OVER (PARTITION BY category_id ORDER BY views)
-                        AS category_percentile
-                FROM d
-            )""",
-            """SELECT *, CASE WHEN prev_day_views IS NOT NULL
-                THEN CAST(views - prev_day_views AS DOUBLE) / nullif(prev_day_views, 0) * 100
-                ELSE 0 END AS growth_rate FROM w WHERE daily_rank <= 5""",
+        "trending_analysis": _on(*_trending(_DAILY, "d")),
+        "trending_analysis_skewed": _on(
+            *_trending(
+                f"""{_DAILY}, s AS (SELECT * REPLACE (
+                    CASE WHEN views % 3 = 0 THEN 'hot channel' ELSE channel_title END AS channel_title,
+                    CASE WHEN views % 3 = 0 THEN 'hot video' ELSE video_id END AS video_id,
+                    CASE WHEN views % 3 = 0 THEN 'hot title' ELSE title END AS title,
+                    CASE WHEN views % 3 = 0 THEN 1 ELSE category_id END AS category_id,
+                    CASE WHEN views % 3 = 0 THEN 'HOT' ELSE country END AS country,
+                    CASE WHEN views % 6 = 0 THEN DATE '1996-01-01' ELSE trending_date END
+                        AS trending_date) FROM d)""",
+                "s",
+            )
         ),
         "trending_top_n": _on(
             _DAILY,

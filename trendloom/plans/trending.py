@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from trendloom.functions import growth_pct
 from trendloom.operators.ordered import (
+    HOT_ROWS,
     hot_keys,
     join_null_safe,
     ordered_windows,
@@ -21,30 +23,41 @@ CHANNEL_ORDER = ["trending_date", "video_id", "country", "category_id", "views"]
 VIDEO_ORDER = ["trending_date", "country", "channel_title", "category_id", "views"]
 
 
-def trending_analysis(df: DataFrame, top: int = 100) -> DataFrame:
+def trending_analysis(
+    df: DataFrame, top: int = 100, *, most_rows: int | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Window measures over all observations, then the day's top ranks.
 
-    Ranks and category percentiles need only value counts of the table; they are
-    joined to the rows once the row-wise windows are there.
+    One histogram tells which channels, videos, days and categories are hot. Where no day
+    is, Spark trims each partition to the top ranks before the shuffle; else the ranks
+    come from the value counts of the days. Category percentiles need only value counts.
+    ``most_rows`` is a known limit of the number of observations, see ``hot_keys``.
     """
     facts = df.select(
         "video_id", "title", "channel_title", "category_id", "views", "trending_date", "country"
     )
-    hot = hot_keys(facts, [["channel_title"], ["video_id"], ["category_id"]])
+    hot = hot_keys(
+        facts, [["channel_title"], ["video_id"], DAY_GROUP, ["category_id"]], hot_rows, most_rows
+    )
     by_channel = ordered_windows(
         facts,
         ["channel_title"],
         CHANNEL_ORDER,
         "views",
-        hot=hot,
         moving=("channel_7day_avg", 7),
         running="cumulative_channel_views",
+        hot=hot,
     )
     by_video = ordered_windows(
         by_channel, ["video_id"], VIDEO_ORDER, "views", previous="prev_day_views", of=facts, hot=hot
     )
-    ranks = top_ranks(facts, DAY_GROUP, "views", "daily_rank", top)
-    kept = join_null_safe(by_video, ranks, [*DAY_GROUP, "views"])
+    if hot[tuple(DAY_GROUP)] is None:
+        by_views = W.partitionBy(*DAY_GROUP).orderBy(F.col("views").desc())
+        ranked = by_video.withColumn("daily_rank", F.rank().over(by_views).cast("bigint"))
+        kept = ranked.where(F.col("daily_rank") <= top)
+    else:
+        ranks = top_ranks(facts, DAY_GROUP, "views", "daily_rank", top)
+        kept = join_null_safe(by_video, ranks, [*DAY_GROUP, "views"])
     placed = with_percent_rank(
         kept, ["category_id"], "views", "category_percentile", of=facts, hot=hot
     )
