@@ -98,3 +98,35 @@ def test_late_landings_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     assert sorted(late.collect()) == sorted(catalog.queries()["window_trends_batch"](spark, str(tmp_path)).collect())
     landed = Path(made["landing"].removeprefix("file:"))
     assert all(len(list((landed / str(i)).glob("part-*.parquet"))) > 1 for i in (0, 1))
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    from trendloom.sources import sinks
+
+    sinks.create_tables(spark, "streamed")
+    table, start = "streamed.streaming_videos", dt.datetime(2024, 1, 1)
+    for i in range(3):
+        _write(spark, f"{tmp_path}/in", ("a", start, i), ("b", start, i))
+    source = ingest.landed_source(spark, f"{tmp_path}/in", STREAM_DELTAS, files_per_trigger=1)
+    for name in ("one", "it's another"):
+        checkpoint = f"{tmp_path}/{name[:3]}"
+        ingest.append_to_table(source, table, checkpoint, name=name, available_now=True).awaitTermination()
+    before = rows(spark.table(table))
+    assert len(before) == 12 and {r[-1] for r in before} == {0, 1, 2}
+    batch = spark.read.schema(STREAM_DELTAS).parquet(f"{tmp_path}/in").where("views_delta = 1")
+    ingest.insert_epoch(batch, table, "one", 1)
+    assert rows(spark.table(table)) == before
+    ingest.insert_epoch(batch.limit(0), table, "one", 1)  # and an empty batch empties only its own
+    assert spark.table(table).count() == 10
+
+
+def test_state_on_disk_gives_the_same(spark, sf_dir, tmp_path):
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    batch = windowed_trends(star.deltas_from_events(star.table(spark, sf_dir, "events")))
+    stream = windowed_trends(star.deltas_from_events(event_stream(spark, sf_dir)))
+    with ingest.state_on_disk(spark):
+        progress = drain(ingest.memory_table(stream, "trends_on_disk", "update"))
+    assert spark.conf.get(setting) == before
+    assert any("rocksdb" in m for p in progress for o in p["stateOperators"] for m in o["customMetrics"])
+    assert rows(spark.table("trends_on_disk")) == rows(batch)

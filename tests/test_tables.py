@@ -126,6 +126,54 @@ def test_loads_keep_other_days(spark, raw, tmp_path):
         )
 
 
+def stored_files(folder):
+    return {p.relative_to(folder): p.stat().st_mtime_ns for p in folder.rglob("part-*.orc")}
+
+
+def test_a_load_rewrites_only_the_partitions_it_touches(spark, raw, tmp_path):
+    """A day of January and one of February, then the second country's day of February again."""
+    dated = raw.withColumn(
+        "trending_date", F.when(F.col("trending_date") == "2024-01-01", "2024-01-31").otherwise("2024-02-01")
+    )
+    load.job_load(dated, f"{tmp_path}/load")
+    folder = tmp_path / "load"
+    before = {n: stored_files(folder / n) for n in ("category_trends", "channel_statistics", "facts")}
+    country = spark.read.orc(f"{folder}/facts").agg(F.max("country")).first()[0]
+    part = load.load_facts(dated).where((F.col("country") == country) & (F.col("trending_date") == "2024-02-01"))
+    again = dated.join(part.select("video_id").distinct(), "video_id", "left_semi").where(
+        F.col("trending_date") == "2024-02-01"
+    )
+    countries = {r[0] for r in load.load_facts(again).select("country").distinct().collect()}
+    paths = load.job_load(again, f"{tmp_path}/load")
+    for name, old in before.items():
+        kept = old.items() & stored_files(folder / name).items()
+        outside = {
+            f for f in old
+            if not any(f"country={c}" in str(f) for c in countries)
+            or (name == "category_trends" and "month=1" in str(f))
+            or (name == "facts" and "2024-01" in str(f))
+        }
+        assert {f for f, _ in kept} == outside
+    whole = aggregates.category_trends(spark.read.orc(paths["facts"]))
+    columns = ["category_id", "year", "month", "country", "video_count", "total_views"]
+    assert rows(spark.read.orc(paths["category_trends"]).select(*columns)) == rows(whole.select(*columns))
+
+
+def test_touched_partitions_with_nulls(spark):
+    facts = spark.createDataFrame(
+        [("2024-01-05", "US"), ("2024-02-05", "US"), ("2024-01-07", None), (None, "GB"), ("2023-01-01", "GB")],
+        "trending_date string, country string",
+    ).withColumn("trending_date", F.col("trending_date").cast("date"))
+    given = facts.withColumn("country", F.coalesce("country", F.lit("")))  # as it is before it is stored
+    changes = load.Changes.of(given.where("country = '' OR trending_date IS NULL OR month(trending_date) = 2"))
+    by_month = rows(facts.where(changes.touched(["year", "month", "country"])))
+    assert {(str(d), c) for d, c in by_month} == {("2024-02-05", "US"), ("2024-01-07", None), ("None", "GB")}
+    assert {r[1] for r in facts.where(changes.touched(["country"])).collect()} == {"US", None, "GB"}
+    assert facts.where(changes.touched(["country"])).count() == 5
+    assert facts.where(changes.touched([])).count() == 5
+    assert facts.where(load.Changes(frozenset()).touched(["country"])).count() == 0
+
+
 def test_batch_enrich_metrics(spark, raw, tmp_path):
     source = raw.withColumn("tags", F.lit("a|b")).withColumns(
         {c: F.col(c).cast("int") for c in ("views", "likes", "comment_count")}

@@ -62,8 +62,13 @@ def growth_pct(current: Column, previous: Column) -> Column:
 
 
 def trending_score(views: Column, engagement: Column) -> Column:
-    """An aggregate expression: mean views weighted by mean engagement."""
-    return F.sum(views) / F.count(F.lit(1)) * F.avg(engagement) * 1000
+    """An aggregate expression: mean views weighted by mean engagement.
+
+    Rates are summed as decimals, so that the score does not depend on the order of rows.
+    """
+    rates = F.sum(engagement.try_cast("decimal(27,12)")).cast("double")
+    mean = F.try_divide(rates, F.count(engagement))
+    return F.sum(views) / F.count(F.lit(1)) * mean * 1000
 
 
 def time_segment(hour: Column) -> Column:

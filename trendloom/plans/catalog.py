@@ -28,10 +28,10 @@ from trendloom.operators import cleaning, reshape, topics
 from trendloom.operators.joins import join_dimension, keep_matching
 from trendloom.operators.ordered import hot_keys, ordered_windows, with_percent_rank, with_rank
 from trendloom.plans import load, summary, trending
-from trendloom.schemas import FACT_PARTITIONS, RAW_TRENDING
+from trendloom.schemas import FACT_PARTITIONS, RAW_TRENDING, STREAM_PARTITIONS
 from trendloom.sources import files, sinks
 from trendloom.sources import starschema as star
-from trendloom.sources.workspace import new_path
+from trendloom.sources.workspace import materialise, new_path
 from trendloom.streaming import ingest
 from trendloom.streaming.trends import windowed_trends
 
@@ -700,22 +700,56 @@ def window_trends_complete(spark, sf_dir):
     return _streamed_trends(spark, _event_stream(spark, sf_dir), "complete")
 
 
-@_register
-def window_trends_late(spark, sf_dir):
+def _late_landings(spark, sf_dir) -> tuple[DataFrame, int]:
     """Events land in two halves; then the first hour's come again and are too late."""
     events = star.table(spark, sf_dir, "events")
     half, hour = events.agg(
         F.min("ts") + (F.max("ts") - F.min("ts")) / 2, F.min("ts") + F.expr("INTERVAL 1 HOUR")
     ).first()
     path, out = new_path(spark, "landing"), new_path(spark, "trends")
-    checkpoint = new_path(spark, "trends-checkpoint")
+    checkpoint, late = new_path(spark, "trends-checkpoint"), 0
     # one run for each landing, on the same checkpoint, so that the runs keep the order
     for i, landing in enumerate((F.col("ts") <= half, F.col("ts") > half, F.col("ts") <= hour)):
         events.where(landing).write.parquet(f"{path}/{i}")
         stream = ingest.landed_source(spark, f"{path}/*", events.schema)
         trends = windowed_trends(star.deltas_from_events(stream))
-        ingest.update_files(trends, out, checkpoint, available_now=True).awaitTermination()
-    return ingest.latest_state(spark, out, trends.schema, _WINDOW_KEYS)
+        with ingest.state_on_disk(spark):
+            query = ingest.update_files(trends, out, checkpoint, available_now=True)
+            query.awaitTermination()
+        late += ingest.late_groups(query)
+    return ingest.latest_state(spark, out, trends.schema, _WINDOW_KEYS), late
+
+
+@_register
+def window_trends_late(spark, sf_dir):
+    return _late_landings(spark, sf_dir)[0]
+
+
+@_register
+def window_trends_late_report(spark, sf_dir):
+    """How many windows there are, and how many states of closed ones were dropped."""
+    trends, late = _late_landings(spark, sf_dir)
+    return trends.agg(F.count(F.lit(1)).alias("windows")).withColumn(
+        "late_windows", F.lit(late).cast("bigint")
+    )
+
+
+@_register
+def stream_to_catalog(spark, sf_dir):
+    """Deltas land in three files, go to the stream table, and a batch is written again."""
+    name = f"{_new_database(spark)}.streaming_videos"
+    sinks.create_tables(spark, name.split(".")[0])
+    events = star.table(spark, sf_dir, "events")
+    path, checkpoint = new_path(spark, "landing"), new_path(spark, "deltas-checkpoint")
+    events.repartition(3, "event_id").write.parquet(path)
+    source = ingest.landed_source(spark, path, events.schema, files_per_trigger=1)
+    deltas = ingest.to_contract(star.deltas_from_events(source))
+    for _ in range(2):  # the second run finds nothing new
+        query = ingest.append_to_table(deltas, name, checkpoint, name="events", available_now=True)
+        query.awaitTermination()
+    again = spark.table(name).where("stream = 'events' AND epoch = 1").drop(*STREAM_PARTITIONS)
+    ingest.insert_epoch(materialise(again), name, "events", 1)
+    return spark.table(name).select("video_id", "views_delta", "likes_delta", "processing_time", "stream")
 
 
 @_register
@@ -795,6 +829,17 @@ def job_load_history(spark, sf_dir):
     )
 
 
+@_register
+def job_load_increments(spark, sf_dir):
+    """Trends after loads of even years, of odd ones, and of one year again."""
+    raw = _yearly(spark, sf_dir)
+    year, target = F.coalesce(F.year("trending_date"), F.lit(0)), new_path(spark, "increments")
+    for part in (year % 2 == 0, year % 2 == 1, year == 1997):
+        paths = load.job_load(raw.where(part), target, tables=["category_trends"])
+    out = spark.read.orc(paths["category_trends"])
+    return rounded(rounded(out, "avg_engagement"), "trending_score", digits=4)
+
+
 def _new_database(spark) -> str:
     name = f"trendloom_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{new_path(spark, 'tables')}'")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from trendloom.functions import (
@@ -43,15 +43,92 @@ def load_facts(raw: DataFrame) -> DataFrame:
     return facts.withColumn("category_name", category_name())
 
 
-def build_aggregates(facts: DataFrame) -> dict[str, tuple[DataFrame, list[str]]]:
-    """Aggregate tables by name, each with its partition columns."""
+#: Aggregate tables with their usual partitions.
+_AGGREGATES = {
+    "channel_statistics": (aggregates.channel_statistics, ["country"]),
+    "category_trends": (aggregates.category_trends, ["year", "month", "country"]),
+    "time_series_metrics": (aggregates.time_series_metrics, ["country"]),
+}
+
+
+def _partition_values() -> dict[str, Column]:
+    """An empty country is stored as NULL."""
     return {
-        "channel_statistics": (aggregates.channel_statistics(facts), ["country"]),
-        "category_trends": (aggregates.category_trends(facts), ["year", "month", "country"]),
-        "time_series_metrics": (aggregates.time_series_metrics(facts), ["country"]),
+        "year": F.year("trending_date"),
+        "month": F.month("trending_date"),
+        "country": F.nullif(F.col("country"), F.lit("")),
     }
 
 
+@dataclass(frozen=True)
+class Changes:
+    """The partitions of aggregates that new facts fall in: years, months and countries.
+
+    They are as many as the folders that the load writes, by month; not as many as rows.
+    """
+
+    values: frozenset[tuple]
+
+    @classmethod
+    def of(cls, facts: DataFrame) -> Changes:
+        columns = [c.alias(n) for n, c in _partition_values().items()]
+        return cls(frozenset(tuple(r) for r in facts.select(*columns).distinct().collect()))
+
+    def touched(self, partitions: Sequence[str]) -> Column:
+        """Whether a fact belongs to a changed partition of a table with this layout.
+
+        A condition on the fact table's own partition columns, so that others are not read.
+        """
+        known = list(_partition_values())
+        chosen = [known.index(p) for p in partitions]
+        columns = [_partition_values()[p] for p in partitions]
+        return _any_of({tuple(v[i] for i in chosen) for v in self.values}, columns)
+
+
+def _any_of(rows: set[tuple], columns: list[Column]) -> Column:
+    """Whether the columns have the values of one of the rows; NULL is a value.
+
+    Values of the last column that go with the same other values share one comparison.
+    """
+    if not rows:
+        return F.lit(False)
+    if not columns:
+        return F.lit(True)
+    *rest, last = columns
+    before: dict = {}
+    for *others, value in rows:
+        before.setdefault(value, set()).add(tuple(others))
+    alike: dict = {}
+    for value, others in before.items():
+        alike.setdefault(frozenset(others), []).append(value)
+    out = F.lit(False)
+    for others, values in alike.items():
+        given = [v for v in values if v is not None]
+        found = last.isin(given) if given else F.lit(False)
+        found = F.coalesce(found, F.lit(False))
+        if None in values:
+            found = found | last.isNull()
+        out = out | (found & _any_of(set(others), rest) if rest else found)
+    return out
+
+
+def build_aggregates(
+    facts: DataFrame,
+    changes: Changes | None = None,
+    layout: dict[str, list[str]] | None = None,
+) -> dict[str, tuple[DataFrame, list[str]]]:
+    """Aggregate tables by name, each with its partition columns.
+
+    With ``changes`` only the partitions that they touch, from all facts of these.
+    """
+    out = {}
+    for name, (build, usual) in _AGGREGATES.items():
+        partitions = (layout or {}).get(name, usual)
+        rows = facts if changes is None else facts.where(changes.touched(partitions))
+        out[name] = (build(rows), partitions)
+    return out
+
+
 def job_load(
     raw: DataFrame,
     target: str,
@@ -61,20 +138,24 @@ def job_load(
 ) -> dict[str, str]:
     """Facts and aggregate tables as partitioned ORC below ``target``.
 
-    Facts of other partitions stay, so days can be loaded one by one and again. The
-    aggregates are built from all facts stored: columnar, typed, scanned by column.
+    Facts of other partitions stay, so days can be loaded one by one and again. Of the
+    aggregates only the partitions that the new facts touch are built again, from all
+    facts stored for these; an aggregate without partitions is built from all.
     ``partitions`` overrides the layout of single tables, for data too thin for
     a folder per day; ``tables`` limits the aggregates built.
     """
     spark = raw.sparkSession
     layout = partitions or {}
     paths = {"facts": f"{target}/facts"}
-    replace_partitions(load_facts(raw), paths["facts"], layout.get("facts", FACT_PARTITIONS))
-    facts = spark.read.orc(paths["facts"])
-    for name, (df, usual) in build_aggregates(facts).items():
-        if tables is None or name in tables:
+    new = load_facts(raw)
+    replace_partitions(new, paths["facts"], layout.get("facts", FACT_PARTITIONS))
+    wanted = [n for n in _AGGREGATES if tables is None or n in tables]
+    if wanted:
+        facts = spark.read.orc(paths["facts"])
+        built = build_aggregates(facts, Changes.of(new), layout)
+        for name in wanted:
             paths[name] = f"{target}/{name}"
-            replace_partitions(df, paths[name], layout.get(name, usual))
+            replace_partitions(built[name][0], paths[name], built[name][1])
     return paths
 
 
@@ -83,9 +164,10 @@ def job_load_tables(raw: DataFrame, database: str) -> DataFrame:
     spark = raw.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     fact_table = f"{database}.trending_facts"
-    write_table(load_facts(raw), fact_table, FACT_PARTITIONS)
+    new = load_facts(raw)
+    write_table(new, fact_table, FACT_PARTITIONS)
     facts = spark.table(fact_table)
-    for name, (df, partitions) in build_aggregates(facts).items():
+    for name, (df, partitions) in build_aggregates(facts, Changes.of(new)).items():
         buckets = (10, "date_key") if name == "time_series_metrics" else None
         write_table(df, f"{database}.{name}", partitions, buckets)
     return aggregates.storage_summary(facts)
@@ -138,7 +220,7 @@ def job_fill_tables(raw: DataFrame, database: str) -> dict[str, str]:
     """The whole data model, created and filled: facts, categories and aggregates.
 
     ``raw`` are text observations; tags and virality are added on the way. Partitions
-    of other days stay, and the aggregates are built from all facts stored.
+    of other days stay, and aggregates are built again where the new facts fall.
     """
     spark = raw.sparkSession
     create_tables(spark, database)
@@ -158,7 +240,7 @@ def job_fill_tables(raw: DataFrame, database: str) -> dict[str, str]:
     dim.coalesce(1).write.insertInto(tables["dim_categories"], overwrite=True)
     names = spark.table(tables["dim_categories"]).select("category_id", "category_name")
     named = spark.table(tables["fact_videos"]).join(broadcast_if_small(names), "category_id", "left")
-    for name, (df, partitions) in build_aggregates(named).items():
+    for name, (df, partitions) in build_aggregates(named, Changes.of(typed)).items():
         contract = spark.table(tables[name]).schema
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in contract])
         insert_partitions(df, tables[name], partitions)

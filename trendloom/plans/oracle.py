@@ -161,8 +161,9 @@ _TRENDS = """
     country, count(*) AS video_count, CAST(sum(views) AS BIGINT) AS total_views,
     avg(views) AS avg_views, avg(likes) AS avg_likes,
     round(avg(engagement_rate), 6) AS avg_engagement,
-    round(CAST(sum(views) AS DOUBLE) / count(*) * avg(engagement_rate) * 1000, 4)
-        AS trending_score"""
+    round(CAST(sum(views) AS DOUBLE) / count(*)
+        * (CAST(sum(CAST(engagement_rate AS DECIMAL(27, 12))) AS DOUBLE) / count(engagement_rate))
+        * 1000, 4) AS trending_score"""
 
 _TIME_SERIES = """
 SELECT trending_date AS date_key, CAST(hour(publish_time) AS BIGINT) AS hour_of_day,
@@ -715,6 +716,17 @@ def oracle_sql() -> dict[str, str]:
         "window_trends_stream": _on(_WINDOWS, "SELECT * FROM trends"),
         "window_trends_complete": _on(_WINDOWS, "SELECT * FROM trends"),
         "window_trends_late": _on(_WINDOWS, "SELECT * FROM trends"),
+        "window_trends_late_report": _on(
+            _WINDOWS,
+            """SELECT (SELECT count(*) FROM trends) AS windows, count(*) AS late_windows FROM (
+                SELECT DISTINCT window_start, video_id FROM placed
+                WHERE ts <= (SELECT min(ts) FROM events) + INTERVAL 1 HOUR)""",
+        ),
+        "stream_to_catalog": _on(
+            _WINDOWS,
+            """SELECT CAST(video_id AS VARCHAR) AS video_id, views_delta, likes_delta,
+                ts AS processing_time, 'events' AS stream FROM deltas""",
+        ),
         "stream_ingest": """
             SELECT event_id, true AS has_id, true AS delta_in_range, true AS is_timed
             FROM events""",
@@ -735,6 +747,11 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT category_id, min(category_name) AS category_name, {_TRENDS} FROM d
                 WHERE category_id IS NOT NULL GROUP BY 1, 3, 4, 5""",
         ),
+        "job_load_increments": _on(
+            _YEARLY,
+            f"""SELECT category_id, min(category_name) AS category_name, {_TRENDS} FROM d
+                WHERE category_id IS NOT NULL GROUP BY 1, 3, 4, 5""",
+        ),
         "job_load_history": _on(
             _YEARLY,
             """SELECT video_id, trending_date, country, views, likes, dislikes, comment_count

@@ -124,6 +124,10 @@ STREAM_DELTAS = _struct(
     processing_time=_TIME,
 )
 
+#: A stream's batches are partitions of the table, so that one can be written again.
+STREAM_PARTITIONS = ["stream", "epoch"]
+STREAMING_VIDEOS = T.StructType([*STREAM_DELTAS, T.StructField("stream", _STRING), T.StructField("epoch", _LONG)])
+
 API_ITEM = _struct(
     id=_STRING,
     statistics=_struct(viewCount=_STRING, likeCount=_STRING, commentCount=_STRING),

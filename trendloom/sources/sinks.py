@@ -134,7 +134,9 @@ def create_tables(spark: SparkSession, database: str) -> None:
     }
     for table, (schema, partitions, buckets) in tables.items():
         create_table(spark, f"{database}.{table}", schema, partitions, buckets)
-    create_table(spark, f"{database}.streaming_videos", schemas.STREAM_DELTAS, fmt="parquet")
+    create_table(
+        spark, f"{database}.streaming_videos", schemas.STREAMING_VIDEOS, schemas.STREAM_PARTITIONS, fmt="parquet"
+    )
 
 
 def create_external_csv(

@@ -2,14 +2,48 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from trendloom.schemas import STREAM_DELTAS
+from trendloom.schemas import STREAM_DELTAS, STREAM_PARTITIONS
+
+
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_CHANGES = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB instead of the heap.
+
+    State may then outgrow an executor's memory, and a commit writes only what changed.
+    A checkpoint remembers its store, so a query must be restarted in the same way.
+    """
+    wanted = {_STORE: _ROCKS, _CHANGES: "true"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def late_groups(query: StreamingQuery) -> int:
+    """Groups (a window and its key) that came behind the watermark and were dropped.
+
+    From the query's own progress, which covers its last run and at most
+    ``spark.sql.streaming.numRecentProgressUpdates`` batches of it.
+    """
+    operators = [o for p in query.recentProgress for o in p["stateOperators"]]
+    return sum(o["numRowsDroppedByWatermark"] for o in operators)
 
 
 def rate_source(spark: SparkSession, rows_per_second: int = 10) -> DataFrame:
@@ -93,6 +127,38 @@ def update_files(
     return writer.foreachBatch(write).start()
 
 
+def append_to_table(
+    stream: DataFrame, table: str, checkpoint: str, *, name: str, available_now: bool = False
+) -> StreamingQuery:
+    """Append a stream to a catalog table that is partitioned by stream and epoch.
+
+    ``name`` tells this stream from others that write to the table, and has to stay with
+    its checkpoint. A batch that is run again replaces its own partition, so each row is
+    in the table once whatever fails in between.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        insert_epoch(batch, table, name, epoch)
+
+    writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.foreachBatch(write).start()
+
+
+def insert_epoch(batch: DataFrame, table: str, name: str, epoch: int) -> None:
+    """The rows of one batch become the whole content of its partition."""
+    spark = batch.sparkSession
+    columns = ", ".join(f"`{c}`" for c in spark.table(table).columns if c not in STREAM_PARTITIONS)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION (stream = {{name}}, epoch = {{epoch}}) "
+        f"SELECT {columns} FROM {{batch}}",
+        name=name,
+        epoch=int(epoch),
+        batch=batch,
+    )
+
+
 def latest_state(
     spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]
 ) -> DataFrame:
