@@ -1,8 +1,9 @@
 """Chat formatting with typed content parts, in built-in Spark expressions only.
 
 A turn is a list of typed parts. The visitor ``visit`` maps every part, by its kind, to
-its place in the formatted text: text is escaped, everything else becomes one
-placeholder, an attachment reference and a token count. Conversations are assembled
+its place in the formatted text: text stays, everything else becomes one placeholder, an
+attachment reference and a token count. Neighbouring texts are joined and then escaped, so
+that no control string can arise where two of them meet. Conversations are assembled
 with one shuffle on their id; a conversation is one output row, so it must fit in a task.
 """
 
@@ -59,7 +60,7 @@ def text_part(text: Column) -> Column:
 
 
 def visit(part: Column) -> Column:
-    """One part: its piece of the formatted text, its reference, its token count.
+    """One part: its text as it is or its placeholder, its reference, its token count.
 
     A part without a kind is text. Unknown kinds get a general placeholder and no tokens;
     missing measures count as zero.
@@ -67,7 +68,7 @@ def visit(part: Column) -> Column:
     kind = F.lower(F.coalesce(part["kind"], F.lit("text")))
     zero = F.lit(0).cast("bigint")
     size = lambda name: F.coalesce(part[name], F.lit(0))
-    piece = F.when(kind == "text", escape(F.coalesce(part["text"], F.lit(""))))
+    piece = F.when(kind == "text", F.coalesce(part["text"], F.lit("")))
     for name, mark in PLACEHOLDERS.items():
         piece = piece.when(kind == name, F.lit(mark))
     tokens = (
@@ -85,6 +86,20 @@ def visit(part: Column) -> Column:
     )
 
 
+def body(seen: Column) -> Column:
+    """The formatted text of visited parts: runs of texts escaped, placeholders between."""
+    start = F.struct(F.lit("").alias("done"), F.lit("").alias("run"))
+
+    def add(made: Column, part: Column) -> Column:
+        longer = F.struct(made["done"].alias("done"), F.concat(made["run"], part["piece"]).alias("run"))
+        closed = F.concat(made["done"], escape(made["run"]), part["piece"])
+        return F.when(part["kind"] == "text", longer).otherwise(
+            F.struct(closed.alias("done"), F.lit("").alias("run"))
+        )
+
+    return F.aggregate(seen, start, add, lambda made: F.concat(made["done"], escape(made["run"])))
+
+
 def format_chat(
     turns: DataFrame,
     parts: str | None = None,
@@ -118,7 +133,7 @@ def format_chat(
         F.struct(
             "_turn",
             F.concat(F.lit(START), escape_role(F.col("_role")), F.lit("\n")).alias("head"),
-            F.array_join(F.col("_seen.piece"), "").alias("body"),
+            body(F.col("_seen")).alias("body"),
             F.col("_role").isin(*learn).alias("learn"),
             F.filter("_seen", lambda p: p["kind"] != "text").alias("held"),
         ).alias("_t"),
