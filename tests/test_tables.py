@@ -191,3 +191,23 @@ def test_cache_is_the_callers(spark):
     kept = sinks.keep_for_reuse(spark.range(10))
     assert kept.count() == 10 and kept.storageLevel.useMemory and kept.storageLevel.useDisk
     kept.unpersist()
+
+
+def test_reach_rolls_up_from_stored_sketches(spark, tmp_path):
+    """Merged sketches equal one over all rows, within and beyond the exact range."""
+    days = spark.range(200_000).select(
+        (F.col("id") % 90_000).cast("string").alias("video_id"),
+        F.when(F.col("id") % 50 == 0, "small").otherwise("large").alias("channel_title"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 97).cast("int")).alias("trending_date"),
+        F.element_at(F.array(F.lit("US"), F.lit("GB")), (F.col("id") % 2 + 1).cast("int")).alias("country"),
+    )
+    aggregates.channel_reach(days).write.parquet(f"{tmp_path}/reach")
+    stored = spark.read.parquet(f"{tmp_path}/reach")
+    got = {r[0]: (r[1], r[2]) for r in aggregates.roll_up_reach(stored, "channel_title").collect()}
+    exact = {
+        r[0]: (r[1], r[2])
+        for r in days.groupBy("channel_title").agg(F.count("*"), F.count_distinct("video_id")).collect()
+    }
+    assert got["small"] == exact["small"]
+    assert got["large"][0] == exact["large"][0]
+    assert abs(got["large"][1] / exact["large"][1] - 1) < 0.02

@@ -115,6 +115,35 @@ def _channel_single_scan(df: DataFrame, counts_as_category: Column) -> DataFrame
     )
 
 
+#: Videos of a group up to which its distinct count is exact: 2 to this power.
+_REACH_BITS = 16
+
+
+def channel_reach(df: DataFrame) -> DataFrame:
+    """Per channel, country and month: rows, and a sketch of the videos seen.
+
+    Sketches of any months and countries can be merged, so distinct counts over them need
+    no facts; a sum of monthly distinct counts would count a video in each month.
+    """
+    return df.groupBy(
+        "channel_title",
+        F.year("trending_date").alias("year"),
+        F.month("trending_date").alias("month"),
+        "country",
+    ).agg(_rows().alias("n"), F.theta_sketch_agg("video_id", _REACH_BITS).alias("videos"))
+
+
+def roll_up_reach(reach: DataFrame, *keys: str) -> DataFrame:
+    """Rows and distinct videos per ``keys`` from the stored sketches of ``channel_reach``.
+
+    Exact up to 2^16 videos a group, beyond within a relative standard error of 0.4 %.
+    """
+    merged = F.theta_union_agg("videos", _REACH_BITS)
+    return reach.groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.theta_sketch_estimate(merged).alias("unique_videos")
+    )
+
+
 # --- category trends ---------------------------------------------------------
 
 def _trend_measures() -> list[Column]:

@@ -840,6 +840,16 @@ def job_load_increments(spark, sf_dir):
     return rounded(rounded(out, "avg_engagement"), "trending_score", digits=4)
 
 
+@_register
+def job_load_reach(spark, sf_dir):
+    """Distinct videos per channel over all years, merged from the stored monthly sketches."""
+    raw, target = _yearly(spark, sf_dir), new_path(spark, "reach")
+    even = F.coalesce(F.year("trending_date") % 2, F.lit(0)) == 0
+    for part in (raw.where(even), raw.where(~even)):
+        paths = load.job_load(part, target, tables=["channel_reach"])
+    return agg.roll_up_reach(spark.read.orc(paths["channel_reach"]), "channel_title")
+
+
 def _new_database(spark) -> str:
     name = f"trendloom_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{new_path(spark, 'tables')}'")

@@ -49,6 +49,8 @@ _AGGREGATES = {
     "category_trends": (aggregates.category_trends, ["year", "month", "country"]),
     "time_series_metrics": (aggregates.time_series_metrics, ["country"]),
 }
+#: Built by ``job_load`` where asked for: sketches from which distinct counts roll up.
+_SKETCHES = {"channel_reach": (aggregates.channel_reach, ["year", "month", "country"])}
 
 
 def _partition_values() -> dict[str, Column]:
@@ -122,7 +124,7 @@ def build_aggregates(
     With ``changes`` only the partitions that they touch, from all facts of these.
     """
     out = {}
-    for name, (build, usual) in _AGGREGATES.items():
+    for name, (build, usual) in {**_AGGREGATES, **_SKETCHES}.items():
         partitions = (layout or {}).get(name, usual)
         rows = facts if changes is None else facts.where(changes.touched(partitions))
         out[name] = (build(rows), partitions)
@@ -149,7 +151,7 @@ def job_load(
     paths = {"facts": f"{target}/facts"}
     new = load_facts(raw)
     replace_partitions(new, paths["facts"], layout.get("facts", FACT_PARTITIONS))
-    wanted = [n for n in _AGGREGATES if tables is None or n in tables]
+    wanted = [n for n in {**_AGGREGATES, **_SKETCHES} if n in (_AGGREGATES if tables is None else tables)]
     if wanted:
         facts = spark.read.orc(paths["facts"])
         built = build_aggregates(facts, Changes.of(new), layout)
@@ -167,7 +169,8 @@ def job_load_tables(raw: DataFrame, database: str) -> DataFrame:
     new = load_facts(raw)
     write_table(new, fact_table, FACT_PARTITIONS)
     facts = spark.table(fact_table)
-    for name, (df, partitions) in build_aggregates(facts, Changes.of(new)).items():
+    built = build_aggregates(facts, Changes.of(new))
+    for name, (df, partitions) in ((n, built[n]) for n in _AGGREGATES):
         buckets = (10, "date_key") if name == "time_series_metrics" else None
         write_table(df, f"{database}.{name}", partitions, buckets)
     return aggregates.storage_summary(facts)
@@ -240,7 +243,8 @@ def job_fill_tables(raw: DataFrame, database: str) -> dict[str, str]:
     dim.coalesce(1).write.insertInto(tables["dim_categories"], overwrite=True)
     names = spark.table(tables["dim_categories"]).select("category_id", "category_name")
     named = spark.table(tables["fact_videos"]).join(broadcast_if_small(names), "category_id", "left")
-    for name, (df, partitions) in build_aggregates(named, Changes.of(typed)).items():
+    built = build_aggregates(named, Changes.of(typed))
+    for name, (df, partitions) in ((n, built[n]) for n in _AGGREGATES):
         contract = spark.table(tables[name]).schema
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in contract])
         insert_partitions(df, tables[name], partitions)

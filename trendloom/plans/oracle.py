@@ -747,6 +747,11 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT category_id, min(category_name) AS category_name, {_TRENDS} FROM d
                 WHERE category_id IS NOT NULL GROUP BY 1, 3, 4, 5""",
         ),
+        "job_load_reach": _on(
+            _YEARLY,
+            """SELECT channel_title, count(*) AS n, count(DISTINCT video_id) AS unique_videos
+                FROM d GROUP BY channel_title""",
+        ),
         "job_load_increments": _on(
             _YEARLY,
             f"""SELECT category_id, min(category_name) AS category_name, {_TRENDS} FROM d
