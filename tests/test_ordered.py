@@ -139,18 +139,20 @@ def test_rank_and_percent_rank(frame, hot):
     assert rows(top) == rows(want.filter("r <= 5").drop("p"))
 
 
+@pytest.mark.parametrize("hot", [3, 10**9])
 @pytest.mark.parametrize("kind", ["bigint", "double", "decimal(12,3)"])
-def test_exact_quantiles(frame, kind):
+def test_exact_quantiles(frame, kind, hot):
+    """With few rows a task, ranges are cut again until they hold one value."""
     probs = {"q1": 0.25, "med": 0.5, "p95": 0.95}
     df = frame.withColumn("v", (F.col("v") - 30).cast(kind))
     if kind != "bigint":
         df = df.withColumn("v", (F.col("v") / 7).cast(kind))
-    disc = o.exact_quantiles(df, ["k"], "v", probs)
+    disc = o.exact_quantiles(df, ["k"], "v", probs, hot_rows=hot)
     want = df.groupBy("k").agg(
         *[F.percentile_approx("v", p, 1_000_000).alias(n) for n, p in probs.items()]
     )
     assert rows(disc) == rows(want)
-    cont = o.exact_quantiles(df, [], "v", probs, interpolate=True)
+    cont = o.exact_quantiles(df, [], "v", probs, interpolate=True, hot_rows=hot)
     want = df.agg(*[F.percentile("v", p).alias(n) for n, p in probs.items()])
     assert [round(float(x), 9) for x in cont.first()] == [round(x, 9) for x in want.first()]
 

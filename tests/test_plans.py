@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from trendloom.operators import aggregates, ordered, joins, reshape, topics
+from trendloom.operators import aggregates, joins, reshape, topics
 from trendloom.plans import trending
 from trendloom.schemas import category_dimension
 from trendloom.sources import starschema as star
@@ -53,12 +53,11 @@ def test_unused_columns_are_not_read(daily):
     assert "l_tax" not in text and "l_quantity" not in text
 
 
-def test_trending_does_not_depend_on_what_is_hot(daily, monkeypatch):
+def test_trending_does_not_depend_on_what_is_hot(daily):
     digits = {"channel_7day_avg": F.round("channel_7day_avg", 6)}
     got = []
     for limit in (10**9, 40):  # none of the keys, most of them
-        monkeypatch.setattr(ordered.hot_keys, "__defaults__", (limit,))
-        made = trending.trending_analysis(daily, 3).withColumns(digits)
+        made = trending.trending_analysis(daily, 3, hot_rows=limit).withColumns(digits)
         got.append(rows(made))
         assert ("_slice" in plan(made)) == (limit == 40)
     assert got[0] == got[1] and got[0]
