@@ -323,7 +323,9 @@ def value_ranks(
         counts, keys, order, "n", running="cum", hot=hot if keys else None, hot_rows=hot_rows
     )
     totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
-    if keys:
+    if keys and hot[tuple(keys)] is None:  # the rows of a key are together already
+        ranked = ranked.withColumn("total", F.sum("n").over(W.partitionBy(*keys)))
+    elif keys:
         ranked = join_null_safe(ranked, totals, keys)
     else:
         ranked = ranked.withColumn("total", totals.scalar())

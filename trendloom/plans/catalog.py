@@ -418,9 +418,8 @@ def window_daily_rank(spark, sf_dir):
 @_register
 def window_percent_rank(spark, sf_dir):
     facts = star.facts_daily(spark, sf_dir).select("category_id", "video_id", "views")
-    return with_percent_rank(
-        facts, ["category_id"], "views", "percentile", hot_rows=_HOT_HERE
-    )
+    hot = hot_keys(facts, [["category_id"]], most_rows=_order_lines(spark, sf_dir))
+    return with_percent_rank(facts, ["category_id"], "views", "percentile", hot=hot)
 
 
 @_register
