@@ -2,7 +2,6 @@ import pytest
 
 import corpus_pipeline
 from tests.llm.conftest import EDGE, prose
-from trendloom.llm import decontaminate, quality, simhash
 
 
 def test_stages_in_order():
@@ -50,8 +49,3 @@ def test_decisions_take_effect(spark, tmp_path):
     assert kept["SimHash near-dedup"] >= set(range(12)) and 22 not in kept["benchmark decontamination"]
     assert set(range(12)) <= kept["benchmark decontamination"]
     assert {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()} == kept["benchmark decontamination"]
-
-
-def test_methods_are_those_of_the_operators():
-    names = {quality.judge, simhash.simhash_groups, decontaminate.find_leaks}
-    assert all(callable(n) for n in names)
