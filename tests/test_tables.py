@@ -126,6 +126,35 @@ def test_loads_keep_other_days(spark, raw, tmp_path):
         )
 
 
+def test_channels_that_a_load_does_not_name_stay(spark, raw):
+    """Two loads of different channels, the second again with one that both have."""
+    titled = raw.withColumn("channel_title", F.when(F.col("channel_title") != "ch4", F.col("channel_title")))
+    ch = F.col("channel_title")
+    first = titled.where(ch.isin("ch0", "ch1") | ch.isNull())
+    second = titled.where(ch.isin("ch1", "ch2", "ch3"))
+    for part in (first, second, second):
+        # the same days come again: what is stored of them is replaced, as in every load
+        named = load.job_fill_tables(part, "channels")["dim_channels"]
+        dim = {r.channel_title: r for r in spark.table(named).collect()}
+        assert len(dim) == spark.table(named).count() and None not in dim
+        stored = spark.table("channels.fact_videos").where(ch.isNotNull()).groupBy("channel_title")
+        for r in stored.agg(F.count_distinct("video_id").alias("n")).collect():
+            assert dim[r.channel_title].total_videos == r.n
+            assert dim[r.channel_title].subscriber_count is None
+    assert set(dim) == {"ch0", "ch1", "ch2", "ch3"}
+
+
+def test_channel_dimension_edges(spark):
+    schema = "channel_title string, video_id string, category_id int, extra int"
+    rows_ = [("a", "v", 10, 1), ("a", "v", 10, 1), ("a", "w", 1, 1), ("a", None, 1, 1),
+             ("b", "v", None, 1), (None, "x", 1, 1), ("", "v", 999, 1)]
+    got = {r.channel_title: r for r in aggregates.channel_dimension(spark.createDataFrame(rows_, schema)).collect()}
+    assert {k: r.total_videos for k, r in got.items()} == {"a": 2, "b": 1, "": 1}
+    # a tie between categories 1 and 10 goes to the smaller one
+    assert {k: r.channel_type for k, r in got.items()} == {"a": "Film & Animation", "b": None, "": None}
+    assert aggregates.channel_dimension(spark.createDataFrame([], schema)).count() == 0
+
+
 def stored_files(folder):
     return {p.relative_to(folder): p.stat().st_mtime_ns for p in folder.rglob("part-*.orc")}
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from trendloom.functions import time_segment, trending_score
+from trendloom.functions import category_name, time_segment, trending_score
 from trendloom.operators.joins import broadcast_if_small, left_join_where
 from trendloom.operators.ordered import approx_quantiles, exact_quantiles
 
@@ -115,6 +115,26 @@ def _channel_single_scan(df: DataFrame, counts_as_category: Column) -> DataFrame
     )
 
 
+def channel_dimension(df: DataFrame) -> DataFrame:
+    """A row per channel title over all countries: its videos and its usual category's name.
+
+    Facts carry neither channel ids nor subscribers: the key is a hash of the title, and
+    ``subscriber_count`` is NULL. Rows without a title make no channel; NULL categories
+    are ignored, and a channel with no other has no type.
+    """
+    unused = {n: F.lit(None).cast("double") for n in ("views", "likes", "engagement_rate")}
+    narrow = df.where(F.col("channel_title").isNotNull()).select("channel_title", "video_id", "category_id")
+    known = F.col("category_id").isNotNull()
+    by_channel = _channel_single_scan(narrow.withColumns({"country": F.lit(""), **unused}), known)
+    return by_channel.select(
+        F.md5(F.col("channel_title").cast("binary")).alias("channel_id"),
+        "channel_title",
+        F.lit(None).cast("bigint").alias("subscriber_count"),
+        F.col("total_videos").cast("int").alias("total_videos"),
+        category_name("top_category").alias("channel_type"),
+    )
+
+
 #: Videos of a group up to which its distinct count is exact: 2 to this power.
 _REACH_BITS = 16
 

@@ -875,6 +875,15 @@ def tables_fact_videos(spark, sf_dir):
     )
 
 
+@_register
+def tables_dim_channels(spark, sf_dir):
+    """The channel dimension after two loads that share channels."""
+    return spark.table(_filled(spark, sf_dir)["dim_channels"]).select(
+        "channel_id", "channel_title", F.col("total_videos").cast("bigint").alias("total_videos"),
+        "channel_type",
+    )
+
+
 @_register
 def tables_time_series(spark, sf_dir):
     """The bucketed table."""

@@ -27,6 +27,7 @@ from trendloom.sources.sinks import (
     replace_partitions,
     write_table,
 )
+from trendloom.sources.workspace import materialise
 
 
 def load_facts(raw: DataFrame) -> DataFrame:
@@ -219,8 +220,23 @@ def job_batch_enrich(
     return EnrichMetrics(seen.get["records"], parts, saved)
 
 
+def update_channels(facts: DataFrame, stored: DataFrame, name: str) -> None:
+    """Bring the channel dimension ``name`` up to date after ``facts`` came to ``stored``.
+
+    Channels that the new facts name are built again from all their stored facts, the
+    rows of all others stay as they are; a rerun is harmless.
+    """
+    named = facts.select("channel_title").where(F.col("channel_title").isNotNull()).distinct()
+    named = materialise(named, "channels")  # both joins below can be planned by its true size
+    built = aggregates.channel_dimension(stored.join(named, "channel_title", "left_semi"))
+    others = facts.sparkSession.table(name).join(named, "channel_title", "left_anti")
+    # a table cannot be read while it is overwritten
+    whole = materialise(built.unionByName(others), "dimension")
+    whole.select(*facts.sparkSession.table(name).columns).write.insertInto(name, overwrite=True)
+
+
 def job_fill_tables(raw: DataFrame, database: str) -> dict[str, str]:
-    """The whole data model, created and filled: facts, categories and aggregates.
+    """The whole data model, created and filled: facts, dimensions and aggregates.
 
     ``raw`` are text observations; tags and virality are added on the way. Partitions
     of other days stay, and aggregates are built again where the new facts fall.
@@ -228,7 +244,7 @@ def job_fill_tables(raw: DataFrame, database: str) -> dict[str, str]:
     spark = raw.sparkSession
     create_tables(spark, database)
     names = (
-        "fact_videos", "dim_categories", "channel_statistics", "category_trends",
+        "fact_videos", "dim_channels", "dim_categories", "channel_statistics", "category_trends",
         "time_series_metrics",
     )
     tables = {n: f"{database}.{n}" for n in names}
@@ -241,6 +257,7 @@ def job_fill_tables(raw: DataFrame, database: str) -> dict[str, str]:
     insert_partitions(typed, tables["fact_videos"], FACT_PARTITIONS)
     dim = category_dimension(spark).select(*spark.table(tables["dim_categories"]).columns)
     dim.coalesce(1).write.insertInto(tables["dim_categories"], overwrite=True)
+    update_channels(typed, spark.table(tables["fact_videos"]), tables["dim_channels"])
     names = spark.table(tables["dim_categories"]).select("category_id", "category_name")
     named = spark.table(tables["fact_videos"]).join(broadcast_if_small(names), "category_id", "left")
     built = build_aggregates(named, Changes.of(typed))

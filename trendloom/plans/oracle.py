@@ -776,6 +776,17 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT category_id, min(category_name) AS category_name, {_TRENDS} FROM d
                 WHERE category_id IS NOT NULL GROUP BY 1, 3, 4, 5""",
         ),
+        "tables_dim_channels": _on(
+            _YEARLY,
+            f"""SELECT md5(channel_title) AS channel_id, channel_title, total_videos,
+                {_name("NULL")} AS channel_type
+                FROM (SELECT channel_title, count(DISTINCT video_id) AS total_videos
+                    FROM d WHERE channel_title IS NOT NULL GROUP BY 1)
+                LEFT JOIN (SELECT channel_title, category_id FROM d
+                    WHERE category_id IS NOT NULL GROUP BY 1, 2
+                    QUALIFY row_number() OVER (PARTITION BY channel_title
+                        ORDER BY count(*) DESC, category_id) = 1) USING (channel_title)""",
+        ),
         "tables_time_series": _on(_YEARLY, _TIME_SERIES.format(src="d")),
         "tables_storage_summary": _on(
             _YEARLY,
