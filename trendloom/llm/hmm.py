@@ -28,9 +28,13 @@ from pyspark.sql import types as T
 from trendloom.llm.arrow import text_bytes
 from trendloom.sources.workspace import materialise
 
-CLASSES, STATES, ROUNDS = 256, 8, 4
-#: Text bytes of a block; tokens of one batch of the recursions; tokens of a training window.
-BLOCK_BYTES, BATCH_TOKENS, WINDOW = 12_000_000, 300_000, 256
+CLASSES, STATES = 256, 8
+#: Training ends with the first round that gains less than ``LEAST_GAIN`` (log10) a token.
+ROUNDS, LEAST_GAIN = 12, 0.001
+#: Text bytes of a block; tokens of one batch of the recursions.
+BLOCK_BYTES, BATCH_TOKENS = 12_000_000, 300_000
+#: Tokens of a training window, and those before it that its states are warmed up on.
+WINDOW, LEAD = 256, 16
 END = b"\n"  #: no word holds white space
 
 
@@ -128,25 +132,46 @@ def _blocks(docs: DataFrame, doc: str, text: str, held: Column) -> DataFrame:
     return materialise(plain.mapInArrow(run, schema), "blocks")
 
 
-def _word_counts(blocks: DataFrame) -> DataFrame:
-    """(block, nth, c, class, first): each block word's count in all training texts.
+def _word_counts(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(block, nth, c): each block word's count in all training texts; and (class, n, v).
 
-    A word has one row for each block it occurs in; ``first`` marks one of them.
+    A frequent word has a row in every block. Rows meet by word and group of blocks, whose
+    number bounds what meets in one task; the words that several groups hold are then
+    completed from the sums of their groups, a row for each word and group.
     """
-    words = blocks.where(F.col("word").isNotNull()).select("block", "nth", "word", "n")
-    same = Window.partitionBy("word")
-    tail = F.substring("word", -3, 3)
-    return materialise(
+    block = F.col("block")  # input partition and number within it
+    group = F.shiftright(block, 40) * (1 << 20) + F.shiftright(block.bitwiseAND(F.lit((1 << 32) - 1)), 12)
+    words = blocks.where(F.col("word").isNotNull()).select("block", "nth", "word", "n", group.alias("group"))
+    same = Window.partitionBy("word", "group")
+    summed = materialise(
         words.select(
-            "block", "nth",
-            F.sum("n").over(same).alias("c"),
-            F.when(F.col("word") == F.lit(END), 0)
-            .otherwise(F.crc32(F.when(F.length("word") > 3, tail).otherwise(F.col("word"))) % (CLASSES - 1) + 1)
-            .cast("int").alias("class"),
+            "block", "nth", "word", "group",
+            F.sum("n").over(same).alias("part"),
             (F.row_number().over(same.orderBy("block")) == 1).alias("first"),
         ),
-        "counts",
+        "summed",
     )
+    tail = F.when(F.length("word") > 3, F.substring("word", -3, 3)).otherwise(F.col("word"))
+    kind = F.when(F.col("word") == F.lit(END), 0).otherwise(F.crc32(tail) % (CLASSES - 1) + 1)
+    everywhere = Window.partitionBy("word")
+    totals = materialise(
+        summed.where("first").select(
+            "word", "group", kind.cast("int").alias("class"),
+            F.sum("part").over(everywhere).alias("total"),
+            (F.col("group") == F.min("group").over(everywhere)).alias("once"),
+            F.count(F.lit(1)).over(everywhere).alias("groups"),
+        ),
+        "totals",
+    )
+    # stored, so that Spark plans the join by its size: it is empty within one group
+    spread = materialise(totals.where("groups > 1").select("word", "group", "total"), "spread")
+    counts = summed.join(spread, ["word", "group"], "left").select(
+        "block", "nth", F.coalesce("total", "part").alias("c")
+    )
+    by_class = totals.where("once").groupBy("class").agg(
+        F.sum("total").alias("n"), F.sum(F.expr("int(total > 0)")).alias("v")
+    )
+    return counts, by_class
 
 
 # --- Baum-Welch --------------------------------------------------------------
@@ -198,33 +223,57 @@ def log_likelihoods(chain: Chain, sequences: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def expected_counts(chain: Chain, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """(starts, moves, emissions, log-likelihood) expected under ``chain``."""
+def usual_states(chain: Chain) -> np.ndarray:
+    """How often the chain is in each state far from a text's start."""
+    return chain.start @ np.linalg.matrix_power(chain.moves, 64)
+
+
+def expected_counts(
+    chain: Chain, sequences: list[np.ndarray], leads: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """(starts, moves, emissions, log-likelihood) expected under ``chain``.
+
+    A sequence with a lead of n > 0 tokens is cut from the middle of a text: it begins in
+    the chain's usual states, and its first n tokens only warm them up. They count for
+    nothing but as the origin of the move to the token that follows.
+    """
+    if leads is None:
+        leads = np.zeros(len(sequences), np.int64)
+    inner = usual_states(chain)
     k, classes = chain.emits.shape
     moves, emits_t = chain.moves.astype(np.float32), np.ascontiguousarray(chain.emits.T.astype(np.float32))
     starts, pairs, emitted, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros((classes, k)), 0.0
-    for _, grid, lengths in _padded(sequences):
+    for part, grid, lengths in _padded(sequences):
+        lead = leads[part]
         active = _active(lengths, len(grid)).tolist()
         at = np.concatenate([[0], np.cumsum(active)])
         seen = np.empty((at[-1], k), np.float32)
         scales = np.empty(at[-1], np.float32)
-        alpha = np.repeat(chain.start.astype(np.float32)[None], len(lengths), 0)
+        alpha = np.where(lead[:, None] > 0, inner, chain.start).astype(np.float32)
         for t, n in enumerate(active):
             alpha = (alpha[:n] if t == 0 else alpha[:n] @ moves) * emits_t[grid[t, :n]]
             scale = alpha.sum(axis=1)
             alpha /= scale[:, None]
             seen[at[t] : at[t + 1]], scales[at[t] : at[t + 1]] = alpha, scale
-        likelihood += float(np.log10(scales, dtype=np.float64).sum())
+        warming = min(int(lead.max()), len(active))  # from here on every token counts
+        counts = np.concatenate([lead[:n] <= t for t, n in enumerate(active[:warming])] or [[]]).astype(bool)
+        likelihood += float(np.log10(scales[at[warming] :], dtype=np.float64).sum())
+        likelihood += float(np.log10(scales[: at[warming]][counts], dtype=np.float64).sum())
         beta = np.ones((active[-1], k), np.float32)
         for t in range(len(active) - 1, 0, -1):
             n, before = active[t], active[t - 1]
             ahead = emits_t[grid[t, :n]] * beta
             ahead /= scales[at[t] : at[t + 1], None]
             seen[at[t] : at[t + 1]] *= beta
-            pairs += seen[at[t - 1] : at[t - 1] + n].T @ ahead
+            origin = seen[at[t - 1] : at[t - 1] + n]
+            if t < warming:
+                pairs += (origin * counts[at[t] : at[t + 1], None]).T @ ahead
+            else:
+                pairs += origin.T @ ahead
             beta = np.ones((before, k), np.float32)
             np.matmul(ahead, moves.T, out=beta[:n])
         seen[: at[1]] *= beta
+        seen[: at[warming]] *= counts[:, None]
         starts += seen[: at[1]].sum(axis=0)
         flat = np.concatenate([grid[t, :n] for t, n in enumerate(active)])
         for s in range(k):
@@ -232,11 +281,17 @@ def expected_counts(chain: Chain, sequences: list[np.ndarray]) -> tuple[np.ndarr
     return starts, pairs * chain.moves, emitted, likelihood
 
 
-def _sequences(batch: pa.RecordBatch, window: int | None = None) -> list[np.ndarray]:
-    found = [np.frombuffer(x.as_buffer(), np.uint8) for x in batch.column(0)]
-    if window is None:
-        return found
-    return [s[i : i + window] for s in found for i in range(0, len(s), window)]
+def _sequences(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), np.uint8) for x in batch.column(0)]
+
+
+def _windows(texts: list[np.ndarray]) -> list[np.ndarray]:
+    """Texts cut into windows, each but a text's first with the tokens that lead to it."""
+    return [s[max(0, i - LEAD) : i + WINDOW] for s in texts for i in range(0, len(s), WINDOW)]
+
+
+def _leads(texts: list[np.ndarray]) -> list[int]:
+    return [min(i, LEAD) for s in texts for i in range(0, len(s), WINDOW)]
 
 
 def _portions(sequences: list[np.ndarray], tokens: int = BATCH_TOKENS) -> Iterator[list[np.ndarray]]:
@@ -301,8 +356,8 @@ def first_chain(follows: np.ndarray, states: int) -> Chain:
     return Chain(np.full(states, 1 / states), moves, emits / emits.sum(axis=1, keepdims=True))
 
 
-def _round(texts: DataFrame, chain: Chain) -> tuple[Chain, float]:
-    """One step of Baum-Welch over all training texts, cut into windows."""
+def _round(texts: DataFrame, chain: Chain) -> tuple[Chain, float, float]:
+    """One step of Baum-Welch over all training texts; their likelihood before, their tokens."""
     states, classes = chain.emits.shape
     names = [f"s{i}" for i in range(states)]
     sent = texts.sparkSession.sparkContext.broadcast(chain)
@@ -310,12 +365,14 @@ def _round(texts: DataFrame, chain: Chain) -> tuple[Chain, float]:
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((classes + states + 2, states))
         for batch in batches:
-            for part in _portions(_sequences(batch, WINDOW)):
-                starts, moves, emitted, likelihood = expected_counts(sent.value, part)
+            for part in _portions(_sequences(batch)):
+                found = expected_counts(sent.value, _windows(part), np.array(_leads(part)))
+                starts, moves, emitted, likelihood = found
                 table[:classes] += emitted
                 table[classes : classes + states] += moves
                 table[-2] += starts
                 table[-1, 0] += likelihood
+                table[-1, 1] += sum(map(len, part))
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(table))), *[pa.array(table[:, i]) for i in range(states)]], ["row", *names]
         )
@@ -327,19 +384,26 @@ def _round(texts: DataFrame, chain: Chain) -> tuple[Chain, float]:
         table[row["row"]] = [row[n] for n in names]
     even = lambda x: x / x.sum(axis=-1, keepdims=True)
     new = Chain(even(table[-2] + 1), even(table[classes : classes + states] + 1), even(table[:classes].T + 0.1))
-    return new, float(table[-1, 0])
+    return new, float(table[-1, 0]), float(table[-1, 1])
 
 
-def train(texts: DataFrame, rounds: int = ROUNDS, states: int = STATES) -> tuple[Chain, list[float]]:
+def train(
+    texts: DataFrame, rounds: int = ROUNDS, states: int = STATES, least_gain: float = LEAST_GAIN
+) -> tuple[Chain, list[float]]:
     """The chain, and the training log-likelihood that each round began with.
 
-    ``texts`` has a ``classes`` column. Windows of a long text start anew in training;
-    scores never do. Without texts the chain is uniform over classes.
+    ``texts`` has a ``classes`` column. Long texts are trained on in windows: only a
+    text's first one tells how texts start, the others are warmed up on the tokens before
+    them, and every move within a text is in one window. Rounds end when the last one
+    gained less than ``least_gain`` a token, or after ``rounds``; scores never use windows.
+    Without texts the chain is uniform over classes.
     """
     chain, seen = first_chain(_neighbours(texts, CLASSES), states), []
     for _ in range(rounds):
-        chain, likelihood = _round(texts, chain)
+        chain, likelihood, tokens = _round(texts, chain)
         seen.append(likelihood)
+        if len(seen) > 1 and seen[-1] - seen[-2] < least_gain * tokens:
+            break
     return chain, seen
 
 
@@ -357,9 +421,8 @@ def score_texts(
     count and are scored each; an empty table gives no rows.
     """
     blocks = _blocks(docs, doc, text, held)
-    counts = _word_counts(blocks)
+    counts, by_class = _word_counts(blocks)
     texts = blocks.where(F.col("ids").isNotNull())
-    by_class = counts.where("first").groupBy("class").agg(F.sum("c").alias("n"), F.sum(F.expr("int(c > 0)")).alias("v"))
     tokens, kinds = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     for row in by_class.collect():
         tokens[row["class"]], kinds[row["class"]] = row["n"], row["v"]
