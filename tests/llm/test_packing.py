@@ -1,5 +1,6 @@
 import random
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -86,6 +87,60 @@ def test_best_configuration_is_a_knapsack_optimum():
         assert (counts[held] * price[held]).sum() == pytest.approx(best[size])
 
 
+def fewest_sequences(left, size):
+    """The exact optimum for a few pieces: every way to fill the longest one's sequence."""
+
+    @lru_cache(maxsize=None)
+    def best(pieces):
+        if not pieces:
+            return 0
+        rests = set()
+
+        def fill(rest, at, room):
+            rests.add(rest)
+            for i in range(at, len(rest)):
+                if rest[i] <= room and (i == at or rest[i] != rest[i - 1]):
+                    fill(rest[:i] + rest[i + 1 :], i, room - rest[i])
+
+        fill(pieces[1:], 0, size - pieces[0])
+        return 1 + min(map(best, rests))
+
+    return best(tuple(sorted(left, reverse=True)))
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_program_against_the_exact_optimum(seed):
+    rng = random.Random(seed)
+    size = 20
+    pieces = [rng.randint(1, size) for _ in range(rng.randint(1, 13))]
+    histogram = np.bincount(pieces, minlength=size + 1)
+    uses, bound = packing.solve(histogram, size)
+    exact = fewest_sequences(pieces, size)
+    assert bound <= exact + 1e-9 and sum(a for a, _ in uses) >= bound - 1e-9
+    assert (sum(a * c for a, c in uses) >= histogram - 1e-6).all()
+    runs = packing.plan(histogram, size)
+    assert exact <= (runs[:, 3] + runs[:, 2]).max() <= exact + 1
+
+
+@pytest.mark.parametrize("draw", ["uniform", "small", "large", "one length"])
+def test_program_covers_all_near_its_bound_and_places_most(draw):
+    rng, size = np.random.default_rng(6), 256
+    lengths = {
+        "uniform": rng.integers(1, size + 1, 5000), "small": rng.lognormal(3.9, 0.8, 20_000),
+        "large": rng.integers(size // 3, size * 2 // 3, 5000), "one length": np.full(900, 100),
+    }[draw]
+    histogram = np.bincount(np.clip(lengths.astype(int), 1, size), minlength=size + 1)
+    uses, bound = packing.solve(histogram, size)
+    covered = sum(a * c for a, c in uses)
+    assert (covered >= histogram * (1 - 1e-9)).all()
+    primal = sum(a for a, _ in uses)
+    assert bound <= primal <= 1.02 * bound + 1
+    assert sum(int(a) * int(c.sum()) for a, c in uses) >= 0.8 * histogram.sum()
+    runs = packing.plan(histogram, size)
+    assert runs[:, 2].sum() == histogram.sum()
+    assert bound <= (runs[:, 3] + runs[:, 2]).max() <= 1.02 * bound + 3
+
+
 def test_pack(spark, edge, nothing):
     got = packing.pack(edge, load_byte_bpe, size=128).collect()
     want = []

@@ -96,28 +96,42 @@ def best_configuration(price: np.ndarray, size: int) -> np.ndarray:
     return counts
 
 
-def solve(histogram: np.ndarray, size: int, rounds: int = 600, step: float = 0.5, rate: float = 0.4) -> list[tuple[float, np.ndarray]]:
-    """Configurations and their fractional use, covering the histogram about once.
+def solve(
+    histogram: np.ndarray, size: int, step: float = 0.5, rest: float = 0.25, rate: float = 0.1
+) -> tuple[list[tuple[float, np.ndarray]], float]:
+    """Configurations with their fractional use, and the dual bound on the sum of uses.
 
     Multiplicative weights over the lengths: a length's price is its size, the optimal
-    dual where filling is perfect, times a factor that falls with its coverage.
+    dual where filling is perfect, with long pieces a little dearer, since short ones fill
+    gaps later, times a factor that falls with its coverage. A configuration is used for ``step`` of what its scarcest length still needs, or all of
+    it once that is below ``rest`` of the length's pieces; a covered length leaves the
+    program. Every round thus finishes a length or halves what it needs, whatever the
+    counts are, so rounds are bounded by the lengths in use and all lengths get covered.
+    Any prices give a bound: their worth of all pieces by that of the best configuration.
     """
     need = histogram.astype(float)
-    used = need > 0
-    covered = np.zeros(size + 1)
+    left = need.copy()
     out: dict[bytes, list] = {}
-    lengths = np.arange(size + 1, dtype=float)
-    for _ in range(rounds):
-        lag = covered - covered[used].min()
-        price = np.where(used, lengths * np.exp(-rate * np.minimum(lag, 4)), -np.inf)
+    share = np.arange(size + 1) / size
+    # priced by size, and by one for pieces of which no two fit together
+    bound = max(float(need @ share), float(need[2 * share > 1].sum()))
+    while (used := left > 0).any():
+        covered = 1 - left[used] / need[used]
+        price = np.full(size + 1, -np.inf)
+        price[used] = share[used] ** 1.1 * np.exp(-rate * (covered - covered.min()))
         counts = best_configuration(price, size)
-        held = counts > 0
-        amount = step * float((need[held] / counts[held]).min())
+        held = np.flatnonzero(counts)
+        if np.array_equal(used, need > 0):  # a bound needs prices for all pieces
+            bound = max(bound, float(need[used] @ price[used]) / float(counts[held] @ price[held]))
+        times = left[held] / counts[held]
+        scarce = held[int(times.argmin())]
+        whole = left[scarce] <= rest * need[scarce]
+        amount = float(times.min()) * (1.0 if whole else step)
         out.setdefault(counts.tobytes(), [0.0, counts])[0] += amount
-        covered[held] += amount * counts[held] / need[held]
-        if covered[used].min() >= 1:
-            break
-    return [tuple(x) for x in out.values()]
+        left[held] = np.maximum(left[held] - amount * counts[held], 0)
+        if whole:
+            left[scarce] = 0
+    return [tuple(x) for x in out.values()], bound
 
 
 class Plan:
@@ -168,9 +182,13 @@ def plan(histogram: np.ndarray, size: int) -> np.ndarray:
     """The runs for a histogram indexed by length, sorted by length and rank."""
     made = Plan(histogram, size)
     if made.left.sum():
-        for amount, counts in sorted(solve(histogram, size), key=lambda x: -x[0]):
+        uses, _ = solve(histogram, size)
+        # whole uses first, then once more where the fraction is large and the pieces are left
+        down = [(int(amount), counts) for amount, counts in sorted(uses, key=lambda x: -x[0])]
+        up = [(1, counts) for amount, counts in sorted(uses, key=lambda x: -(x[0] % 1)) if amount % 1]
+        for most, counts in down + up:
             held = counts > 0
-            times = min(int(amount), int((made.left[held] // counts[held]).min()))
+            times = min(most, int((made.left[held] // counts[held]).min()))
             if times:
                 made.use(counts, times)
         made.best_fit()
