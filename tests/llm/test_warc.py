@@ -1,5 +1,8 @@
+import glob
+import gzip
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from trendloom.llm import warc
@@ -55,3 +58,61 @@ def test_edges(spark):
     small = index(spark, rows, least_bytes=5).collect()
     assert {r.record_type for r in small} == {"response"}
     assert index(spark, []).count() == 0
+
+
+def by_hand(path):
+    """Every record of the archives below ``path``, found by a reader of its own and sorted at once."""
+    out = []
+    for name in glob.glob(f"{path}/part-*"):
+        with open(name, "rb") as f:
+            data = gzip.decompress(f.read())
+        while data:
+            head, _, rest = data.partition(b"\r\n\r\n")
+            fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
+            size = int(fields["Content-Length"])
+            stamp = "".join(filter(str.isdigit, fields["WARC-Date"]))
+            page = fields["WARC-Record-ID"][10:-1]
+            out.append((warc.url_key(fields["WARC-Target-URI"]), stamp, int(page), fields["WARC-Type"], rest[:size]))
+            data = rest[size + 4 :]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("most_borders", [20_000, 3])
+def test_index_against_brute_force(spark, monkeypatch, tmp_path, most_borders):
+    """One URL holds a third of all captures; ranges are cut once, or cut again."""
+    for name, value in dict(
+        RECORDS_PER_FILE=60, RUN_CAPTURES=13, CAPTURES_PER_RANGE=20, DEAL_CAPTURES=40, MOST_BORDERS=most_borders
+    ).items():
+        monkeypatch.setattr(warc, name, value)
+    rng = random.Random(8)
+    urls = ["http://hot.org/", *[f"https://www.h{i % 9}.org/{i}" for i in range(60)]]
+    rows = [(i, urls[0] if i % 3 == 0 else rng.choice(urls), f"<p>{rng.randrange(80)}</p>" * rng.randrange(40)) for i in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    path = str(tmp_path / "archives")
+    date = F.concat(F.lit("2024-01-0"), (F.col("page_id") % 7 + 1).cast("string"), F.lit("T00:00:00Z"))
+    warc.write_archives(df, path, date)
+    runs = warc.sorted_runs(spark, path)
+    assert max(r["count"] for r in runs.groupBy("_run").count().collect()) == 13
+    got = warc.capture_index(spark, path).orderBy("_range", "_position").collect()
+    expected = by_hand(path)
+    assert [(r.url_key, r.timestamp, r.page_id, r.record_type) for r in got] == [e[:4] for e in expected]
+    sizes = {}
+    for r in got:
+        sizes[r._range] = sizes.get(r._range, 0) + 1
+    assert len(sizes) > 12 and max(sizes.values()) < 120
+    blocks = {e[2]: e[4] for e in expected}
+    for r in got:
+        with open(f"{path}/{r.archive}", "rb") as f:
+            headers, block = warc.read_record(f.read(), r.record_offset, r.record_length)
+        assert block == blocks[r.page_id] and headers["warc-record-id"] == f"<urn:page:{r.page_id}>"
+
+
+def test_members():
+    parts = [b"a" * 100_000, random.Random(1).randbytes(70_000), b"x"]
+    data = b"".join(gzip.compress(p) + warc.EMPTY_MEMBER for p in parts)
+    found = list(warc.members(data))
+    assert [c for _, _, c in found] == parts
+    assert all(gzip.decompress(data[a : a + n]) == c for a, n, c in found)
+    assert list(warc.members(b"")) == []
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc.members(data[:-30]))

@@ -1,12 +1,13 @@
 """WARC archives with revisit records, and their capture index by external merge.
 
 Archives are written and read through Spark's own file sources, so they can lie in any
-store Spark reaches: a record ends with two line breaks, which is the text writer's line
-separator here. Readers follow Content-Length, never the separator.
+store Spark reaches. Every record is a gzip member of its own, so that a reader can start at
+the place that the index names. A row of the text writer is a whole archive; the line
+separator that the writer adds is a gzip member without content.
 
-The index is an external merge sort. Every reading task sorts its captures by URL key
-and timestamp into one run and writes it; the key space is cut into ranges at sampled
-captures; in each range a loser tree merges the slices of all runs.
+The index is an external merge sort. Reading tasks sort their captures by URL key and
+timestamp into runs of bounded length and write them; the key space is cut into ranges at
+sampled captures; in each range a loser tree merges the slices of all runs.
 """
 
 from __future__ import annotations
@@ -14,8 +15,10 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import islice
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -29,9 +32,18 @@ from trendloom.llm.arrow import to_arrow, with_text_columns
 from trendloom.sources.workspace import materialise, new_path
 
 BREAK = "\r\n"
-RECORDS_PER_FILE = 2000
-#: Captures of one merged range, and the most ranges: their borders go to every task.
-CAPTURES_PER_RANGE, MOST_RANGES = 1000, 20_000
+#: An archive ends at the first of these; one longer record makes an archive of its own.
+RECORDS_PER_FILE, FILE_BYTES = 10_000, 16 << 20
+#: A gzip member without content (a fixed value of the format).
+EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000ff0300" + "00" * 8)
+#: Captures of one sorted run, and those that a task deals out to nested ranges at a time.
+RUN_CAPTURES = DEAL_CAPTURES = 50_000
+#: Captures of one merged range, and the most ranges whose borders go to every task:
+#: beyond these, the ranges are cut again at borders of their own.
+CAPTURES_PER_RANGE, MOST_BORDERS = 1000, 20_000
+#: Captures drawn for each range to set its borders.
+_DRAWN = 20
+_READ_BYTES = 1 << 14
 
 CAPTURE = T.StructType(
     [
@@ -45,6 +57,7 @@ CAPTURE = T.StructType(
         T.StructField("refers_to", T.LongType()),
         T.StructField("archive", T.StringType()),
         T.StructField("record_offset", T.LongType()),
+        T.StructField("record_length", T.LongType()),
     ]
 )
 
@@ -122,18 +135,50 @@ def record(date: Column) -> Column:
 
 
 def write_archives(pages: DataFrame, path: str, date: Column, least_bytes: int = 0) -> None:
-    """Write ``pages`` (page_id, url, html) as gzip archives below ``path``.
+    """Write ``pages`` (page_id, url, html) as archives of gzip members below ``path``.
 
     Null pages are empty payloads, null URLs are empty, line breaks in URLs are encoded.
     """
+    most, limit = RECORDS_PER_FILE, FILE_BYTES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members, size = [], 0
+        for batch in batches:
+            for text in batch.column(0):
+                members.append(gzip.compress(text.as_py() + BREAK.encode() * 2, 6, mtime=0))
+                size += len(members[-1])
+                if len(members) >= most or size >= limit:
+                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(members)], pa.binary())], ["value"])
+                    members, size = [], 0
+        if members:
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(members)], pa.binary())], ["value"])
+
     planned = plan_records(pages, least_bytes)
-    lines = planned.select(record(date).alias("value")).write
-    lines.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path, "gzip", BREAK * 2)
+    made = planned.select(record(date).cast("binary").alias("record")).mapInArrow(run, "value binary")
+    # the text writer puts out a string's bytes as they are; the encoding is that of the separator
+    lines = made.select(F.col("value").cast("string")).write
+    lines.options(maxRecordsPerFile=1, encoding="ISO-8859-1").text(path, lineSep=EMPTY_MEMBER.decode("latin-1"))
 
 
 # --- reading -----------------------------------------------------------------
 
 
+def members(data: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, length, content) of each gzip member that has content."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        unpack, parts, end = zlib.decompressobj(31), [], at
+        while not unpack.eof:
+            if end >= len(view):
+                raise ValueError(f"the member at {at} is cut off")
+            parts.append(unpack.decompress(view[end : end + _READ_BYTES]))
+            end = min(end + _READ_BYTES, len(view))
+        end -= len(unpack.unused_data)
+        if content := b"".join(parts):
+            yield at, end - at, content
+        at = end
+
+
 def parse_archive(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
     """(offset, headers, block) of each record of an uncompressed archive."""
     at, gap = 0, BREAK.encode()
@@ -151,12 +196,18 @@ def parse_archive(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
         at = end + 4
 
 
+def read_record(archive: bytes, offset: int, length: int) -> tuple[dict[str, str], bytes]:
+    """Headers and block of the record that a capture's offset and length name."""
+    _, headers, block = next(parse_archive(gzip.decompress(archive[offset : offset + length])))
+    return headers, block
+
+
 def _urn(value: str | None) -> int | None:
     body = (value or "").removeprefix("<urn:page:").removesuffix(">")
     return int(body) if body.lstrip("-").isdigit() else None
 
 
-def _capture(archive: str, offset: int, headers: dict[str, str], block: bytes) -> tuple:
+def _capture(archive: str, offset: int, length: int, headers: dict[str, str], block: bytes) -> tuple:
     http, _, payload = block.partition((BREAK * 2).encode())
     kind, known = headers["warc-type"], headers["warc-payload-digest"].removeprefix("sha1:")
     if kind == "response":
@@ -170,7 +221,7 @@ def _capture(archive: str, offset: int, headers: dict[str, str], block: bytes) -
     stamp = "".join(c for c in headers["warc-date"] if c.isdigit())
     return (
         url_key(uri), stamp, _urn(headers["warc-record-id"]), uri, kind, size, known,
-        _urn(headers.get("warc-refers-to")), archive, offset,
+        _urn(headers.get("warc-refers-to")), archive, offset, length,
     )
 
 
@@ -180,26 +231,33 @@ def _order(capture: tuple) -> tuple:
 
 
 def sorted_runs(spark: SparkSession, path: str) -> DataFrame:
-    """The captures of all archives: one sorted run per reading task, (_run, _nth, ...)."""
+    """The captures of all archives in sorted runs: (_run, _nth, ...).
+
+    A task starts a new run every ``RUN_CAPTURES`` captures, so it never holds more. In
+    archives whose members hold several records, these share their member's place.
+    """
     schema = T.StructType([T.StructField("_run", T.LongType()), T.StructField("_nth", T.LongType()), *CAPTURE])
-    types = to_arrow(schema)
+    types, most = to_arrow(schema), RUN_CAPTURES
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = []
+    def captures(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for archive, content in zip(batch.column(0), batch.column(1), strict=True):
                 name = archive.as_py().rpartition("/")[2]
-                data = gzip.decompress(content.as_buffer()) if len(content.as_buffer()) else b""
-                found += [_capture(name, *x) for x in parse_archive(data)]
-        found.sort(key=_order)
-        part = TaskContext.get().partitionId()
-        for at in range(0, len(found), 10_000):
-            rows = [(part, at + i, *c) for i, c in enumerate(found[at : at + 10_000])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], schema.fieldNames()
-            )
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+                for at, length, data in members(content.as_buffer()):
+                    for _, headers, block in parse_archive(data):
+                        yield _capture(name, at, length, headers, block)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, number = captures(batches), TaskContext.get().partitionId() << 32
+        while part := sorted(islice(found, most), key=_order):
+            for at in range(0, len(part), 10_000):
+                rows = [(number, at + i, *c) for i, c in enumerate(part[at : at + 10_000])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], schema.fieldNames()
+                )
+            number += 1
+
+    files = spark.read.format("binaryFile").load(path).where(F.col("length") > 0)
     return files.select("path", "content").mapInArrow(run, schema)
 
 
@@ -246,40 +304,79 @@ class LoserTree:
             self.winner = run
 
 
+_NAMES = CAPTURE.fieldNames()
+_DEALT = ["_run", "_nth", *_NAMES, "_range"]
+
+
+def _rows(table: pa.Table | pa.RecordBatch) -> list[tuple]:
+    return list(zip(*[table.column(n).to_pylist() for n in _NAMES], strict=True))
+
+
+def _cut_again(dealt: DataFrame, parts: int) -> DataFrame:
+    """``dealt`` with every range cut into ranges of about ``CAPTURES_PER_RANGE`` captures.
+
+    Only the captures drawn from a range meet in one task, one for every ``step`` of its
+    own. The borders go to the ``parts`` that a hash divides the range into.
+    """
+    one_in = max(1, CAPTURES_PER_RANGE // _DRAWN)
+    step = max(1, CAPTURES_PER_RANGE // one_in)
+    place = T.StructType([T.StructField("_range", T.LongType()), *CAPTURE])
+
+    def borders(table: pa.Table) -> pa.Table:
+        rows = _rows(table)
+        order = sorted(range(len(rows)), key=lambda i: _order(rows[i]))
+        return table.select(place.fieldNames()).take(pa.array(order[step - 1 :: step], pa.int64()))
+
+    def deal(table: pa.Table, cuts: pa.Table) -> pa.Table:
+        keys = sorted(_order(r) for r in _rows(cuts))
+        old = table.column("_range").to_pylist()
+        new = [r << 32 | bisect_right(keys, _order(c)) for r, c in zip(old, _rows(table), strict=True)]
+        return table.select(_DEALT[:-1]).append_column("_range", pa.array(new, pa.int64()))
+
+    drawn = dealt.where(F.pmod(F.xxhash64("_nth", "_run"), F.lit(one_in)) == 0)
+    cuts = drawn.select(*place.fieldNames()).groupBy("_range").applyInArrow(borders, place)
+    cuts = cuts.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    parted = dealt.withColumn("_part", F.pmod(F.xxhash64("_run", "_nth"), F.lit(parts)).cast("int"))
+    both = parted.groupBy("_range", "_part").cogroup(cuts.groupBy("_range", "_part"))
+    return both.applyInArrow(deal, dealt.schema)
+
+
 def merge_runs(runs: DataFrame) -> DataFrame:
     """All captures in global order: (_range, _position) is the place of each.
 
     ``runs`` is a stored result of ``sorted_runs``. The range borders are captures drawn
-    by hash, about 20 for each range; they only decide which task merges what.
+    by hash, about 20 for each range; they only decide which task merges what. Borders of
+    at most ``MOST_BORDERS`` ranges are broadcast; where more ranges are needed, each of
+    these is cut again, so a merged range has the same size however many captures there are.
     """
     spark = runs.sparkSession
     n = runs.count()
-    ranges = max(1, min(n // CAPTURES_PER_RANGE, MOST_RANGES))
-    one_in = max(1, n // (20 * ranges))
-    names = CAPTURE.fieldNames()
-    drawn = runs.where(F.pmod(F.xxhash64("_run", "_nth"), F.lit(one_in)) == 0) if ranges > 1 else runs.limit(0)
-    keys = sorted(_order(tuple(r)) for r in drawn.select(*names).toLocalIterator())
-    borders = spark.sparkContext.broadcast([keys[len(keys) * i // ranges] for i in range(1, ranges)] if keys else [])
-    kept = ["_run", "_nth", *names]
+    ranges = max(1, n // CAPTURES_PER_RANGE)
+    first = min(ranges, MOST_BORDERS)
+    one_in = max(1, n // (_DRAWN * first))
+    drawn = runs.where(F.pmod(F.xxhash64("_run", "_nth"), F.lit(one_in)) == 0) if first > 1 else runs.limit(0)
+    keys = sorted(_order(tuple(r)) for r in drawn.select(*_NAMES).toLocalIterator())
+    borders = spark.sparkContext.broadcast([keys[len(keys) * i // first] for i in range(1, first)] if keys else [])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            captures = zip(*[batch.column(i).to_pylist() for i in range(2, 2 + len(names))], strict=True)
-            ranged = pa.array([bisect_right(borders.value, _order(c)) for c in captures], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, ranged], [*kept, "_range"])
+            ranged = pa.array([bisect_right(borders.value, _order(c)) for c in _rows(batch)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, ranged], _DEALT)
 
     def merge(table: pa.Table) -> pa.Table:
         run, nth = (table.column(n).to_numpy() for n in ("_run", "_nth"))
         order = np.lexsort((nth, run))  # puts the slices that the shuffle cut up together again
         cuts = np.flatnonzero(np.diff(run[order])) + 1
-        rows = list(zip(*[table.column(n).to_pylist() for n in names], strict=True))
+        rows = _rows(table)
         slices = [[(_order(rows[i]), i) for i in part.tolist()] for part in np.split(order, cuts)]
         merged = pa.array([i for _, i in LoserTree(slices)], pa.int64())
-        out = table.select(["_range", *names]).take(merged)
+        out = table.select(["_range", *_NAMES]).take(merged)
         return out.append_column("_position", pa.array(range(len(merged)), pa.int64()))
 
-    plain = runs.select(*kept)
+    plain = runs.select(*_DEALT[:-1])
     dealt = plain.mapInArrow(deal, T.StructType([*plain.schema, T.StructField("_range", T.LongType())]))
+    if ranges > first:
+        dealt = _cut_again(dealt, -(-n // (first * DEAL_CAPTURES)))
     out = T.StructType([T.StructField("_range", T.LongType()), *CAPTURE, T.StructField("_position", T.LongType())])
     return dealt.groupBy("_range").applyInArrow(merge, out)
 
