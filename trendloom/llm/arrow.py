@@ -18,11 +18,13 @@ def with_text_columns(
     docs: DataFrame,
     text: str,
     added: T.StructType,
-    compute: Callable[[list[bytes]], list],
+    compute: Callable[..., list],
+    beside: F.Column | None = None,
 ) -> DataFrame:
     """``docs`` with the columns of ``added``, computed from each batch of texts.
 
-    ``compute`` takes the UTF-8 texts of a batch and returns one list per added column.
+    ``compute`` takes the UTF-8 texts of a batch and returns one list per added column;
+    given ``beside``, it takes the values of that column of ``docs`` as well.
     Columns of ``docs`` that have a name of ``added`` are replaced.
     """
     names = [f.name for f in added]
@@ -31,13 +33,14 @@ def with_text_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = compute(batch.column(batch.num_columns - 1).to_pylist())
+            columns = compute(*[c.to_pylist() for c in batch.columns[len(kept) :]])
             made = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-            old = [batch.column(i) for i in range(batch.num_columns - 1)]
+            old = batch.columns[: len(kept)]
             yield pa.RecordBatch.from_arrays(old + made, [f.name for f in kept] + names)
 
     columns = [F.col(f"`{f.name}`").alias(f"_{i}") for i, f in enumerate(kept)]
-    plain = docs.select(*columns, text_bytes(text).alias("_text"))
+    read = [text_bytes(text).alias("_text"), *([] if beside is None else [beside.alias("_beside")])]
+    plain = docs.select(*columns, *read)
     return plain.mapInArrow(run, T.StructType([*kept, *added]))
 
 

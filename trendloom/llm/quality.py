@@ -3,22 +3,25 @@
 Two passes over the texts. The first sums, for each language, a histogram of character
 classes and one of common words over all documents. The second compares each document
 with the nearest reference by Jensen-Shannon distance; words that are far from every
-single one also with mixtures, for texts in several languages. Only the references (languages
-times about 120 numbers) reach the driver; the languages are those of ``COMMON_WORDS``.
+single one also with mixtures, for texts in several languages. The references are those of
+``COMMON_WORDS`` and one for every other language that holds enough of all words; the latter's
+frequent words are counted in its own documents. Only the references reach the driver.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendloom.llm.arrow import text_bytes, with_text_columns
+from trendloom.sources.workspace import materialise
 
 #: The most frequent function words of each language (fixed values).
 COMMON_WORDS = {
@@ -33,6 +36,11 @@ COMMON_WORDS = {
 }
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
+#: Another language has a reference from so many words and this share of all words on; the
+#: share bounds the number of references.
+LANGUAGE_WORDS, LANGUAGE_SHARE = 20_000, 0.001
+#: How many of its most frequent words the reference of another language lists.
+FREQUENT_WORDS = 50
 
 _VOCABULARY = {
     w.encode(): i
@@ -66,9 +74,10 @@ def class_counts(text: bytes) -> np.ndarray:
     return np.bincount(_CLASS[seen], by_byte[seen], N_CLASSES).astype(np.int64)
 
 
-def common_counts(text: bytes) -> np.ndarray:
-    ids = [_VOCABULARY.get(w, _OTHER_WORD) for w in text.lower().split()]
-    return np.bincount(ids, minlength=_OTHER_WORD + 1) if ids else np.zeros(_OTHER_WORD + 1, np.int64)
+def common_counts(text: bytes, vocabulary: dict[bytes, int] = _VOCABULARY) -> np.ndarray:
+    """How often each word of the vocabulary occurs, and last all other words."""
+    ids = [vocabulary.get(w, len(vocabulary)) for w in text.lower().split()]
+    return np.bincount(np.array(ids, np.int64), minlength=len(vocabulary) + 1)
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -122,46 +131,127 @@ class Rules:
         return max(self.max_word_distance, self.word_offset + self.word_slope / max(n_words, 1) ** 0.5)
 
 
+@dataclass(frozen=True)
+class Language:
+    """The reference of a language without a word list."""
+
+    classes: np.ndarray
+    vocabulary: dict[bytes, int]
+    words: np.ndarray
+
+
 @dataclass(frozen=True)
 class References:
-    classes: np.ndarray  #: one distribution per language
+    classes: np.ndarray  #: one distribution per language of ``COMMON_WORDS``
     words: np.ndarray
+    others: dict[str, Language] = field(default_factory=dict)
 
 
-def fit_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> References:
-    """Histograms of all documents of at least ``MIN_WORDS`` words, by language.
+def _histograms(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    """(lang, c0, c1, ...): character classes and common words of all documents by language.
 
-    Languages without a word list and null languages give no reference. Every task sums
-    what it reads, so the shuffle holds a row per task and language.
+    Every task sums what it reads, so the shuffle holds a row per task and language; a task
+    that meets very many languages passes its sums on in portions.
     """
     width = N_CLASSES + _OTHER_WORD + 1
     names = [f"c{i}" for i in range(width)]
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {code: np.zeros(width, np.int64) for code in COMMON_WORDS}
+        total: dict[str, np.ndarray] = {}
+
+        def portion() -> pa.RecordBatch:
+            rows = np.array(list(total.values()), np.int64).reshape(-1, width)
+            columns = [pa.array(list(total), pa.string()), *[pa.array(rows[:, i]) for i in range(width)]]
+            total.clear()
+            return pa.RecordBatch.from_arrays(columns, ["lang", *names])
+
         for batch in batches:
             for code, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 counts = common_counts(t)
                 if counts.sum() >= MIN_WORDS:
-                    total[code] += np.concatenate([class_counts(t), counts])
-        rows = np.array(list(total.values()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total)), *[pa.array(rows[:, i]) for i in range(width)]], ["lang", *names]
-        )
+                    both = np.concatenate([class_counts(t), counts])
+                    total[code] = total[code] + both if code in total else both
+                    if len(total) > 4096:
+                        yield portion()
+        yield portion()
 
     schema = T.StructType(
         [T.StructField("lang", T.StringType()), *[T.StructField(n, T.LongType()) for n in names]]
     )
-    known = docs.where(F.col(f"`{lang}`").isin(*COMMON_WORDS))
-    parts = known.select(F.col(f"`{lang}`"), text_bytes(text)).mapInArrow(sums, schema)
-    rows = parts.groupBy("lang").agg(*[F.sum(n).alias(n) for n in names]).orderBy("lang").collect()
-    table = np.array([[r[n] for n in names] for r in rows], float).reshape(-1, width)
-    table = table[table.sum(axis=1) > 0]
-    classes, words = table[:, :N_CLASSES], table[:, N_CLASSES:]
-    return References(
-        classes / np.maximum(classes.sum(axis=1, keepdims=True), 1),
-        words / np.maximum(words.sum(axis=1, keepdims=True), 1),
-    )
+    named = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), text_bytes(text).alias("text"))
+    parts = named.where(F.col("lang").isNotNull()).mapInArrow(sums, schema)
+    return parts.groupBy("lang").agg(*[F.sum(n).alias(n) for n in names])
+
+
+def _frequent_words(docs: DataFrame, codes: list[str], text: str, lang: str) -> dict[str, list[tuple[bytes, int]]]:
+    """The most frequent words of each language with their counts, ties in the order of bytes.
+
+    Words are counted inside the tasks first, and each input partition keeps only its most
+    frequent ones before languages meet.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, Counter] = {}
+        held = 0
+
+        def portion() -> pa.RecordBatch:
+            rows = [(code, w, n) for code, words in seen.items() for w, n in words.items()]
+            seen.clear()
+            columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.binary(), pa.int64()))]
+            return pa.RecordBatch.from_arrays(columns, ["lang", "word", "n"])
+
+        for batch in batches:
+            for code, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = t.lower().split()
+                if len(words) >= MIN_WORDS:
+                    seen.setdefault(code, Counter()).update(words)
+                    held += len(t)
+                    if held > 16 << 20:
+                        yield portion()
+                        held = 0
+        yield portion()
+
+    named = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), text_bytes(text).alias("text"))
+    counted = named.where(F.col("lang").isin(codes)).mapInArrow(count, "lang string, word binary, n bigint")
+    counted = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "word"))
+    found: dict[str, list[tuple[bytes, int]]] = {code: [] for code in codes}
+    for r in counted.withColumn("nth", nth).where(F.col("nth") <= FREQUENT_WORDS).orderBy("lang", "nth").collect():
+        found[r["lang"]].append((bytes(r["word"]), r["n"]))
+    return found
+
+
+def fit_references(
+    docs: DataFrame,
+    text: str = "text",
+    lang: str = "lang",
+    language_words: int = LANGUAGE_WORDS,
+    language_share: float = LANGUAGE_SHARE,
+) -> References:
+    """Histograms of all documents of at least ``MIN_WORDS`` words, by language.
+
+    Languages without a word list have a reference if their documents hold at least
+    ``language_words`` words and ``language_share`` of all words, which are at most
+    1 / ``language_share`` languages. Null languages give none.
+    """
+    table = materialise(_histograms(docs, text, lang), "languages")
+    names = table.columns[1:]
+    n = sum((F.col(c) for c in names[N_CLASSES:]), F.lit(0))
+    least = max(language_words, language_share * (table.agg(F.sum(n)).first()[0] or 0))
+    rows = table.where(F.col("lang").isin(*COMMON_WORDS) | (n >= least)).orderBy("lang").collect()
+    sums = {r["lang"]: np.array([r[c] for c in names], float) for r in rows}
+    share = lambda x: x / np.maximum(x.sum(axis=-1, keepdims=True), 1)
+    known = np.array([v for k, v in sums.items() if k in COMMON_WORDS]).reshape(-1, len(names))
+    known = known[known.sum(axis=1) > 0]
+    more = [k for k in sums if k not in COMMON_WORDS]
+    others = {}
+    for code, words in (_frequent_words(docs, more, text, lang) if more else {}).items():
+        counts = np.array([c for _, c in words], float)
+        rest = sums[code][N_CLASSES:].sum() - counts.sum()
+        others[code] = Language(
+            share(sums[code][:N_CLASSES]), {w: i for i, (w, _) in enumerate(words)}, share(np.append(counts, rest))
+        )
+    return References(share(known[:, :N_CLASSES]), share(known[:, N_CLASSES:]), others)
 
 
 def jensen_shannon(counts: np.ndarray, references: np.ndarray) -> float:
@@ -214,22 +304,34 @@ def judge(
 
     A null text is empty and fails the base rules. A distance is null where the text is
     shorter than its guard or there is no reference; it then rejects nothing. So it is
-    for documents whose ``lang`` names a language without a word list. Repeated rows are
-    judged each for itself; columns named like a result are replaced.
+    for documents whose ``lang`` names a language without a reference. Documents in another
+    language are compared with its reference too, those of no language with all. Repeated
+    rows are judged each for itself; columns named like a result are replaced.
     """
+    with_lists = len(references.classes) > 0
+
+    def nearest(distances: list[float]) -> float | None:
+        return min(distances, default=None)
 
-    def compute(texts: list[bytes]) -> list:
+    def compute(texts: list[bytes], codes: list[str | None]) -> list:
         rows = []
-        for t in texts:
+        for t, code in zip(texts, codes, strict=True):
             base = base_counts(t)
             failed = base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEAT_PERCENT * base[0]
-            near = len(references.classes) > 0
             by_class = by_word = None
             limit = rules.word_limit(base[0])
-            if near and base[1] >= rules.min_chars:
-                by_class = jensen_shannon(class_counts(t), references.classes)
-            if near and base[0] >= rules.min_words:
-                by_word = word_distance(common_counts(t), references.words, limit)
+            others = list(references.others.values()) if code is None else []
+            if code in references.others:
+                others = [references.others[code]]
+            known = with_lists and (code is None or code in COMMON_WORDS or bool(others))
+            if base[1] >= rules.min_chars:
+                counts = class_counts(t)
+                found = [jensen_shannon(counts, references.classes)] if known else []
+                by_class = nearest(found + [jensen_shannon(counts, o.classes[None]) for o in others])
+            if base[0] >= rules.min_words:
+                found = [word_distance(common_counts(t), references.words, limit)] if known else []
+                more = [jensen_shannon(common_counts(t, o.vocabulary), o.words[None]) for o in others]
+                by_word = nearest(found + more)
             kept = (
                 not failed
                 and (by_class is None or by_class <= rules.max_class_distance)
@@ -238,14 +340,5 @@ def judge(
             rows.append((*base, by_class, by_word, failed, kept))
         return list(zip(*rows, strict=True)) if rows else [[] for _ in _ADDED]
 
-    judged = with_text_columns(docs, text, _ADDED, compute)
-    if lang not in docs.columns:
-        return judged
-    known = F.coalesce(F.col(f"`{lang}`").cast("string").isin(*COMMON_WORDS), F.lit(True))
-    return judged.withColumns(
-        {
-            "class_distance": F.when(known, F.col("class_distance")),
-            "word_distance": F.when(known, F.col("word_distance")),
-            "kept": F.when(known, F.col("kept")).otherwise(~F.col("base_failed")),
-        }
-    )
+    code = F.col(f"`{lang}`").cast("string") if lang in docs.columns else F.lit(None).cast("string")
+    return with_text_columns(docs, text, _ADDED, compute, beside=code)
