@@ -39,8 +39,9 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Another language has a reference from so many words and this share of all words on; the
 #: share bounds the number of references.
 LANGUAGE_WORDS, LANGUAGE_SHARE = 20_000, 0.001
-#: How many of its most frequent words the reference of another language lists.
-FREQUENT_WORDS = 50
+#: How many of its most frequent words the reference of another language lists: about as many
+#: as of a list of ``COMMON_WORDS`` are frequent, for which the word limit was chosen.
+FREQUENT_WORDS = 20
 
 _VOCABULARY = {
     w.encode(): i
@@ -133,7 +134,11 @@ class Rules:
 
 @dataclass(frozen=True)
 class Language:
-    """The reference of a language without a word list."""
+    """The references for documents of a language without a word list.
+
+    The vocabulary is that of the lists with the language's own frequent words after it. The
+    first row is the language, the others are those of ``COMMON_WORDS`` over the same words.
+    """
 
     classes: np.ndarray
     vocabulary: dict[bytes, int]
@@ -183,12 +188,8 @@ def _histograms(docs: DataFrame, text: str, lang: str) -> DataFrame:
     return parts.groupBy("lang").agg(*[F.sum(n).alias(n) for n in names])
 
 
-def _frequent_words(docs: DataFrame, codes: list[str], text: str, lang: str) -> dict[str, list[tuple[bytes, int]]]:
-    """The most frequent words of each language with their counts, ties in the order of bytes.
-
-    Words are counted inside the tasks first, and each input partition keeps only its most
-    frequent ones before languages meet.
-    """
+def _word_counts(docs: DataFrame, codes: list[str], text: str, lang: str) -> DataFrame:
+    """(lang, word, n): all words of the languages, counted inside the tasks first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, Counter] = {}
@@ -213,12 +214,55 @@ def _frequent_words(docs: DataFrame, codes: list[str], text: str, lang: str) ->
 
     named = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), text_bytes(text).alias("text"))
     counted = named.where(F.col("lang").isin(codes)).mapInArrow(count, "lang string, word binary, n bigint")
-    counted = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def _frequent_words(counted: DataFrame, codes: list[str]) -> DataFrame:
+    """(lang, word, nth): the most frequent words of each language, ties in the order of bytes.
+
+    Only letters, marks and apostrophes make a word here, not symbols of
+    damaged texts. The rank is cut in every task before the words of a language meet.
+    """
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "word"))
-    found: dict[str, list[tuple[bytes, int]]] = {code: [] for code in codes}
-    for r in counted.withColumn("nth", nth).where(F.col("nth") <= FREQUENT_WORDS).orderBy("lang", "nth").collect():
-        found[r["lang"]].append((bytes(r["word"]), r["n"]))
-    return found
+    plain = F.col("lang").isin(codes) & F.col("word").cast("string").rlike(r"^[\p{L}\p{M}'\u2019]+$")
+    ranked = counted.where(plain).withColumn("nth", nth)
+    return ranked.where(F.col("nth") <= FREQUENT_WORDS).select("lang", "word", "nth")
+
+
+def _other_languages(
+    docs: DataFrame, sums: dict[str, np.ndarray], text: str, lang: str
+) -> dict[str, Language]:
+    """The references of the languages in ``sums`` that have no word list.
+
+    At most ``FREQUENT_WORDS`` words of each language reach the driver, with their counts in
+    it and in the languages of the lists.
+    """
+    known = [k for k in sums if k in COMMON_WORDS]
+    more = [k for k in sums if k not in COMMON_WORDS]
+    if not more:
+        return {}
+    counted = materialise(_word_counts(docs, more + known, text, lang), "words")
+    frequent = _frequent_words(counted, more).orderBy("lang", "nth").collect()
+    listed = counted.sparkSession.createDataFrame(sorted({(r["word"],) for r in frequent}), "word binary")
+    met = {(r["lang"], bytes(r["word"])): r["n"] for r in counted.join(listed, "word").toLocalIterator()}
+    own: dict[str, list[bytes]] = {code: [] for code in more}
+    for r in frequent:
+        if (word := bytes(r["word"])) not in _VOCABULARY:
+            own[r["lang"]].append(word)
+    out = {}
+    for code, words in own.items():
+        rows = []
+        for k in [code, *known]:
+            counts, added = sums[k][N_CLASSES:], np.array([met.get((k, w), 0) for w in words], float)
+            rows.append(np.concatenate([counts[:-1], added, [counts[-1] - added.sum()]]))
+        vocabulary = _VOCABULARY | {w: _OTHER_WORD + i for i, w in enumerate(words)}
+        classes = np.array([sums[k][:N_CLASSES] for k in [code, *known]])
+        out[code] = Language(_shares(classes), vocabulary, _shares(np.array(rows)))
+    return out
+
+
+def _shares(counts: np.ndarray) -> np.ndarray:
+    return counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
 
 
 def fit_references(
@@ -240,18 +284,10 @@ def fit_references(
     least = max(language_words, language_share * (table.agg(F.sum(n)).first()[0] or 0))
     rows = table.where(F.col("lang").isin(*COMMON_WORDS) | (n >= least)).orderBy("lang").collect()
     sums = {r["lang"]: np.array([r[c] for c in names], float) for r in rows}
-    share = lambda x: x / np.maximum(x.sum(axis=-1, keepdims=True), 1)
+    sums = {k: v for k, v in sums.items() if v.sum() > 0}
     known = np.array([v for k, v in sums.items() if k in COMMON_WORDS]).reshape(-1, len(names))
-    known = known[known.sum(axis=1) > 0]
-    more = [k for k in sums if k not in COMMON_WORDS]
-    others = {}
-    for code, words in (_frequent_words(docs, more, text, lang) if more else {}).items():
-        counts = np.array([c for _, c in words], float)
-        rest = sums[code][N_CLASSES:].sum() - counts.sum()
-        others[code] = Language(
-            share(sums[code][:N_CLASSES]), {w: i for i, (w, _) in enumerate(words)}, share(np.append(counts, rest))
-        )
-    return References(share(known[:, :N_CLASSES]), share(known[:, N_CLASSES:]), others)
+    others = _other_languages(docs, sums, text, lang)
+    return References(_shares(known[:, :N_CLASSES]), _shares(known[:, N_CLASSES:]), others)
 
 
 def jensen_shannon(counts: np.ndarray, references: np.ndarray) -> float:
@@ -304,34 +340,33 @@ def judge(
 
     A null text is empty and fails the base rules. A distance is null where the text is
     shorter than its guard or there is no reference; it then rejects nothing. So it is
-    for documents whose ``lang`` names a language without a reference. Documents in another
-    language are compared with its reference too, those of no language with all. Repeated
-    rows are judged each for itself; columns named like a result are replaced.
+    for documents whose ``lang`` names a language without a reference. Documents of a
+    language without a list are compared with its reference and the listed ones, those of
+    no language with all. Repeated rows are judged each for itself; columns named like a
+    result are replaced.
     """
-    with_lists = len(references.classes) > 0
+    lists = [Language(references.classes, _VOCABULARY, references.words)] if len(references.classes) else []
 
-    def nearest(distances: list[float]) -> float | None:
-        return min(distances, default=None)
+    def fitting(code: str | None) -> list[Language]:
+        if code in references.others:
+            return [references.others[code]]
+        if code is None:
+            return [*lists, *references.others.values()]
+        return lists if code in COMMON_WORDS else []
 
     def compute(texts: list[bytes], codes: list[str | None]) -> list:
         rows = []
         for t, code in zip(texts, codes, strict=True):
             base = base_counts(t)
             failed = base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEAT_PERCENT * base[0]
+            near = fitting(code)
             by_class = by_word = None
             limit = rules.word_limit(base[0])
-            others = list(references.others.values()) if code is None else []
-            if code in references.others:
-                others = [references.others[code]]
-            known = with_lists and (code is None or code in COMMON_WORDS or bool(others))
-            if base[1] >= rules.min_chars:
+            if near and base[1] >= rules.min_chars:
                 counts = class_counts(t)
-                found = [jensen_shannon(counts, references.classes)] if known else []
-                by_class = nearest(found + [jensen_shannon(counts, o.classes[None]) for o in others])
-            if base[0] >= rules.min_words:
-                found = [word_distance(common_counts(t), references.words, limit)] if known else []
-                more = [jensen_shannon(common_counts(t, o.vocabulary), o.words[None]) for o in others]
-                by_word = nearest(found + more)
+                by_class = min(jensen_shannon(counts, r.classes) for r in near)
+            if near and base[0] >= rules.min_words:
+                by_word = min(word_distance(common_counts(t, r.vocabulary), r.words, limit) for r in near)
             kept = (
                 not failed
                 and (by_class is None or by_class <= rules.max_class_distance)
