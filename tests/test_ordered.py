@@ -195,3 +195,19 @@ def test_top_n_trims_before_the_shuffle(frame):
     plan = o.top_ranks(frame, ["k"], "v", "r", 5)._jdf.queryExecution().executedPlan().toString()
     trims = [line for line in plan.splitlines() if "WindowGroupLimit" in line]
     assert any("Partial" in t for t in trims) and any("Final" in t for t in trims)
+
+
+def test_a_row_meets_few_borders_however_many_slices_its_key_has(spark):
+    """All borders of a key in one array were copied for every row of it."""
+    df = spark.range(5000).select(F.lit("a").alias("k"), F.col("id").alias("d"), F.lit(0).alias("_tie"))
+    key = o._sort_key(df, [("d", "asc")])
+    even = df.where("d % 2 = 0").select("k", key.alias("_key"))
+    borders = even.groupBy("k").agg(F.array_sort(F.collect_list("_key")).alias("_borders"))
+    sizes = [
+        o._level(borders, ["k"], o._FAN ** (n + 1), o._FAN**n).agg(F.max(F.size("_at"))).first()[0]
+        for n in range(o._LEVELS)
+    ]
+    assert max(sizes) < o._FAN and o._FAN**o._LEVELS > o.MOST_SLICES
+    sliced = o._with_slices(df, borders, ["k"], key, "left")
+    assert sliced.columns == [*df.columns, "_slice"]
+    assert [r["_slice"] for r in sliced.orderBy("d").collect()] == [d // 2 + 1 for d in range(5000)]

@@ -32,6 +32,8 @@ HOT_ROWS = 1_000_000
 MOST_SLICES = 50_000
 #: Rows drawn for each border.
 _DRAWN = 16
+#: Borders are looked up level by level, fewer than ``_FAN`` of them at each.
+_FAN, _LEVELS = 16, 4
 
 
 def _sort_columns(order: Sequence[tuple[str, str]]) -> list[Column]:
@@ -115,29 +117,49 @@ def _borders(base: DataFrame, hot: DataFrame, keys: list[str], key: Column) -> D
     )
 
 
-def _slice_of(borders: Column, key: Column) -> Column:
-    """How many of the sorted ``borders`` are at or before ``key``, by bisection."""
-    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(F.size(borders) + 1)).cast("int")))
+def _at_or_before(sorted_keys: str, key: str, low: int = 0, high: int | None = None) -> Column:
+    """How many of fewer than ``_FAN`` sorted keys are at or before ``key``, by bisection.
 
-    def halve(range_: Column, _: Column) -> Column:
-        low, high = range_["low"], range_["high"]
-        middle = F.shiftright(low + high, 1)
-        upper = F.struct((middle + 1).alias("low"), high.alias("high"))
-        lower = F.struct(low.alias("low"), middle.alias("high"))
-        found = F.when(F.get(borders, middle) <= key, upper).otherwise(lower)
-        return F.when(low >= high, range_).otherwise(found)
+    Written out, since a higher-order function is not compiled. NULL is beyond all keys.
+    """
+    high = _FAN - 1 if high is None else high
+    if low == high:
+        return F.lit(low)
+    middle = (low + high) // 2
+    return F.when(
+        F.get(sorted_keys, F.lit(middle)) <= F.col(key),
+        _at_or_before(sorted_keys, key, middle + 1, high),
+    ).otherwise(_at_or_before(sorted_keys, key, low, middle))
+
+
+def _level(borders: DataFrame, keys: list[str], above: int, stride: int) -> DataFrame:
+    """Every ``stride``-th border, as arrays that begin at each ``above``-th (a node)."""
 
-    whole = F.struct(F.lit(0).alias("low"), F.size(borders).alias("high"))
-    return F.aggregate(steps, whole, halve, lambda range_: range_["low"])
+    def inside(node: Column) -> Column:  # NULL beyond the last border
+        places = F.sequence(F.lit(stride - 1), F.lit(above - stride - 1), F.lit(stride))
+        return F.transform(places, lambda p: F.get("_borders", node * above + p))
+
+    nodes = F.sequence(F.lit(0), F.floor(F.size("_borders") / above).cast("int"))
+    return borders.select(*keys, F.posexplode(F.transform(nodes, inside)).alias("_node", "_at"))
 
 
 def _with_slices(
     df: DataFrame, borders: DataFrame, keys: list[str], key: Column, how: str
 ) -> DataFrame:
-    """``_slice``: 0 for keys that are not hot."""
-    joined = join_null_safe(df, F.broadcast(borders), keys, how)
-    found = F.when(F.col("_borders").isNotNull(), _slice_of(F.col("_borders"), key))
-    return joined.withColumn("_slice", F.coalesce(found, F.lit(0))).drop("_borders")
+    """``_slice``: how many borders of its key are at or before a row; 0 for keys that are not hot.
+
+    A row that is joined to an array is copied with it, so all borders of a key at once
+    would make a row cost as much as its key has slices. The borders are therefore a tree,
+    in which a row meets ``_FAN`` of them a level.
+    """
+    rows, above = df.withColumns({"_node": F.lit(0), "_key": key}), _FAN**_LEVELS
+    while above > 1:
+        stride = above // _FAN
+        level = F.broadcast(_level(borders, keys, above, stride))
+        rows = join_null_safe(rows, level, [*keys, "_node"], how)
+        rows = rows.withColumn("_node", F.col("_node") * _FAN + _at_or_before("_at", "_key")).drop("_at")
+        above = stride
+    return rows.drop("_key").withColumnRenamed("_node", "_slice")
 
 
 def _edges(
@@ -216,7 +238,8 @@ def ordered_windows(
     if found is not None:
         base = base.withColumn("_tie", tie)
         borders = materialise(_borders(base, found, keys, key), "borders")
-        sliced = _with_slices(base, borders, keys, key, "inner")
+        narrow = base.select(*dict.fromkeys([*keys, *[n for n, _ in total], value]))
+        sliced = materialise(_with_slices(narrow, borders, keys, key, "inner"), "sliced")
         edges = materialise(_edges(sliced, keys, total, value, depth), "edges")
         rows = _with_slices(rows, borders, keys, key, "left")
     group = keys if found is None else [*keys, "_slice"]
