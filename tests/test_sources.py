@@ -122,3 +122,19 @@ def test_samples_and_summary(spark, tmp_path):
     assert files.read_tsv(spark, f"{tmp_path}/t").count() == 7
     sinks.write_summary(df.limit(1), f"{tmp_path}/doc")
     assert len(list((tmp_path / "doc").glob("part-*"))) == 1
+
+
+def test_lines_of_a_file_are_not_gathered_to_meet_its_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n3,4\n")
+    (tmp_path / "b.csv").write_text("y\n5\n")
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")  # as if nothing were known of the headers' size
+    try:
+        df = files.read_csv_dir(spark, str(tmp_path))
+        found = sorted((r["x"] or "", r["y"], r["source_file"]) for r in df.collect())
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(setting, before)
+    assert found == [("", "5", "b.csv"), ("1", "2", "a.csv"), ("3", "4", "a.csv")]
+    assert "Exchange hashpartitioning" not in plan

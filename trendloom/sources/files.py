@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from trendloom.functions import bytes_to_gb, bytes_to_mb
 from trendloom.operators.reshape import union_by_name
 from trendloom.schemas import API_ITEM
+from trendloom.sources.workspace import materialise
 
 _CORRUPT = "_corrupt"
 _QUOTED = r'"(?:[^"]|"")*"'
@@ -104,11 +105,13 @@ def read_csv_dir(
         F.col("_metadata.file_block_start").alias("block"),
     ).withColumn("line", F.regexp_replace("line", "^\ufeff", ""))
     first = lines.where("block = 0").withColumn("at", F.monotonically_increasing_id())
+    # a row per file, of which the driver holds a longer entry since it listed the folder
     headers = first.groupBy("file_path").agg(F.min_by("line", "at").alias("header"))
+    headers = materialise(headers, "headers")
     known = sorted(r["header"] for r in headers.select("header").distinct().collect())
     if not known:
         raise FileNotFoundError(f"no CSV file with a header in {path}")
-    rows = lines.join(headers, "file_path").where(
+    rows = lines.join(F.broadcast(headers), "file_path").where(
         (F.col("line") != F.col("header")) & (F.trim("line") != "")
     )
     bare = F.regexp_replace("line", _QUOTED, "")
