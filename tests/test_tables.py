@@ -240,3 +240,16 @@ def test_reach_rolls_up_from_stored_sketches(spark, tmp_path):
     assert got["small"] == exact["small"]
     assert got["large"][0] == exact["large"][0]
     assert abs(got["large"][1] / exact["large"][1] - 1) < 0.02
+
+
+def test_what_a_load_names_is_found_in_one_pass(spark, raw, monkeypatch):
+    """Channels and partitions come from a stored narrow frame, not from the input again."""
+    seen = []
+    update, of = load.update_channels, load.Changes.of
+    monkeypatch.setattr(load, "update_channels", lambda f, *rest: (seen.append(f), update(f, *rest)))
+    monkeypatch.setattr(load.Changes, "of", lambda f: (seen.append(f), of(f))[1])
+    load.job_fill_tables(day(raw, 1), "named_once")
+    assert len(seen) == 2
+    for frame in seen:
+        assert frame.columns == ["channel_title", "trending_date", "country"]
+        assert frame.inputFiles() and all("/named-" in f for f in frame.inputFiles())
