@@ -130,3 +130,36 @@ def test_state_on_disk_gives_the_same(spark, sf_dir, tmp_path):
     assert spark.conf.get(setting) == before
     assert any("rocksdb" in m for p in progress for o in p["stateOperators"] for m in o["customMetrics"])
     assert rows(spark.table("trends_on_disk")) == rows(batch)
+
+
+def test_a_restart_finds_the_whole_state_and_no_changes_to_replay(spark, tmp_path):
+    from pathlib import Path
+
+    start, folder = dt.datetime(2024, 1, 1, 12, 0), f"{tmp_path}/in"
+    progress = []
+    for minute in (0, 1):
+        _write(spark, folder, ("a", start, 10), ("b", start, 1), ("a", start + dt.timedelta(minutes=minute), 5))
+        trends = windowed_trends(ingest.landed_source(spark, folder, STREAM_DELTAS))
+        with ingest.state_on_disk(spark):
+            query = ingest.update_files(trends, f"{tmp_path}/out", f"{tmp_path}/cp", available_now=True)
+            query.awaitTermination()
+        progress += query.recentProgress
+    state = Path(f"{tmp_path}/cp/state")
+    assert list(state.rglob("*.zip")) and not list(state.rglob("*.changelog"))
+    assert all(o["numRowsTotal"] == 0 for p in progress for o in p["stateOperators"])  # not looked up
+    latest = ingest.latest_state(spark, f"{tmp_path}/out", trends.schema, ["window_start", "window_end", "video_id"])
+    batch = windowed_trends(spark.read.schema(STREAM_DELTAS).parquet(folder))
+    assert rows(latest) == rows(batch) and latest.where("views_5min = 30").count() == 4
+
+
+def test_the_latest_state_is_hashed_and_keeps_nulls(spark, tmp_path):
+    schema = "k string, views bigint, likes double"
+    for epoch, made in enumerate([[("a", 1, 1.0), ("b", 2, 2.0), (None, 3, 3.0)], [("a", 5, None), (None, None, 4.0)]]):
+        spark.createDataFrame(made, schema).write.parquet(f"{tmp_path}/out/epoch={epoch}")
+    full = spark.read.schema(schema).parquet(f"{tmp_path}/out/epoch=0").schema
+    latest = ingest.latest_state(spark, f"{tmp_path}/out", full, ["k"])
+    assert rows(latest) == rows(spark.createDataFrame([("a", 5, None), ("b", 2, 2.0), (None, None, 4.0)], schema))
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    keys = ingest.latest_state(spark, f"{tmp_path}/out", full, full.fieldNames())
+    assert keys.columns == full.fieldNames() and keys.count() == 5
