@@ -163,3 +163,21 @@ def test_the_latest_state_is_hashed_and_keeps_nulls(spark, tmp_path):
     assert "HashAggregate" in plan and "SortAggregate" not in plan
     keys = ingest.latest_state(spark, f"{tmp_path}/out", full, full.fieldNames())
     assert keys.columns == full.fieldNames() and keys.count() == 5
+
+
+def test_late_report_restarts_from_snapshots(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from trendloom.plans import catalog
+
+    made = {}
+    new_path = catalog.new_path
+    monkeypatch.setattr(catalog, "new_path", lambda s, name: made.setdefault(name, new_path(s, name)))
+    start = dt.datetime(2024, 1, 1)
+    events = [(i, start + dt.timedelta(hours=h), u, "view", 1.0, '{"k": 1}') for i, (h, u) in enumerate([(0, 1), (1, 1), (1, 2), (9, 1)])]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(events, schema).write.parquet(f"{tmp_path}/events.parquet")
+    report = catalog.queries()["window_trends_late_report"](spark, str(tmp_path))
+    assert [tuple(r) for r in report.collect()] == [(20, 15)]
+    state = Path(made["trends-checkpoint"].removeprefix("file:")) / "state"
+    assert list(state.rglob("*.zip")) and not list(state.rglob("*.changelog"))
