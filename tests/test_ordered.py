@@ -211,3 +211,40 @@ def test_a_row_meets_few_borders_however_many_slices_its_key_has(spark):
     sliced = o._with_slices(df, borders, ["k"], key, "left")
     assert sliced.columns == [*df.columns, "_slice"]
     assert [r["_slice"] for r in sliced.orderBy("d").collect()] == [d // 2 + 1 for d in range(5000)]
+
+
+def test_the_driver_learns_no_keys(frame, monkeypatch):
+    """All keys above ``hot_rows`` came to the driver, most of them below the size of a slice."""
+    monkeypatch.setattr(o, "MOST_SLICES", 6)
+    learnt, collect = [], type(frame).collect
+
+    def counted(df):
+        learnt.append(collect(df))
+        return learnt[-1]
+
+    monkeypatch.setattr(type(frame), "collect", counted)
+    found = o.hot_keys(frame, [["k"], ["id"], ["d"]], 0)
+    assert sum(len(r) for r in learnt) <= 4  # one for each set and one for all rows
+    assert found["id",] is None and found["d",] is None
+    assert rows(found["k",]) == [("hot", 500)]
+
+
+def test_levels_below_the_root_share_a_broadcast(spark, frame):
+    """Each level was a broadcast of its own, held by the driver while the plan runs."""
+    keyed = frame.withColumn("_tie", F.xxhash64("id"))
+    key = o._sort_key(keyed, [("d", "asc")])
+    borders = o.materialise(o._borders(keyed, o.hot_keys(keyed, [["k"]], 100)["k",], ["k"], key), "borders")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else exchanges are shared as they run
+    try:
+        sliced = o._with_slices(keyed, borders, ["k"], key, "left")
+        text = sliced._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    made = [x for x in text.splitlines() if "BroadcastExchange" in x and "Reused" not in x]
+    assert text.count("BroadcastHashJoin") == o._LEVELS and len(made) <= 2
+
+
+def test_ranks_of_hot_keys_count_values_once(frame):
+    text = o.value_ranks(frame, ["k"], "v", hot_rows=20)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range" not in text  # the rows themselves

@@ -63,6 +63,12 @@ def test_trending_does_not_depend_on_what_is_hot(daily):
     assert got[0] == got[1] and got[0]
 
 
+def test_trending_of_hot_keys_joins_the_sources_once(daily):
+    """Each slicing and ranking read and joined the tables, and broadcast the small ones anew."""
+    text = plan(trending.trending_analysis(daily, 3, hot_rows=40))
+    assert "lineitem.parquet" not in text and "supplier.parquet" not in text
+
+
 def test_exact_quantiles_order_counts_only(daily):
     """The only windows are over counts of ranges and of single values."""
     text = plan(aggregates.basic_stats(daily, exact=True))

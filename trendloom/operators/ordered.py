@@ -6,7 +6,7 @@ usual; rows of a hot key are cut into slices at borders drawn from the key's own
 every slice is a group, and what crosses its border (the running total, the row count and
 the last few rows before it) comes from a table of slices. Where no key is hot, what is
 left is the plain window. Counting keys reads their columns once, for all sets of keys
-that a plan needs; only rows of hot keys are read again.
+that a plan needs. Where one is hot, rows are stored once with their slices.
 
 Ranks work on value counts, so that equal values are one row. Exact quantiles are selected
 by histograms over ranges of values that are refined where a quantile falls.
@@ -79,28 +79,29 @@ def hot_keys(
     """For each set of keys the values with too many rows for one task, None without any.
 
     That is over ``hot_rows`` rows, or over all rows divided by ``MOST_SLICES`` where that
-    is more, so there are at most ``MOST_SLICES`` of them; the driver learns no others.
-    Columns are the keys and ``_size``, the rows a slice should have. With at most
-    ``most_rows`` in all, where the caller knows that, there is nothing to count.
+    is more, so there are at most ``MOST_SLICES`` of them. They are stored; the driver learns
+    only which sets have any. Columns are the keys and ``_size``, the rows a slice should
+    have. With at most ``most_rows`` in all, where the caller knows that, there is nothing
+    to count.
     """
-    spark, sets = df.sparkSession, [tuple(k) for k in key_sets]
+    sets = [tuple(k) for k in key_sets]
     if most_rows is not None and most_rows <= hot_rows:
         return dict.fromkeys(sets)
     names = list(dict.fromkeys(n for keys in sets for n in keys))
     counts = df.groupingSets([[*keys] for keys in [(), *sets]], *names).agg(
         F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n")
     )
-    most = counts.where(F.col("_n") > hot_rows).orderBy(F.desc("_n"), "_set")
-    found = most.limit((MOST_SLICES + 1) * (len(sets) + 1)).collect()
+    most = materialise(counts.where(F.col("_n") > hot_rows), "hot")
+    largest = {r["_set"]: r["_n"] for r in most.groupBy("_set").agg(F.max("_n").alias("_n")).collect()}
     bits = {n: 1 << (len(names) - 1 - i) for i, n in enumerate(names)}
-    total = max((r["_n"] for r in found), default=0)
+    total = max(largest.values(), default=0)
     size = max(hot_rows, -(-total // MOST_SLICES))
     out: Hot = {}
     for keys in sets:
         mine = sum(b for n, b in bits.items() if n not in keys)
-        rows = [(*[r[k] for k in keys], size) for r in found if r["_set"] == mine and r["_n"] > size]
-        fields = [*[df.schema[k] for k in keys], T.StructField("_size", T.LongType())]
-        out[keys] = spark.createDataFrame(rows, T.StructType(fields)) if rows else None
+        found = most.where((F.col("_set") == mine) & (F.col("_n") > size))
+        found = found.select(*keys, F.lit(size).cast("bigint").alias("_size"))
+        out[keys] = found if largest.get(mine, 0) > size else None
     return out
 
 
@@ -143,6 +144,22 @@ def _level(borders: DataFrame, keys: list[str], above: int, stride: int) -> Data
     return borders.select(*keys, F.posexplode(F.transform(nodes, inside)).alias("_node", "_at"))
 
 
+def _tree(borders: DataFrame, keys: list[str]) -> DataFrame:
+    """All levels in one table, numbered like a heap: those below the root share a broadcast.
+
+    A table that has been made so is taken as it is.
+    """
+    if "_at" in borders.columns:
+        return borders
+    levels, first, above = [], 0, _FAN**_LEVELS
+    while above > 1:
+        stride = above // _FAN
+        level = _level(borders, keys, above, stride)
+        levels.append(level.withColumn("_node", F.col("_node") + first))
+        first, above = first * _FAN + 1, stride
+    return reduce(DataFrame.unionAll, levels)
+
+
 def _with_slices(
     df: DataFrame, borders: DataFrame, keys: list[str], key: Column, how: str
 ) -> DataFrame:
@@ -150,16 +167,16 @@ def _with_slices(
 
     A row that is joined to an array is copied with it, so all borders of a key at once
     would make a row cost as much as its key has slices. The borders are therefore a tree,
-    in which a row meets ``_FAN`` of them a level.
+    in which a row meets ``_FAN`` of them a level. ``_node`` is a place in the heap: the
+    children of n begin at n * ``_FAN`` + 1, and slices are what is below the last level.
     """
-    rows, above = df.withColumns({"_node": F.lit(0), "_key": key}), _FAN**_LEVELS
-    while above > 1:
-        stride = above // _FAN
-        level = F.broadcast(_level(borders, keys, above, stride))
-        rows = join_null_safe(rows, level, [*keys, "_node"], how)
-        rows = rows.withColumn("_node", F.col("_node") * _FAN + _at_or_before("_at", "_key")).drop("_at")
-        above = stride
-    return rows.drop("_key").withColumnRenamed("_node", "_slice")
+    rows, tree = df.withColumns({"_node": F.lit(0), "_key": key}), F.broadcast(_tree(borders, keys))
+    for _ in range(_LEVELS):
+        rows = join_null_safe(rows, tree, [*keys, "_node"], how)
+        below = F.col("_node") * _FAN + 1 + _at_or_before("_at", "_key")
+        rows = rows.withColumn("_node", below).drop("_at")
+    first = sum(_FAN**n for n in range(_LEVELS))
+    return rows.withColumn("_slice", F.col("_node") - first).drop("_key", "_node")
 
 
 def _edges(
@@ -216,7 +233,7 @@ def ordered_windows(
     ``order`` must be total up to rows that are interchangeable. Rows that tie in it
     are dealt out by a hash of the row, so ties do not pile up in one slice; only copies
     of a whole row stay together. ``of`` has the rows of ``df`` before columns were added
-    that cost something: histogram and slices are read from it. ``hot`` is what
+    that cost something: histogram and borders are read from it. ``hot`` is what
     ``hot_keys`` found, where it was asked for several windows at once; keys that it
     lacks are one group each. No keys are one key.
     """
@@ -236,12 +253,12 @@ def ordered_windows(
     tie = F.xxhash64(*[F.col(c) for c in base.columns])
     rows = df.withColumn("_tie", tie)
     if found is not None:
-        base = base.withColumn("_tie", tie)
-        borders = materialise(_borders(base, found, keys, key), "borders")
-        narrow = base.select(*dict.fromkeys([*keys, *[n for n, _ in total], value]))
-        sliced = materialise(_with_slices(narrow, borders, keys, key, "inner"), "sliced")
-        edges = materialise(_edges(sliced, keys, total, value, depth), "edges")
-        rows = _with_slices(rows, borders, keys, key, "left")
+        borders = materialise(_borders(base.withColumn("_tie", tie), found, keys, key), "borders")
+        tree = materialise(_tree(borders, keys), "tree")
+        # whole rows, stored: one plan less holds the tree, and rows are sliced once
+        rows = materialise(_with_slices(rows, tree, keys, key, "left"), "sliced")
+        cut = join_null_safe(rows, F.broadcast(found.select(*keys)), keys)
+        edges = materialise(_edges(cut, keys, total, value, depth), "edges")
     group = keys if found is None else [*keys, "_slice"]
 
     w = W.partitionBy(*group).orderBy(*_sort_columns(total))
@@ -342,6 +359,8 @@ def value_ranks(
     order = [(value, "desc" if descending else "asc")]
     if keys and hot is None:
         hot = hot_keys(df, [keys], hot_rows)  # a key has no more values than rows
+    if keys and hot[tuple(keys)] is not None:
+        counts = materialise(counts, "values")  # read for borders, slices, ranks and totals
     ranked = ordered_windows(
         counts, keys, order, "n", running="cum", hot=hot if keys else None, hot_rows=hot_rows
     )

@@ -16,6 +16,7 @@ from trendloom.operators.ordered import (
     with_percent_rank,
     with_rank,
 )
+from trendloom.sources.workspace import materialise
 
 DAY_GROUP = ["country", "trending_date"]
 # later columns only decide between observations of one day
@@ -31,6 +32,7 @@ def trending_analysis(
     One histogram tells which channels, videos, days and categories are hot. Where no day
     is, Spark trims each partition to the top ranks before the shuffle; else the ranks
     come from the value counts of the days. Category percentiles need only value counts.
+    Where anything is hot, the facts are read several times and are stored first.
     ``most_rows`` is a known limit of the number of observations, see ``hot_keys``.
     """
     facts = df.select(
@@ -39,6 +41,9 @@ def trending_analysis(
     hot = hot_keys(
         facts, [["channel_title"], ["video_id"], DAY_GROUP, ["category_id"]], hot_rows, most_rows
     )
+    if any(found is not None for found in hot.values()):
+        # else every slicing and ranking would join the sources again, with broadcasts of its own
+        facts = materialise(facts, "facts")
     by_channel = ordered_windows(
         facts,
         ["channel_title"],
